@@ -32,7 +32,7 @@ def pair_counts(gold: DataFrame) -> DataFrame:
         *[F.struct(F.lit(m).alias("model"), F.col(m).alias("predicted")) for m in models]
     )
     return (
-        gold.select(F.col(human).alias("human"), F.explode(pairs).alias("p"))
+        gold.select(F.col(human).alias("human"), F.explode_outer(pairs).alias("p"))
         .select("p.model", "human", "p.predicted")
         .groupBy("model", "human", "predicted")
         .agg(F.count(F.lit(1)).alias("n"))

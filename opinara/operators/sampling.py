@@ -54,6 +54,18 @@ def annotation_frame(
     return with_strata(comments.label_pivot(picked), videos=top)
 
 
+def annotation_frame_of_versions(
+    versions: DataFrame, video_stats: DataFrame, top: int = TOP_ROWS
+) -> DataFrame:
+    """The same from stored versions: only those of the top videos are merged.
+
+    Every version of a comment carries the one video it was fetched for, so picking ahead of the
+    merge changes nothing but the number of rows that are shuffled.
+    """
+    picked = stats.comments_of_top(versions, video_stats, top)
+    return with_strata(comments.label_pivot(comments.merge(picked)), videos=top)
+
+
 def strata_counts(frame: DataFrame) -> DataFrame:
     return (
         frame.where(F.col("strata").isNotNull())
@@ -111,6 +123,10 @@ def stratified_sample(frame: DataFrame, size: int = SAMPLE_SIZE, seed: int = SEE
     )
 
 
+def preview(sample: DataFrame, n: int = 5) -> DataFrame:
+    return sample.limit(n)
+
+
 def annotation_sheet(sample: DataFrame) -> DataFrame:
     """The sample with blank columns for the annotators."""
     return sample.withColumn("human_sentiment", F.lit("")).withColumn("is_sarcasm", F.lit(False))

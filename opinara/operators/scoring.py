@@ -133,8 +133,12 @@ def score_copies_once(
 
 
 def by_model(scored: DataFrame, model_ids: dict[str, int] | None = None) -> DataFrame:
-    """One row per text and model; with ``model_ids`` the surrogate id is attached."""
-    rows = scored.withColumn("score", F.explode("scores")).drop("scores")
+    """One row per text and model; with ``model_ids`` the surrogate id is attached.
+
+    The array is never empty. A plain explode would make Spark filter empty ones first, pushed below
+    the scoring, and so score every text a second time for that filter.
+    """
+    rows = scored.withColumn("score", F.explode_outer("scores")).drop("scores")
     rows = rows.drop("sentiment_label").select("*", "score.*").drop("score")
     if model_ids is None:
         return rows

@@ -20,9 +20,16 @@ AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 CUT = datetime(2024, 1, 15, tzinfo=timezone.utc)
 
 
+_READ: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. Its files are listed and its schema is read once per application."""
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _READ:
+        _READ[key] = spark.read.parquet(key[1])
+    return _READ[key]
 
 
 def text_id(prefix: str, number: str | Column) -> Column:
@@ -127,7 +134,7 @@ def by_label(comments: DataFrame) -> DataFrame:
     )
     keep = [c for c in comments.columns if not c.startswith("raw_label")]
     return (
-        comments.select(*keep, F.explode(pairs).alias("p"))
+        comments.select(*keep, F.explode_outer(pairs).alias("p"))
         .select(*keep, "p.*")
         .withColumn("likes", F.coalesce("likes", F.lit(0)))
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from opinara.operators import scoring
 from opinara.plans import fixtures as fx
-from opinara.runtime import scratch_dir
+from opinara.runtime import clear, scratch_dir
 from opinara.sources.state import StateTables
 from opinara.streaming.intake import run_stream
 
@@ -152,4 +152,5 @@ def two_waves(spark: SparkSession, sf_dir: str) -> StateTables:
         run_stream(
             spark, folder, store, checkpoint, scoring.BUILT_IN, times.get, max_active=users
         ).awaitTermination()
+    clear(spark, folder)
     return store

@@ -39,3 +39,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write a frame that is used several times to the shared folder and read it from there."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def clear(spark: SparkSession, folder: str) -> None:
+    """Remove all that lies below a folder: overwriting it with nothing does that on any storage."""
+    spark.createDataFrame([], "nothing string").write.mode("overwrite").text(folder)

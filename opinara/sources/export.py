@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opinara import schemas
 from opinara.operators import evaluation
+from opinara.runtime import clear
 from opinara.sources import gold as gold_file
 
 log = logging.getLogger(__name__)
@@ -16,6 +17,7 @@ log = logging.getLogger(__name__)
 # Published names of the tables.
 REQUIRED = {"videos": "video_info", "comments": "raw_comments"}
 OPTIONAL = {"global_sum": "global_stats", "model_info": "model_info"}
+TABLES = {*REQUIRED.values(), *OPTIONAL.values()}
 
 
 def export_snapshot(
@@ -29,7 +31,7 @@ def export_snapshot(
     absent = [t for t in REQUIRED.values() if t not in tables]
     if absent:
         raise ValueError(f"required tables missing: {', '.join(absent)}")
-    _clear(next(iter(tables.values())).sparkSession, target)
+    clear(next(iter(tables.values())).sparkSession, target)
     written = []
     for name, table in {**REQUIRED, **OPTIONAL}.items():
         if table not in tables:
@@ -56,11 +58,6 @@ def existing(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]
     return found
 
 
-def _clear(spark: SparkSession, target: str) -> None:
-    """Overwriting a folder with nothing removes all that lies below it."""
-    spark.createDataFrame([], "nothing string").write.mode("overwrite").text(target)
-
-
 def write_contradictions(gold: DataFrame, target: str) -> None:
     """Counts and texts of false positives and false negatives below ``target``."""
     evaluation.contradiction_counts(gold).write.mode("overwrite").json(f"{target}/counts")
