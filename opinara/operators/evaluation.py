@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +23,8 @@ def recode(gold: DataFrame, column: str = "human_sentiment") -> DataFrame:
 
 
 def complete_rows(gold: DataFrame) -> DataFrame:
-    """Rows without a NULL in any column."""
-    return gold.na.drop("any")
+    """Rows without a NULL in any column; saved index columns have a dot in their name."""
+    return gold.where(reduce(and_, [F.col(f"`{c}`").isNotNull() for c in gold.columns]))
 
 
 def pair_counts(gold: DataFrame) -> DataFrame:
