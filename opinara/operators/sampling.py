@@ -49,9 +49,13 @@ def with_strata(frame: DataFrame, videos: int | None = None) -> DataFrame:
 def annotation_frame(
     raw_comments: DataFrame, video_stats: DataFrame, top: int = TOP_ROWS
 ) -> DataFrame:
-    """Comments of the top videos with two labels, popularity and stratum."""
+    """Comments of the top videos with two labels, popularity and stratum.
+
+    The pivot is written once, as the medians, the strata and the sample all start from it: Spark
+    prunes each use differently and would otherwise scan and shuffle the comments for every one.
+    """
     picked = stats.comments_of_top(raw_comments, video_stats, top)
-    return with_strata(comments.label_pivot(picked), videos=top)
+    return with_strata(cut_lineage(comments.label_pivot(picked)), videos=top)
 
 
 def annotation_frame_of_versions(
@@ -63,7 +67,8 @@ def annotation_frame_of_versions(
     merge changes nothing but the number of rows that are shuffled.
     """
     picked = stats.comments_of_top(versions, video_stats, top)
-    return with_strata(comments.label_pivot(comments.merge(picked)), videos=top)
+    pivot = comments.label_pivot(comments.merge(picked))
+    return with_strata(cut_lineage(pivot), videos=top)
 
 
 def strata_counts(frame: DataFrame) -> DataFrame:
@@ -101,9 +106,12 @@ def stratified_sample(frame: DataFrame, size: int = SAMPLE_SIZE, seed: int = SEE
 
     Rows are chosen by hash order, so the same input gives the same sample. Only the strata table
     is read on the driver, at most ``size`` + 1 rows of it: with more strata there is no sample.
+    The frame is read twice, for the strata and for the rows, so it should come from a table.
     """
-    frame = cut_lineage(frame)
-    counts = {r["strata"]: r["n"] for r in strata_counts(frame).limit(size + 1).collect()}
+    readable = min(size, keyed.BROADCAST_ROWS)
+    counts = {r["strata"]: r["n"] for r in strata_counts(frame).limit(readable + 1).collect()}
+    if readable < len(counts) <= size:
+        raise ValueError(f"more than {readable} strata")
     if not counts or not can_stratify(counts, size):
         return frame
     take = quotas(counts, size)

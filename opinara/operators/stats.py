@@ -124,4 +124,6 @@ def top_rows(video_stats: DataFrame, n: int = 50) -> DataFrame:
 def comments_of_top(raw_comments: DataFrame, video_stats: DataFrame, n: int = 50) -> DataFrame:
     """Comments of the videos among the top rows; the list has at most ``n`` entries."""
     top = top_rows(video_stats, n).select("video_id").distinct()
-    return raw_comments.join(F.broadcast(top), "video_id", "left_semi")
+    if n <= keyed.BROADCAST_ROWS:
+        top = F.broadcast(top)
+    return raw_comments.join(top, "video_id", "left_semi")

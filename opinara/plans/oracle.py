@@ -651,7 +651,7 @@ STATEMENTS: dict[str, tuple[str, str]] = {
           group by h.model, h.label, p.label""",
     ),
     "confusion_human_labels": (
-        """two as (select * from pairs where human <> 'neutral'),
+        """two as (select * replace (case human when 'neutral' then 'negative' else human end as human) from pairs),
           axis as (select distinct model, human as label from two)""",
         """select h.model, h.label as human, p.label as predicted, count(x.model) as n
           from axis h join axis p on p.model = h.model

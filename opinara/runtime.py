@@ -35,10 +35,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/opinara-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write a frame that is used several times to the shared folder and read it from there."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write a frame that is used several times to the shared folder and read it from there.
+
+    A written table outlives its executors, is computed once, and each later use reads only the
+    columns it needs. Without ``folder`` a new one below the scratch folder is taken.
+    """
+    spark = df.sparkSession
+    folder = folder or scratch_dir(spark, "table")
+    df.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def clear(spark: SparkSession, folder: str) -> None:

@@ -59,9 +59,20 @@ class StateTables:
         """Rows of one batch."""
         return self.versions(table).where(F.col("batch_id") == batch_id)
 
+    def work(self, batch_id: int, name: str = "") -> str:
+        """Folder for what a batch writes for itself; it is cleared when the batch is done."""
+        return f"{self.root}/_work/batch-{batch_id}/{name}".rstrip("/")
+
     def compact(self, target: str, upto: int) -> StateTables:
         """Fold all versions up to a batch into one below a new root, for jobs to go on from."""
         folded = StateTables(self.spark, target)
         for table in schemas.STATE:
-            folded.write(table, self.current(table, upto + 1), upto)
+            rows = self.current(table, upto + 1)
+            if table == "raw_comments":
+                # Near together by video, so that files without a wanted video can be skipped; the
+                # comment id splits a video that is too large for one file.
+                rows = rows.repartitionByRange("video_id", "comment_id").sortWithinPartitions(
+                    "video_id", "comment_id"
+                )
+            folded.write(table, rows, upto)
         return folded

@@ -65,6 +65,16 @@ def landed_stream(spark: SparkSession, folder: str, stream: bool = True) -> Data
     return united
 
 
+def stage(batch: DataFrame, folder: str) -> DataFrame:
+    """A micro-batch as a table with a folder per kind.
+
+    A micro-batch is a finished plan: no filter reaches its source, and each use would parse all
+    its pages again. Read from the table, a use touches the rows and columns of its kind.
+    """
+    batch.write.mode("overwrite").partitionBy("kind").parquet(folder)
+    return batch.sparkSession.read.schema(batch.schema).parquet(folder)
+
+
 def split(batch: DataFrame) -> dict[str, DataFrame]:
     """Frames by kind out of a batch of landed rows."""
     columns = {"comments": "comment", "disabled": "blocked", "statistics": "count", "search": "found"}
@@ -92,10 +102,11 @@ def run_stream(
 
     def one_cycle(batch: DataFrame, epoch: int) -> None:
         batch_id = epoch + 1
+        state = StateTables(batch.sparkSession, store.root)
         run_cycle(
-            StateTables(batch.sparkSession, store.root),
+            state,
             batch_id,
-            split(batch),
+            split(stage(batch, state.work(batch_id, "landed"))),
             models,
             as_of(batch_id),
             max_active,
