@@ -24,8 +24,9 @@ def read_pages(spark: SparkSession, folder: str, kind: str, stream: bool = False
     return reader.schema(schemas.struct(FOLDERS[kind])).json(f"{folder}/{kind}")
 
 
-def flatten_comments(pages: DataFrame) -> DataFrame:
-    """One row per comment, unfiltered, with its place in the page.
+def flatten_pages(pages: DataFrame) -> DataFrame:
+    """One row per comment, unfiltered, and one with ``blocked`` per page of a video whose comments
+    are switched off: all a comment page holds, from one reading of it.
 
     ``page_newest`` and ``position`` give the order in which the platform lists a video's comments,
     including those whose own time is unreadable. Where the platform sends no updated time the
@@ -34,14 +35,18 @@ def flatten_comments(pages: DataFrame) -> DataFrame:
     times = F.transform(
         "items", lambda item: clean.to_time(item.snippet.topLevelComment.snippet.publishedAt)
     )
+    blocked = F.coalesce("comments_disabled", F.lit(False))
     snippet = "item.snippet.topLevelComment.snippet"
     return (
         pages.select(
             "video_id",
+            blocked.alias("blocked"),
             F.array_max(times).alias("page_newest"),
-            F.posexplode("items").alias("position", "item"),
+            F.posexplode_outer(F.when(~blocked, F.col("items"))).alias("position", "item"),
         )
+        .where(F.col("blocked") | F.col("item").isNotNull())
         .select(
+            "blocked",
             "video_id",
             F.col("item.id").alias("comment_id"),
             F.coalesce(f"{snippet}.textDisplay", F.lit("")).alias("text"),
@@ -54,6 +59,11 @@ def flatten_comments(pages: DataFrame) -> DataFrame:
     )
 
 
+def flatten_comments(pages: DataFrame) -> DataFrame:
+    """The comments of the pages alone."""
+    return flatten_pages(pages).where(~F.col("blocked")).drop("blocked")
+
+
 def page_order() -> list:
     """Sort order of flattened comments as the platform lists them: newest page first."""
     return [F.desc_nulls_last("page_newest"), F.asc("position"), F.asc("comment_id")]

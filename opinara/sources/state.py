@@ -56,8 +56,10 @@ class StateTables:
         schemas.align(rows, table).write.mode("overwrite").parquet(target)
 
     def batch(self, table: str, batch_id: int) -> DataFrame:
-        """Rows of one batch."""
-        return self.versions(table).where(F.col("batch_id") == batch_id)
+        """Rows of one batch; the folders of the others are not even listed."""
+        schema = schemas.struct(schemas.STATE[table] + ", batch_id BIGINT")
+        reader = self.spark.read.schema(schema).option("basePath", self.path(table))
+        return reader.parquet(f"{self.path(table)}/batch_id={batch_id}")
 
     def work(self, batch_id: int, name: str = "") -> str:
         """Folder for what a batch writes for itself; it is cleared when the batch is done."""

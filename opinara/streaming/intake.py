@@ -20,49 +20,54 @@ from opinara.plans.cycle import run_cycle
 from opinara.sources import landing
 from opinara.sources.state import StateTables
 
-COMMENT = (
-    "struct<video_id: string, comment_id: string, text: string, likes: int, published_at: string, "
-    "updated_at: string, page_newest: timestamp, position: int>"
-)
-FOUND = (
-    "struct<video_id: string, title: string, channel_id: string, channel_name: string, "
-    "published_at: timestamp>"
-)
-COUNT = "struct<video_id: string, yt_count: bigint>"
-
-
-def landed_stream(spark: SparkSession, folder: str, stream: bool = True) -> DataFrame:
-    """All kinds of landed rows in one frame: ``kind`` and one filled struct column."""
+# One filled column per kind of landed row.
+COLUMNS = {
+    "comments": (
+        "comment",
+        "struct<video_id: string, comment_id: string, text: string, likes: int, "
+        "published_at: string, updated_at: string, page_newest: timestamp, position: int>",
+    ),
+    "disabled": ("blocked", "struct<video_id: string>"),
+    "statistics": ("count", "struct<video_id: string, yt_count: bigint>"),
+    "search": (
+        "found",
+        "struct<video_id: string, title: string, channel_id: string, channel_name: string, "
+        "published_at: timestamp>",
+    ),
+}
+
+
+def landed_rows(spark: SparkSession, folder: str, stream: bool = True) -> DataFrame:
+    """All landed rows in one frame: ``kind`` and the struct column of that kind."""
     pages = {k: landing.read_pages(spark, folder, k, stream) for k in landing.FOLDERS}
-    rows = {
-        "comments": ("comment", landing.flatten_comments(pages["comments"])),
-        "disabled": (
-            "blocked",
-            pages["comments"].where(F.col("comments_disabled")).select("video_id"),
-        ),
-        "statistics": ("count", landing.flatten_counts(pages["statistics"])),
-        "search": ("found", landing.flatten_search(pages["search"])),
-    }
-    types = {
-        "comment": COMMENT,
-        "blocked": "struct<video_id: string>",
-        "count": COUNT,
-        "found": FOUND,
-    }
-    parts = []
-    for kind, (column, df) in rows.items():
-        filled = {column: F.struct(*df.columns)}
-        empty = F.lit(None)
-        parts.append(
-            df.select(
-                F.lit(kind).alias("kind"),
-                *[filled.get(c, empty).cast(t).alias(c) for c, t in types.items()],
-            )
-        )
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part)
-    return united
+    flat = landing.flatten_pages(pages["comments"])
+    fields = [c for c in flat.columns if c != "blocked"]
+    from_comments = flat.select(
+        F.when(F.col("blocked"), "disabled").otherwise("comments").alias("kind"),
+        F.when(~F.col("blocked"), F.struct(*fields)).alias("comment"),
+        F.when(F.col("blocked"), F.struct("video_id")).alias("blocked"),
+    )
+    counts = landing.flatten_counts(pages["statistics"])
+    found = landing.flatten_search(pages["search"])
+    return (
+        _in_columns(from_comments)
+        .unionByName(_in_columns(_of_kind("statistics", counts)))
+        .unionByName(_in_columns(_of_kind("search", found)))
+    )
+
+
+def _of_kind(kind: str, df: DataFrame) -> DataFrame:
+    return df.select(F.lit(kind).alias("kind"), F.struct(*df.columns).alias(COLUMNS[kind][0]))
+
+
+def _in_columns(df: DataFrame) -> DataFrame:
+    return df.select(
+        "kind",
+        *[
+            (F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c)
+            for c, t in COLUMNS.values()
+        ],
+    )
 
 
 def stage(batch: DataFrame, folder: str) -> DataFrame:
@@ -75,15 +80,28 @@ def stage(batch: DataFrame, folder: str) -> DataFrame:
     return batch.sparkSession.read.schema(batch.schema).parquet(folder)
 
 
-def split(batch: DataFrame) -> dict[str, DataFrame]:
-    """Frames by kind out of a batch of landed rows."""
-    columns = {"comments": "comment", "disabled": "blocked", "statistics": "count", "search": "found"}
+def split(rows: DataFrame) -> dict[str, DataFrame]:
+    """Frames by kind out of landed rows."""
     return {
-        kind: batch.where(F.col("kind") == kind).select(f"{column}.*")
-        for kind, column in columns.items()
+        kind: rows.where(F.col("kind") == kind).select(f"{column}.*")
+        for kind, (column, _) in COLUMNS.items()
     }
 
 
+def take_in(
+    store: StateTables,
+    batch_id: int,
+    rows: DataFrame,
+    models: Sequence[scoring.Model],
+    as_of: datetime,
+    max_active: int,
+    cap: int | None = None,
+) -> None:
+    """One monitoring cycle over landed rows, from a stream or from a plain read."""
+    staged = stage(rows, store.work(batch_id, "landed"))
+    run_cycle(store, batch_id, split(staged), models, as_of, max_active, cap)
+
+
 def run_stream(
     spark: SparkSession,
     folder: str,
@@ -103,21 +121,13 @@ def run_stream(
     def one_cycle(batch: DataFrame, epoch: int) -> None:
         batch_id = epoch + 1
         state = StateTables(batch.sparkSession, store.root)
-        run_cycle(
-            state,
-            batch_id,
-            split(stage(batch, state.work(batch_id, "landed"))),
-            models,
-            as_of(batch_id),
-            max_active,
-            cap,
-        )
+        take_in(state, batch_id, batch, models, as_of(batch_id), max_active, cap)
 
     for kind in landing.FOLDERS:
         empty = spark.createDataFrame([], T.StructType.fromDDL(landing.FOLDERS[kind]))
         empty.limit(0).write.mode("ignore").json(f"{folder}/{kind}")
     return (
-        landed_stream(spark, folder)
+        landed_rows(spark, folder)
         .writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(one_cycle)

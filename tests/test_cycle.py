@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from opinara import schemas
 from opinara.operators import scoring
 from opinara.plans import jobs
-from opinara.plans.cycle import run_cycle
 from opinara.sources.state import StateTables
-from opinara.streaming.intake import landed_stream, run_stream, split
+from opinara.streaming.intake import landed_rows, run_stream, take_in
 
 START = datetime(2024, 1, 10)
 WORDS = ["the", "and", "of", "to", "x"]
@@ -94,7 +93,7 @@ def expected_counts(comments):
 
 
 def batch(spark, folder):
-    return split(landed_stream(spark, str(folder), stream=False))
+    return landed_rows(spark, str(folder), stream=False)
 
 
 AS_OF = START + timedelta(days=1)
@@ -106,7 +105,7 @@ def one_batch(spark, tmp_path_factory):
     comments = made()
     land(root / "landing", 1, comments)
     store = start_store(spark, root / "state")
-    run_cycle(store, 1, batch(spark, root / "landing"), scoring.BUILT_IN, AS_OF, 20)
+    take_in(store, 1, batch(spark, root / "landing"), scoring.BUILT_IN, AS_OF, 20)
     return root, store, comments
 
 
@@ -135,7 +134,7 @@ def test_one_cycle(spark, one_batch):
 def test_repeating_a_batch_changes_nothing(spark, one_batch):
     root, store, _ = one_batch
     before = tables(store, *schemas.STATE)
-    run_cycle(store, 1, batch(spark, root / "landing"), scoring.BUILT_IN, AS_OF, 20)
+    take_in(store, 1, batch(spark, root / "landing"), scoring.BUILT_IN, AS_OF, 20)
     assert tables(store, *schemas.STATE) == before
 
 
@@ -167,7 +166,7 @@ def test_late_redelivered_disabled_and_found(spark, tmp_path):
     comments = made(60)
     store = start_store(spark, tmp_path / "state")
     land(tmp_path / "a", 1, comments[20:40])
-    run_cycle(store, 1, batch(spark, tmp_path / "a"), scoring.BUILT_IN, AS_OF, 7)
+    take_in(store, 1, batch(spark, tmp_path / "a"), scoring.BUILT_IN, AS_OF, 7)
     counted = store.current("video_stats").agg(F.sum("pos_count")).first()[0]
     # Late and repeated comments are at or below the mark; v0 is switched off.
     land(
@@ -175,7 +174,7 @@ def test_late_redelivered_disabled_and_found(spark, tmp_path):
         [c for c in comments[:40] if c["video"] in {x["video"] for x in comments[20:40]}],
         disabled=["v0"], search=[("new1", START), ("new2", START - timedelta(hours=1))],
     )
-    run_cycle(store, 2, batch(spark, tmp_path / "b"), scoring.BUILT_IN, AS_OF, 7)
+    take_in(store, 2, batch(spark, tmp_path / "b"), scoring.BUILT_IN, AS_OF, 7)
     assert store.current("video_stats").agg(F.sum("pos_count")).first()[0] == counted
     info = {r.video_id: r for r in store.current("video_info").collect()}
     assert info["v0"].is_active == 0
@@ -188,7 +187,7 @@ def test_page_cap(spark, tmp_path):
     comments = made(120)
     store = start_store(spark, tmp_path / "state")
     land(tmp_path / "a", 1, comments)
-    run_cycle(store, 1, batch(spark, tmp_path / "a"), scoring.BUILT_IN, AS_OF, 7, cap=10)
+    take_in(store, 1, batch(spark, tmp_path / "a"), scoring.BUILT_IN, AS_OF, 7, cap=10)
     kept = {r.comment_id for r in store.current("raw_comments").collect()}
     expected = set()
     for video in {c["video"] for c in comments}:
