@@ -24,16 +24,21 @@ def video_medians(frame: DataFrame) -> DataFrame:
     return counted.groupBy("video_id").agg(F.percentile("likes", 0.5, F.col("n")).alias("median_likes"))
 
 
-def with_median(frame: DataFrame, videos: int | None = None, key: str = "comment_id") -> DataFrame:
+def with_median(
+    frame: DataFrame, videos: int | None = None, medians: DataFrame | None = None
+) -> DataFrame:
     """Each row with the median of its video. ``videos`` is a proven bound on their number."""
-    return keyed.lookup(frame, video_medians(frame), "video_id", key, small_rows=videos)
+    medians = video_medians(frame) if medians is None else medians
+    return keyed.lookup(frame, medians, "video_id", "comment_id", small_rows=videos)
 
 
-def with_strata(frame: DataFrame, videos: int | None = None) -> DataFrame:
+def with_strata(
+    frame: DataFrame, videos: int | None = None, medians: DataFrame | None = None
+) -> DataFrame:
     """Popularity flag and stratum; the stratum is NULL where a label is."""
     is_top = F.col("likes") >= F.col("median_likes")
     return (
-        with_median(frame, videos)
+        with_median(frame, videos, medians)
         .withColumn("is_top", F.coalesce(is_top, F.lit(False)))
         .withColumn("pop_str", F.when(F.col("is_top"), "Top").otherwise("Bottom"))
         .withColumn(
@@ -49,13 +54,9 @@ def with_strata(frame: DataFrame, videos: int | None = None) -> DataFrame:
 def annotation_frame(
     raw_comments: DataFrame, video_stats: DataFrame, top: int = TOP_ROWS
 ) -> DataFrame:
-    """Comments of the top videos with two labels, popularity and stratum.
-
-    The pivot is written once, as the medians, the strata and the sample all start from it: Spark
-    prunes each use differently and would otherwise scan and shuffle the comments for every one.
-    """
+    """Comments of the top videos with two labels, popularity and stratum."""
     picked = stats.comments_of_top(raw_comments, video_stats, top)
-    return with_strata(cut_lineage(comments.label_pivot(picked)), videos=top)
+    return _stratified_once(comments.label_pivot(picked), top)
 
 
 def annotation_frame_of_versions(
@@ -67,8 +68,16 @@ def annotation_frame_of_versions(
     merge changes nothing but the number of rows that are shuffled.
     """
     picked = stats.comments_of_top(versions, video_stats, top)
-    pivot = comments.label_pivot(comments.merge(picked))
-    return with_strata(cut_lineage(pivot), videos=top)
+    return _stratified_once(comments.label_pivot(comments.merge(picked)), top)
+
+
+def _stratified_once(pivot: DataFrame, top: int) -> DataFrame:
+    """Strata over a pivot that is written first, as the medians, the strata and the sample all
+    start from it: Spark prunes each use differently and would otherwise scan and shuffle the
+    comments for every one.
+    """
+    pivot = cut_lineage(pivot)
+    return with_strata(pivot, top, cut_lineage(video_medians(pivot)))
 
 
 def strata_counts(frame: DataFrame) -> DataFrame:
@@ -115,22 +124,43 @@ def stratified_sample(frame: DataFrame, size: int = SAMPLE_SIZE, seed: int = SEE
     if not counts or not can_stratify(counts, size):
         return frame
     take = quotas(counts, size)
-    quota = frame.sparkSession.createDataFrame(list(take.items()), "strata string, quota int")
-    order = [
-        F.md5(F.concat(F.lit(f"{seed}-"), F.col("comment_id"))),
-        F.col("comment_id"),
-        F.col("comment_text"),
-        F.col("likes"),
-    ]
-    known = frame.where(F.col("strata").isNotNull())
-    first = keyed.top_per_key(known, ["strata"], order, max(take.values()), "comment_id")
+    known = frame.where(F.col("strata").isNotNull()).withColumn(
+        "_hash", F.md5(F.concat(F.lit(f"{seed}-"), F.col("comment_id")))
+    )
+    likely = cut_lineage(_lowest_hashes(known, counts, take))
+    found = {r["strata"]: r["n"] for r in strata_counts(likely).collect()}
+    enough = all(found.get(s, 0) >= q for s, q in take.items())
+    return _first_by_hash(likely if enough else known, take).select(*frame.columns)
+
+
+def _lowest_hashes(known: DataFrame, counts: dict[str, int], take: dict[str, int]) -> DataFrame:
+    """Rows whose hash is low enough to be in the sample, and some more.
+
+    Hashes are even, so the share of a stratum below a bound is known up to chance. The margin of
+    six deviations makes it all but certain that the quota is met; the caller checks that it is,
+    and ranks everything where it is not. What is left to rank is a few times the sample, however
+    large the strata.
+    """
+    bounds = []
+    for stratum, quota in take.items():
+        share = (quota + 6 * quota**0.5 + 20) / counts[stratum]
+        # Digits of a hash sort as text; "g" lies above all of them.
+        bounds.append((stratum, f"{int(share * 16**8):08x}" if share < 1 else "g"))
+    limits = known.sparkSession.createDataFrame(bounds, "strata string, _bound string")
     return (
-        first.join(F.broadcast(quota), "strata")
-        .where(F.col("rn") <= F.col("quota"))
-        .select(*frame.columns)
+        known.join(F.broadcast(limits), "strata")
+        .where(F.col("_hash") < F.col("_bound"))
+        .drop("_bound")
     )
 
 
+def _first_by_hash(rows: DataFrame, take: dict[str, int]) -> DataFrame:
+    order = [F.col(c) for c in ("_hash", "comment_id", "comment_text", "likes")]
+    quota = rows.sparkSession.createDataFrame(list(take.items()), "strata string, quota int")
+    first = keyed.top_per_key(rows, ["strata"], order, max(take.values()), "comment_id")
+    return first.join(F.broadcast(quota), "strata").where(F.col("rn") <= F.col("quota"))
+
+
 def preview(sample: DataFrame, n: int = 5) -> DataFrame:
     return sample.limit(n)
 

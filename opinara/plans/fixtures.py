@@ -32,6 +32,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _READ[key]
 
 
+_ROWS: dict[tuple[str, str], int] = {}
+
+
+def documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Texts, and how many there are; counted once per application."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ROWS:
+        _ROWS[key] = rows.count()
+    return rows, _ROWS[key]
+
+
 def text_id(prefix: str, number: str | Column) -> Column:
     return F.concat(F.lit(prefix), F.col(number).cast("string") if isinstance(number, str) else number)
 
@@ -80,20 +92,18 @@ def comments_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Both sides are shuffled by document: each table is one file here, and a scan of one file is one
     task, which would then score all texts alone.
     """
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    number = documents.count()
+    texts, number = documents(spark, sf_dir)
     turn = comments_plain(spark, sf_dir).withColumn("doc_id", F.col("event_id") % number)
-    return turn.join(documents.hint("merge"), "doc_id").drop("doc_id")
+    return turn.join(texts.hint("merge"), "doc_id").drop("doc_id")
 
 
 def videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Videos; one in four has its title label already."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    number = documents.count()
+    texts, number = documents(spark, sf_dir)
     users = events(spark, sf_dir).select("user_id").distinct()
     user = F.col("user_id")
     published = F.lit(AS_OF).cast("timestamp") - F.make_dt_interval((user % 20).cast("int"))
-    return users.join(documents, F.col("doc_id") == user % number).select(
+    return users.join(texts, F.col("doc_id") == user % number).select(
         text_id("v", "user_id").alias("video_id"),
         text_id("ch", (user % 25).cast("string")).alias("channel_id"),
         F.when(user % 13 == 0, "").otherwise(F.col("text")).alias("video_title"),

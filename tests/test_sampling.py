@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from opinara.operators import sampling
 
@@ -65,6 +66,19 @@ def test_sample_matches_brute_force(spark):
     assert len(out) == 120 and {r.comment_id for r in out} == expected
 
 
+def test_bounds_leave_little_to_rank_and_never_change_the_sample(spark, monkeypatch):
+    _, df = frame(spark, 4000, seed=8)
+    counts = {r.strata: r.n for r in sampling.strata_counts(df).collect()}
+    take = sampling.quotas(counts, 60)
+    known = df.withColumn("_hash", F.md5(F.concat(F.lit("42-"), F.col("comment_id"))))
+    likely = sampling._lowest_hashes(known, counts, take)
+    assert 60 < likely.count() < 1500
+    usual = {r.comment_id for r in sampling.stratified_sample(df, size=60).collect()}
+    # A bound that is missed by bad luck: everything is ranked.
+    monkeypatch.setattr(sampling, "_lowest_hashes", lambda k, c, t: k.limit(0))
+    assert {r.comment_id for r in sampling.stratified_sample(df, size=60).collect()} == usual
+
+
 def test_strata_by_median_with_ties_and_even_counts(spark):
     rows = [("v", f"c{i}", "t", likes, "positive", "neutral") for i, likes in enumerate([1, 2, 3, 9])]
     rows += [("w", f"d{i}", "t", 4, "positive", None) for i in range(3)]
