@@ -13,6 +13,9 @@ TOP_ROWS = 50
 SAMPLE_SIZE = 300
 SEED = 42
 
+# Beyond this many videos a join is better than a filter that lists them.
+SCAN_FILTER_IDS = 200
+
 
 def video_medians(frame: DataFrame) -> DataFrame:
     """Median likes per video.
@@ -65,9 +68,14 @@ def annotation_frame_of_versions(
     """The same from stored versions: only those of the top videos are merged.
 
     Every version of a comment carries the one video it was fetched for, so picking ahead of the
-    merge changes nothing but the number of rows that are shuffled.
+    merge changes nothing but the number of rows that are shuffled. A short list of videos, at most
+    ``top``, is read first and becomes a filter of the scan.
     """
-    picked = stats.comments_of_top(versions, video_stats, top)
+    if top <= SCAN_FILTER_IDS:
+        rows = stats.top_rows(video_stats, top).select("video_id").distinct().collect()
+        picked = stats.comments_of_listed(versions, sorted(r["video_id"] for r in rows))
+    else:
+        picked = stats.comments_of_top(versions, video_stats, top)
     return _stratified_once(comments.label_pivot(comments.merge(picked)), top)
 
 

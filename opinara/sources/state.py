@@ -61,6 +61,10 @@ class StateTables:
         reader = self.spark.read.schema(schema).option("basePath", self.path(table))
         return reader.parquet(f"{self.path(table)}/batch_id={batch_id}")
 
+    def last_batch(self) -> int:
+        """The newest batch whose cycle came to its end; its snapshot is written last."""
+        return self.versions("global_stats").agg(F.max("batch_id").alias("n")).first()["n"] or 0
+
     def work(self, batch_id: int, name: str = "") -> str:
         """Folder for what a batch writes for itself; it is cleared when the batch is done."""
         return f"{self.root}/_work/batch-{batch_id}/{name}".rstrip("/")

@@ -112,14 +112,16 @@ def run_stream(
     max_active: int,
     cap: int | None = None,
     trigger: dict | None = None,
+    first_batch: int = 1,
 ) -> StreamingQuery:
     """Start the intake. By default it takes what has landed and ends, as a scheduled run would.
 
-    ``as_of`` gives the time of a batch by its id; batch ids start at 1, after the initial tables.
+    ``as_of`` gives the time of a batch by its id. Ids start at ``first_batch``, 1 for new tables;
+    a new checkpoint over existing tables has to start beyond their last batch.
     """
 
     def one_cycle(batch: DataFrame, epoch: int) -> None:
-        batch_id = epoch + 1
+        batch_id = epoch + first_batch
         state = StateTables(batch.sparkSession, store.root)
         take_in(state, batch_id, batch, models, as_of(batch_id), max_active, cap)
 

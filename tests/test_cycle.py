@@ -183,6 +183,17 @@ def test_late_redelivered_disabled_and_found(spark, tmp_path):
     assert [r.channel_id for r in store.current("channel_info").collect()] == ["ch"]
 
 
+def test_an_older_batch_is_refused(spark, tmp_path):
+    store = start_store(spark, tmp_path / "state")
+    land(tmp_path / "none", 1, [])
+    rows = spark.createDataFrame(
+        [(1, AS_OF, 0, 0, 0, 0, 0, 0)], schemas.struct(schemas.STATE["global_stats"])
+    )
+    store.write("global_stats", rows, 5)
+    with pytest.raises(ValueError, match="older than the stored batch 5"):
+        take_in(store, 4, batch(spark, tmp_path / "none"), scoring.BUILT_IN, AS_OF, 20)
+
+
 def test_page_cap(spark, tmp_path):
     comments = made(120)
     store = start_store(spark, tmp_path / "state")

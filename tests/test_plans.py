@@ -36,3 +36,16 @@ def test_no_cross_joins(spark, plan):
     for name in ("comments_by_model", "zero_delta", "global_snapshot", "confusion_all_labels"):
         text = plan(QUERIES[name](spark, SF))
         assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_listed_videos_reach_the_scan(spark, plan, tmp_path):
+    fx.comments_plain(spark, SF).write.parquet(str(tmp_path / "t"))
+    ids = [f"v{i}" for i in range(12)]
+    picked = stats.comments_of_listed(spark.read.parquet(str(tmp_path / "t")), ids)
+    text = picked._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    pushed = next(line for line in text.splitlines() if line.startswith("PushedFilters"))
+    assert pushed.count("In(video_id") == 2
+    kept = {r.video_id for r in picked.select("video_id").distinct().collect()}
+    assert kept == set(ids)

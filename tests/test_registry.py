@@ -2,6 +2,8 @@ from datetime import datetime
 
 from opinara import schemas
 from opinara.operators import migrate, registry
+from opinara.plans import jobs
+from opinara.sources.state import StateTables
 
 NOW = datetime(2024, 1, 1)
 
@@ -41,3 +43,32 @@ def test_align_adds_missing_columns(spark):
     new = schemas.align(old, "raw_comments")
     assert new.schema == schemas.struct(schemas.STATE["raw_comments"])
     assert new.first().model_id is None
+
+
+def test_a_store_of_older_layout_is_taken_over(spark, tmp_path):
+    old = {
+        "model_info": known(spark, (4, "b")),
+        "video_info": spark.createDataFrame([("v", "t")], "video_id string, video_title string"),
+        "raw_comments": spark.createDataFrame([("c", "v")], "comment_id string, video_id string"),
+        "global_stats": spark.createDataFrame([("b", 1), ("x", 2)], "model_id string, id int"),
+        "video_stats": spark.createDataFrame(
+            [("v", "x", 1, NOW), ("v", "b", 2, NOW)],
+            "video_id string, model_id string, pos_count int, checked_at timestamp",
+        ),
+    }
+    for name, df in old.items():
+        df.write.parquet(str(tmp_path / "old" / name))
+    store = StateTables(spark, str(tmp_path / "new"))
+    jobs.migrate_job(spark, {t: str(tmp_path / "old" / t) for t in old}, store, NOW)
+    assert {(r.model_id, r.model_name) for r in store.current("model_info").collect()} == {
+        (4, "b"),
+        (5, "x"),
+    }
+    assert {r.model_id for r in store.current("global_stats").collect()} == {4, 5}
+    assert {(r.model_id, r.pos_count) for r in store.current("video_stats").collect()} == {
+        (5, 1),
+        (4, 2),
+    }
+    assert store.current("raw_comments").first().model_id is None
+    assert store.current("video_info").first().video_title_sentiment is None
+    assert store.current("channel_info").count() == 0
