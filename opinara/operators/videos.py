@@ -45,7 +45,13 @@ def with_platform_count(videos: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def decide(active_videos: DataFrame, counts: DataFrame, as_of: datetime) -> DataFrame:
-    """What to do with each active video; the first matching rule wins."""
+    """What to do with each active video, given the platform's comment counts."""
+    return with_action(with_platform_count(active_videos, counts), as_of)
+
+
+def with_action(videos: DataFrame, as_of: datetime) -> DataFrame:
+    """``age_days`` and ``action`` from publication date, stored total and platform count; the first
+    matching rule wins."""
     age = clean.age_days(F.lit(as_of).cast("timestamp"), F.col("date_publication"))
     grown = F.col("yt_count") > F.col("total_comments")
     action = (
@@ -55,11 +61,7 @@ def decide(active_videos: DataFrame, counts: DataFrame, as_of: datetime) -> Data
         .when((F.col("age_days") > FULL_DAYS) & ~grown, "deactivate_quiet")
         .otherwise("fetch")
     )
-    return (
-        with_platform_count(active_videos, counts)
-        .withColumn("age_days", age)
-        .withColumn("action", action)
-    )
+    return videos.withColumn("age_days", age).withColumn("action", action)
 
 
 def deactivate(video_info: DataFrame, video_ids: DataFrame) -> DataFrame:
