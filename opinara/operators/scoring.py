@@ -198,7 +198,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per application."""
+    """Make this package importable in the Python workers, once per application.
+
+    The archive is made where the driver runs and handed to Spark, which serves it to the executors.
+    """
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
