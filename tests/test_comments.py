@@ -67,6 +67,24 @@ def test_salted_and_broadcast_lookup_agree(spark, plan):
     assert "_salt" in plan(salted) and "BroadcastHashJoin" in plan(direct)
 
 
+def test_a_hot_video_is_spread_where_nothing_may_be_broadcast(spark, plan):
+    rows, df = _hot(spark, 6000)
+    marks = df.groupBy("video_id").agg(F.min("published_at").alias("last_sync_date"))
+    expected = sorted(r.comment_id for r in comments.newer_than_sync(df, marks).collect())
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        new = comments.newer_than_sync(df, marks)
+        text = plan(new)
+        assert "Broadcast" not in text and "SortMergeJoin [video_id" in text
+        assert sorted(r.comment_id for r in new.collect()) == expected
+    finally:
+        spark.conf.unset(threshold)
+    salted = df.where("video_id = 'hot'").groupBy(keyed.salt("comment_id")).count().collect()
+    sizes = [r["count"] for r in salted]
+    assert len(sizes) == keyed.SALTS and max(sizes) < 2 * sum(sizes) / keyed.SALTS
+
+
 VERSION = (
     "batch_id long, comment_id string, model_id int, video_id string, comment_text string, "
     "likes int, published_at timestamp, sentiment_label string"
