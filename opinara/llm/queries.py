@@ -7,16 +7,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import substring
+from opinara.llm import decontaminate, mixing, substring
 from opinara.llm.common import table
+from opinara.operators.scoring import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
-    return function
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
+
+
+@query
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document how many of its words the mix takes."""
+    documents, pieces = mixing.mix(table(spark, sf_dir, "documents"), with_text=False)
+    taken = pieces.groupBy("number", "offset").agg(F.sum("n_words").alias("taken"))
+    has_words = F.col("size") > 0
+    return documents.join(taken, ["number", "offset"], "left").select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.when(has_words, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken"),
+    )
+
+
+@query
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document and benchmark item that overlap: the best overlap."""
+    found = decontaminate.find_overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("key")
 
 
 @query
