@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm import bloom
 from opinara.llm.common import as_list_array, byte_chunks, row_key, text_bytes
 from opinara.llm.tokens import Words, segment_hash, words
 from opinara.runtime import cut_lineage
@@ -43,44 +44,54 @@ def unit_sizes(run: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(stops, prepend=0), np.searchsorted(stops, run.offsets, side="right")
 
 
-def unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys, ids = batch.column(0).to_numpy(False), batch.column(1)
-        for first, texts in byte_chunks(batch.column(2)):
+        for _, texts in byte_chunks(batch.column(0)):
             run = words(texts)
-            sizes, units = unit_sizes(run)
-            row = np.repeat(np.arange(first, first + len(texts)), np.diff(units))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(segment_hash(run.hashes, sizes).view(np.int64)),
-                    pa.array(segment_hash(run.hashes, sizes, SECOND).view(np.int64)),
-                    pa.array(keys[row].astype(np.int64)),
-                    ids.take(pa.array(row)),
-                    pa.array((np.arange(len(sizes)) - units[:-1][row - first]).astype(np.int32)),
-                ],
-                names=["h1", "h2", "key", "doc_id", "unit"],
-            )
+            found = segment_hash(run.hashes, unit_sizes(run)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h1"])
+
+
+def shared_units(docs: DataFrame, allowed) -> DataFrame:
+    """(h1, h2, key, doc_id, unit) of the units whose digest may occur twice."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ids = batch.column(0).to_numpy(False), batch.column(1)
+            for first, texts in byte_chunks(batch.column(2)):
+                run = words(texts)
+                sizes, units = unit_sizes(run)
+                h1 = segment_hash(run.hashes, sizes)
+                found = bloom.possible(allowed.value, h1)
+                row = np.repeat(np.arange(len(texts)), np.diff(units))[found]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(h1[found].view(np.int64)),
+                        pa.array(segment_hash(run.hashes, sizes, SECOND)[found].view(np.int64)),
+                        pa.array(keys[first + row].astype(np.int64)),
+                        ids.take(pa.array(first + row)),
+                        pa.array((found - units[row]).astype(np.int32)),
+                    ],
+                    names=["h1", "h2", "key", "doc_id", "unit"],
+                )
+
+    columns = [row_key().alias("key"), F.col("doc_id").cast("long"), text_bytes().alias("t")]
+    return docs.select(*columns).mapInArrow(read, "h1 long, h2 long, key long, doc_id long, unit int")
 
 
 def later_units(docs: DataFrame) -> DataFrame:
-    """(key, unit): every occurrence of a digest but its first."""
-    units = cut_lineage(
-        docs.select(row_key().alias("key"), F.col("doc_id").cast("long"), text_bytes().alias("t"))
-        .mapInArrow(unit_rows, "h1 long, h2 long, key long, doc_id long, unit int")
-    )
-    shared = units.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    found = units.join(shared, ["h1", "h2"])
-    # numbers first, so that the smallest occurrence is found by hash aggregates only
-    order = F.coalesce("doc_id", F.lit(-(2**63)))
-    lowest = found.groupBy("h1", "h2").agg(F.min(order).alias("first_id"))
-    own = found.join(lowest, ["h1", "h2"]).withColumn("own", order == F.col("first_id"))
-    first_key = own.where("own").groupBy("h1", "h2").agg(F.min("key").alias("first_key"))
-    own = own.join(first_key, ["h1", "h2"]).withColumn(
-        "own", F.col("own") & (F.col("key") == F.col("first_key"))
-    )
-    first_unit = own.where("own").groupBy("h1", "h2").agg(F.min("unit").alias("first_unit"))
-    own = own.join(first_unit, ["h1", "h2"])
-    return own.where(~(F.col("own") & (F.col("unit") == F.col("first_unit")))).select("key", "unit")
+    """(key, unit): every occurrence of a digest but its first.
+
+    A first pass counts half digests alone. What occurs twice goes into a Bloom filter of fixed size,
+    so that the second pass shuffles little more than the repeated units.
+    """
+    counted = docs.select(text_bytes().alias("t")).mapInArrow(digests, "h1 long")
+    twice = cut_lineage(counted.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"))
+    allowed = docs.sparkSession.sparkContext.broadcast(bloom.build(twice, "h1"))
+    units = cut_lineage(shared_units(docs, allowed))
+    place = F.struct("doc_id", "key", "unit")
+    first = units.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    return units.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("key", "unit")
 
 
 def cut(texts: list[bytes], later: list[np.ndarray], min_words: int):
