@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import decontaminate, mixing, substring
+from opinara.llm import decontaminate, mixing, near_dup, substring
 from opinara.llm.common import table
 from opinara.operators.scoring import ship_package
 
@@ -48,6 +48,14 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("key")
 
 
+@query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document the group of near copies it belongs to."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its text without repeated passages and the removed spans."""
@@ -61,3 +69,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json("removed").alias("removed_spans"),
         "text_kept",
     )
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
+
+ORACLES["op7_minhash_near_dedup"] = f"""
+with recursive w as (select doc_id, {_WORDS} as w from documents),
+s as (
+  select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s
+  from w),
+n as (select doc_id, len(s) as n from s),
+u as (select doc_id, unnest(s) as x from s),
+i as (select a.doc_id as a, b.doc_id as b, count(*) as i
+      from u a join u b on a.x = b.x and a.doc_id <> b.doc_id group by all),
+l as (select a, b from i join n na on na.doc_id = a join n nb on nb.doc_id = b
+      where 100 * i >= 85 * (na.n + nb.n - i)),
+r as (select doc_id, doc_id as reached from s union select r.doc_id, l.b from r join l on l.a = r.reached)
+select doc_id, n.n as n_shingles, min(reached) as component_id, doc_id = min(reached) as kept
+from r join n using (doc_id) group by doc_id, n.n
+"""
