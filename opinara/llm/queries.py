@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import decontaminate, mixing, near_dup, substring
-from opinara.llm.common import table
+from opinara.llm import decontaminate, language, mixing, near_dup, substring
+from opinara.llm.common import remainder, table
 from opinara.operators.scoring import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,23 @@ def query(function):
     return run
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its language, learned from three quarters of the documents."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder(4) == 2
+    model = language.fit(docs.where(~held_out))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "lang_pred",
+        "score",
+        F.size("spans").alias("n_spans"),
+        F.to_json("spans").alias("spans"),
+    )
+
+
 @query
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document how many of its words the mix takes."""
@@ -90,3 +108,7 @@ r as (select doc_id, doc_id as reached from s union select r.doc_id, l.b from r
 select doc_id, n.n as n_shingles, min(reached) as component_id, doc_id = min(reached) as kept
 from r join n using (doc_id) group by doc_id, n.n
 """
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
