@@ -8,7 +8,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import decontaminate, language, mixing, near_dup, substring
+from opinara.llm import decontaminate, language, mixing, near_dup, quality, substring
 from opinara.llm.common import remainder, table
 from opinara.operators.scoring import ship_package
 
@@ -74,6 +74,12 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its statistics and the verdict of fixed limits and robust distance."""
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its text without repeated passages and the removed spans."""
