@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import decontaminate, language, mixing, near_dup, quality, substring
+from opinara.llm import decontaminate, language, mixing, near_dup, quality, substring, warc
 from opinara.llm.common import remainder, table
 from opinara.operators.scoring import ship_package
 
@@ -66,6 +67,13 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("key")
 
 
+@query
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page the record that the archives hold of it."""
+    records = warc.round_trip(table(spark, sf_dir, "pages"), datetime(2024, 1, 31))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document the group of near copies it belongs to."""
@@ -115,6 +123,18 @@ select doc_id, n.n as n_shingles, min(reached) as component_id, doc_id = min(rea
 from r join n using (doc_id) group by doc_id, n.n
 """
 
+ORACLES["op6_warc_round_trip"] = """
+with p as (select page_id, encode(coalesce(html, '')) as b from pages),
+q as (select page_id, octet_length(b) as n, sha1(b) as h, min(page_id) over (partition by b) as first from p),
+d as (select *, list_transform(range(32), lambda i:
+        ('0x' || substr(h, 5 * (i // 4) + 1, 5))::int >> (15 - 5 * (i % 4)) & 31) as v from q)
+select page_id, n as payload_bytes,
+  array_to_string(list_transform(v, lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', x + 1, 1)), '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from d
+"""
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
