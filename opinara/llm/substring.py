@@ -53,7 +53,7 @@ def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_units(docs: DataFrame, allowed) -> DataFrame:
-    """(h1, h2, key, doc_id, unit) of the units whose digest may occur twice."""
+    """(h1, h2, key, doc_id, units): per text and digest that may occur elsewhere too, its places."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -61,26 +61,34 @@ def shared_units(docs: DataFrame, allowed) -> DataFrame:
             for first, texts in byte_chunks(batch.column(2)):
                 run = words(texts)
                 sizes, units = unit_sizes(run)
-                h1 = segment_hash(run.hashes, sizes)
+                h1, h2 = segment_hash(run.hashes, sizes), segment_hash(run.hashes, sizes, SECOND)
                 found = bloom.possible(allowed.value, h1)
                 row = np.repeat(np.arange(len(texts)), np.diff(units))[found]
+                order = np.lexsort((h2[found], h1[found], row))
+                found, row = found[order], row[order]
+                h1, h2 = h1[found], h2[found]
+                new = np.flatnonzero(
+                    (np.diff(row, prepend=-1) != 0) | (h1 != np.roll(h1, 1)) | (h2 != np.roll(h2, 1))
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h1[found].view(np.int64)),
-                        pa.array(segment_hash(run.hashes, sizes, SECOND)[found].view(np.int64)),
-                        pa.array(keys[first + row].astype(np.int64)),
-                        ids.take(pa.array(first + row)),
-                        pa.array((found - units[row]).astype(np.int32)),
+                        pa.array(h1[new].view(np.int64)),
+                        pa.array(h2[new].view(np.int64)),
+                        pa.array(keys[first + row[new]].astype(np.int64)),
+                        ids.take(pa.array(first + row[new])),
+                        as_list_array(found - units[row], np.append(new, len(found)), pa.int32()),
                     ],
-                    names=["h1", "h2", "key", "doc_id", "unit"],
+                    names=["h1", "h2", "key", "doc_id", "units"],
                 )
 
     columns = [row_key().alias("key"), F.col("doc_id").cast("long"), text_bytes().alias("t")]
-    return docs.select(*columns).mapInArrow(read, "h1 long, h2 long, key long, doc_id long, unit int")
+    return docs.select(*columns).mapInArrow(
+        read, "h1 long, h2 long, key long, doc_id long, units array<int>"
+    )
 
 
 def later_units(docs: DataFrame) -> DataFrame:
-    """(key, unit): every occurrence of a digest but its first.
+    """(key, later): the units of each text that are not the first of their digest.
 
     A first pass counts half digests alone. What occurs twice goes into a Bloom filter of fixed size,
     so that the second pass shuffles little more than the repeated units.
@@ -89,9 +97,12 @@ def later_units(docs: DataFrame) -> DataFrame:
     twice = cut_lineage(counted.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"))
     allowed = docs.sparkSession.sparkContext.broadcast(bloom.build(twice, "h1"))
     units = cut_lineage(shared_units(docs, allowed))
-    place = F.struct("doc_id", "key", "unit")
-    first = units.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-    return units.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("key", "unit")
+    place = F.struct("doc_id", "key")
+    # written, so that a digest of very many texts can be split when it is joined
+    first = cut_lineage(units.groupBy("h1", "h2").agg(F.min(place).alias("first")))
+    rest = F.when(place.eqNullSafe(F.col("first")), F.slice("units", 2, F.size("units"))).otherwise(F.col("units"))
+    later = units.join(first, ["h1", "h2"]).select("key", rest.alias("units")).where(F.size("units") > 0)
+    return later.groupBy("key").agg(F.flatten(F.collect_list("units")).alias("later"))
 
 
 def cut(texts: list[bytes], later: list[np.ndarray], min_words: int):
@@ -149,7 +160,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     names=["row", "kept", "starts", "ends"],
                 )
 
-    lists = later_units(docs).groupBy("key").agg(F.collect_list("unit").alias("later"))
+    lists = later_units(docs)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text_kept", "removed")])
     joined = (
         docs.select(row_key().alias("key"), row.alias("row"), text_bytes().alias("t"))
