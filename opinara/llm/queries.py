@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import chat, decontaminate, language, mixing, near_dup, quality, substring, warc
+from opinara.llm import chat, decontaminate, language, mixing, near_dup, quality, substring, toxicity, warc
 from opinara.llm.common import remainder, table
 from opinara.operators.scoring import ship_package
 
@@ -58,6 +58,22 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document how likely it is toxic, learned from two thirds of the labelled documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(3) == 1
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic")
+    found = toxicity.score(docs, toxicity.fit(docs.join(labels, "doc_id")))
+    return found.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+        "worst_word",
+    )
+
+
 @query
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per conversation, and one that tries to break out of its turns, what its rendering holds."""
