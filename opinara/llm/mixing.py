@@ -186,34 +186,31 @@ def running_sum(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     return df.withColumn("before", F.coalesce(F.sum("size").over(window), F.lit(0)))
 
 
-def laid_out(docs: DataFrame, sources: DataFrame, columns: list[str]) -> DataFrame:
-    """(number, source, source_size, target, doc_id, size, offset, columns): `offset` tells where each
-    document begins in its source's stream.
+def numbered(rows: DataFrame, sources: DataFrame) -> DataFrame:
+    """Rows with their source's number, size and target instead of its name alone."""
+    # one row a source, already read on the driver
+    known = F.broadcast(sources.withColumnRenamed("source", "name"))
+    return rows.join(known, F.col("source").eqNullSafe(F.col("name"))).drop("name")
+
+
+def laid_out(rows: DataFrame, sizes: DataFrame, total: int) -> DataFrame:
+    """Rows (number, place, doc_id, size, ...) with `offset`, where each document begins in its source's
+    stream. sizes: the same rows, of which number, place and size are enough.
 
     A source is no group of its own: rows are summed in buckets of about `ROWS_PER_BUCKET` rows, these
     in groups of `BUCKETS` buckets, and these in the source.
     """
-    total = docs.select(F.count("*")).first()[0]
-    buckets = F.lit(max(1, -(-total // ROWS_PER_BUCKET)))
-    place = F.xxhash64("doc_id", "text")
-    rows = docs.select(
-        F.col("source").alias("name"), "doc_id", *columns, count_words(F.col("text")).alias("size"), place.alias("place")
-    )
-    # one row a source, already read on the driver
-    rows = rows.join(F.broadcast(sources), F.col("name").eqNullSafe(F.col("source"))).drop("name")
-    rows = rows.withColumn("bucket", F.pmod("place", buckets))
-    low = rows.groupBy("number", "bucket").agg(F.sum("size").alias("size"))
+    bucket = F.pmod("place", F.lit(max(1, -(-total // ROWS_PER_BUCKET)))).alias("bucket")
+    low = cut_lineage(sizes.groupBy("number", bucket).agg(F.sum("size").alias("size")))
     low = low.withColumn("group", F.floor(F.col("bucket") / BUCKETS))
     high = running_sum(
         low.groupBy("number", "group").agg(F.sum("size").alias("size")), ["number"], ["group"]
     ).select("number", "group", F.col("before").alias("group_start"))
     low = running_sum(low, ["number", "group"], ["bucket"]).join(high, ["number", "group"])
     starts = low.select("number", "bucket", (F.col("group_start") + F.col("before")).alias("start"))
-    local = running_sum(rows, ["number", "bucket"], ["place", "doc_id"])
-    return local.join(starts, ["number", "bucket"]).select(
-        "number", "source", "source_size", "target", "doc_id", "size",
-        (F.col("start") + F.col("before")).alias("offset"), *columns,
-    )
+    local = running_sum(rows.select("*", bucket), ["number", "bucket"], ["place", "doc_id"])
+    offset = F.col("start") + F.col("before")
+    return local.join(starts, ["number", "bucket"]).withColumn("offset", offset).drop("start", "before", "bucket")
 
 
 def mix(
@@ -228,10 +225,14 @@ def mix(
     pieces of a slot in the order of their parts are one block of the mix.
     """
     spark = docs.sparkSession
-    sources = source_table(docs.select("source", count_words(F.col("text")).alias("size")))
+    columns = ["source", "doc_id", count_words(F.col("text")).alias("size"), F.xxhash64("doc_id", "text").alias("place")]
+    sizes = cut_lineage(docs.select(*columns))
+    sources = source_table(sizes)
     schema = "number long, source string, source_size long, target double"
     known = spark.createDataFrame([(s.number, s.name, s.size, s.target) for s in sources], schema)
-    documents = laid_out(docs, known, ["text"] if with_text else [])
+    sizes = numbered(sizes, known)
+    rows = numbered(docs.select(*columns, "text"), known) if with_text else sizes
+    documents = laid_out(rows, sizes, sizes.count())
     if not with_text:
         documents = cut_lineage(documents)
 
@@ -295,7 +296,8 @@ def mix(
     # words of the block that the slot takes, when it is the last of its source
     part = F.col("offset") + F.col("first_word") - F.col("block") * block
     taken = F.least(F.col("n_words"), F.col("limit") - part)
-    mixed = slots.join(pieces, ["number", "block"]).withColumns({"part": part, "taken": taken}).where("taken > 0")
+    # shuffled by block, whatever the optimizer thinks of the pieces' size
+    mixed = slots.join(pieces.hint("merge"), ["number", "block"]).withColumns({"part": part, "taken": taken}).where("taken > 0")
     kept = [
         F.col(c)
         for c in ("shard", "slot", "part", "number", "source", "offset", "doc_id", "first_word")
