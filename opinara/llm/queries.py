@@ -9,7 +9,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import chat, decontaminate, language, mixing, near_dup, quality, substring, toxicity, warc
+from opinara.llm import chat, decontaminate, language, lm, mixing, near_dup, quality, substring, toxicity, warc
 from opinara.llm.common import remainder, table
 from opinara.operators.scoring import ship_package
 
@@ -108,6 +108,12 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its log10 probability, learned from four fifths of the documents."""
+    return lm.score_texts(table(spark, sf_dir, "documents"), remainder(5) == 1)
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its statistics and the verdict of fixed limits and robust distance."""
