@@ -7,12 +7,13 @@ with equal sets form a class, and all that follows is done on classes, so copies
   their sketches (the similarity less 4.5 standard deviations, so one pair in some 300 000 is missed),
   hence a value among the first m - ceil(tau * m) + 1 of each, in any order common to all. Values are
   ordered by how many sketches retain them, rare ones first: a value of a common line heads no sketch.
-* A list is not expanded into pairs. Every member is paired with two hubs: the member whose values are
-  commonest in all, that is the text nearest to the origin of a group of copies, and one at random.
+* A list is not expanded into pairs. Every member is paired with its hub: the member whose values are
+  commonest in all, that is the text nearest to the origin of a group of copies. Lists with the same
+  members count once.
 * Pairs pass the estimate from the union sketch, then exact Jaccard similarity on full sets. Links
   found so far are contracted; within a component no further pair matters.
-* What lists still hold of different components is compared exhaustively on sketches, in blocks of
-  bounded size and without emitting pairs; only those at `tau` go to the exact test.
+* What lists still hold of different components is compared in blocks of bounded size, first by sketches,
+  then by full sets, inside the task: it gives back only links that join components, fewer than members.
 
 So the result lacks no link but by the sketches' chance. Sets are hashed to 64 bits; two different sets
 taken for equal are expected once in 6e8 rows at most (n is compared too).
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ from opinara.llm.tokens import windows, words
 from opinara.runtime import cut_lineage
 
 K = 64
-BLOCK = 256
+BLOCK = 512
 SIGN = np.uint64(1 << 63)
 
 
@@ -141,16 +143,22 @@ def inverted_lists(classes: DataFrame, tau: float) -> DataFrame:
     return ranked.where(F.col("rank") + m - F.col("shared") <= prefix).select("value", "cid", "central")
 
 
-def hub_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b): each member with the most central member of its list and with one taken by chance."""
-    hubs = lists.groupBy("value").agg(
-        F.max(F.struct("central", "cid"))["cid"].alias("centre"),
-        F.max(F.struct(F.xxhash64("value", "cid"), "cid"))["cid"].alias("chance"),
-    )
-    met = lists.join(hubs, "value").select(
-        "cid", F.explode(F.array_distinct(F.array("centre", "chance"))).alias("hub")
+def shared_lists(lists: DataFrame) -> DataFrame:
+    """The lists with two members or more, one of each kind of membership."""
+    kinds = (
+        lists.groupBy("value")
+        .agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("cid")).alias("members"))
+        .where("size > 1")
     )
-    return pair(met.where("cid <> hub"), F.col("cid"), F.col("hub"))
+    chosen = kinds.groupBy("size", "members").agg(F.min("value").alias("value"))
+    return lists.join(chosen.select("value", "size"), "value")
+
+
+def hub_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b): each member with the most central member of its list."""
+    hubs = lists.groupBy("value").agg(F.max(F.struct("central", "cid"))["cid"].alias("hub"))
+    met = lists.join(hubs, "value").where("cid <> hub")
+    return pair(met, F.col("cid"), F.col("hub"))
 
 
 def pair(df: DataFrame, one: Column, other: Column) -> DataFrame:
@@ -180,65 +188,88 @@ def linked(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int,
     ).select("a", "b")
 
 
-def unsettled_pairs(lists: DataFrame, classes: DataFrame, components: DataFrame, tau: float) -> DataFrame:
-    """(a, b): pairs of different components that share a list and at least tau of their sketches."""
+def settled(lists: DataFrame, sets: DataFrame, components: DataFrame, percent: int, tau: float) -> DataFrame:
+    """(a, b): links between different components that share a list."""
     comp = F.coalesce("component", "cid")
     members = lists.join(components.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "value", "cid", comp.alias("component")
+        "value", "size", "cid", comp.alias("component")
     )
     # a list of two has been settled by its hub
-    open_ = members.groupBy("value").agg(
-        F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_ = open_.where("size > 2 and low <> high").select("value", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    rows = members.join(open_, "value").join(classes.select("cid", "sketch"), "cid")
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
-    rows = rows.withColumn("own", own).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    open_ = members.where("size > 2").groupBy("value").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
     )
-    groups = rows.groupBy("value", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")).agg(
-        F.collect_list(F.struct("cid", "component", "own", "sketch")).alias("members")
+    open_ = cut_lineage(open_.where("low <> high").select("value"))
+    rows = members.join(open_, "value").join(sets, "cid")
+    blocks = F.ceil(F.col("size") / BLOCK)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("cid"), blocks)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
     )
+    groups = rows.groupBy(
+        "value", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi")
+    ).agg(F.collect_list(F.struct("cid", "component", "shingles")).alias("members"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = set()
-            for members, lo, hi in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                pairs |= close_pairs(members, lo != hi, tau)
-            a, b = zip(*sorted(pairs), strict=True) if pairs else ((), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"]
-            )
-
-    return groups.select("members", "lo", "hi").mapInArrow(compare, "a long, b long").distinct()
-
-
-def close_pairs(members: list[dict], two_blocks: bool, tau: float) -> set[tuple[int, int]]:
-    """Pairs of different components (and of different blocks, if there are two) at tau."""
-    cid = np.array([m["cid"] for m in members], np.int64)
-    names, comp = np.unique([m["component"] for m in members], return_inverse=True)
-    if len(names) < 2:
-        return set()
-    own = np.array([m["own"] for m in members])
-    size = np.array([len(m["sketch"]) for m in members])
-    values, column, count = np.unique(
-        np.concatenate([m["sketch"] for m in members]), return_inverse=True, return_counts=True
-    )
-    row = np.repeat(np.arange(len(members)), size)
-    shared = count[column] > 1
-    place = np.cumsum(count > 1) - 1
-    has = np.zeros((len(members), int((count > 1).sum())), np.float32)
-    has[row[shared], place[column[shared]]] = 1
+            links = [(np.zeros(0, np.int64),) * 2]
+            for i in range(batch.num_rows):
+                m = batch.column(0).slice(i, 1).flatten()
+                shingles = m.field("shingles")
+                links.append(
+                    joining_links(
+                        m.field("cid").to_numpy(False),
+                        m.field("component").to_numpy(False),
+                        pc.list_value_length(shingles).to_numpy(False).astype(np.int64),
+                        shingles.flatten().to_numpy(False),
+                        percent,
+                        tau,
+                    )
+                )
+            a, b = (np.concatenate(x) for x in zip(*links, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return groups.select("members").mapInArrow(compare, "a long, b long").distinct()
+
+
+def joining_links(cid, component, size, values, percent: int, tau: float):
+    """(a, b): links between members of different components, as many as join them and no more.
+
+    values: the members' sets one after another, each sorted.
+    """
+    order = np.argsort(cid)
+    names, comp = np.unique(component, return_inverse=True)
+    first = np.cumsum(size) - size
+    found, column = np.unique(values, return_inverse=True)
+    close = sketches_close(size, first, column, tau)
+    root = np.arange(len(names))
+    a, b = [], []
     # the largest component's members need no comparison among each other
-    rest = np.flatnonzero(comp != np.bincount(comp).argmax())
-    overlap = has[rest] @ has.T
-    close = overlap >= np.ceil(tau * np.minimum(size[rest][:, None], size[None, :])) - 0.5
-    close &= comp[rest][:, None] != comp[None, :]
-    if two_blocks:
-        close &= own[rest][:, None] != own[None, :]
-    i, j = np.nonzero(close)
-    a, b = cid[rest[i]], cid[j]
-    return set(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True))
+    for i in order[comp[order] != np.bincount(comp).argmax()]:
+        others = np.flatnonzero(close[i] & (root[comp] != root[comp[i]]))
+        if not len(others):
+            continue
+        mine = np.zeros(len(found), bool)
+        mine[column[first[i] : first[i] + size[i]]] = True
+        common = np.add.reduceat(mine[column], first, dtype=np.int64)[others]
+        linked = others[100 * common >= percent * (size[i] + size[others] - common)]
+        for j in linked:
+            if root[comp[i]] != root[comp[j]]:
+                root[root == root[comp[j]]] = root[comp[i]]
+                a.append(min(cid[i], cid[j]))
+                b.append(max(cid[i], cid[j]))
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def sketches_close(size, first, column, tau: float) -> np.ndarray:
+    """Which pairs share at least tau of their sketches."""
+    short = np.minimum(size, K)
+    row = np.repeat(np.arange(len(size)), short)
+    kept = column[np.repeat(first - (np.cumsum(short) - short), short) + np.arange(int(short.sum()))]
+    _, place, count = np.unique(kept, return_inverse=True, return_counts=True)
+    shared = count[place] > 1
+    number = np.cumsum(count > 1) - 1
+    has = np.zeros((len(size), int((count > 1).sum())), np.float32)
+    has[row[shared], number[place[shared]]] = 1
+    return has @ has.T >= np.ceil(tau * np.minimum(short[:, None], short[None, :])) - 0.5
 
 
 def components_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -251,14 +282,13 @@ def components_of(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         .agg(F.first("sketch").alias("sketch"), F.min("key").alias("key"))
     )
     lists = cut_lineage(inverted_lists(classes, tau))
-    paired = lists.groupBy("value").agg(F.count("*").alias("size")).where("size > 1").select("value")
-    lists = cut_lineage(lists.join(paired, "value"))
+    lists = cut_lineage(shared_lists(lists))
     wanted = classes.join(lists.select("cid").distinct(), "cid", "left_semi").select("key")
     sets = cut_lineage(full_sets(docs, cut_lineage(wanted), shingle))
 
     links = cut_lineage(linked(hub_pairs(lists), classes, sets, percent, tau))
     found = cut_lineage(connected(links))
-    more = linked(unsettled_pairs(lists, classes, found, tau), classes, sets, percent, tau)
+    more = settled(lists, sets, found, percent, tau)
     stars = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
     found = connected(stars.union(more))
     own = F.when(F.col("n") > 0, F.coalesce("component", "cid"))
