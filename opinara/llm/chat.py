@@ -115,7 +115,7 @@ def text_span(turns: Sequence[Turn], before: str, now: str, render: Render) -> t
     leaves the text out."""
     role, text = turns[-1]
     probe = PROBE
-    while probe in text:
+    while probe in text or probe in role:
         probe += PROBE
     tried = render([*turns[:-1], (role, probe)])
     at = tried.find(probe, len(before) if tried.startswith(before) else 0)
