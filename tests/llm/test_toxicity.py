@@ -57,7 +57,7 @@ def test_gaps_and_inserted_characters(model):
     for word in ["block-head", "b l o c k h e a d", "numbxskull", "n.u.m.b.s.k.u.l.l", "DIMWIT!!", "dim*wit"]:
         units = toxicity.all_units(f"{prose(1, 30)} {word} {prose(2, 30)}")
         assert model.word_scores(sorted(units)).max() > 0, word
-    parts = toxicity.worst_of(model, [{"head", "block", "river", "wonder", "skull"}])
+    parts = toxicity.worst_of(model, [{"head", "river", "wonder", "stone", "the"}])
     assert model.probability(parts)[0] < 0.7
 
 
