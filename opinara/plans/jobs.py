@@ -86,4 +86,5 @@ def export_job(store: StateTables, target: str, gold_path: str | None = None) ->
     )
     current = {t: store.current(t) for t in present}
     gold = gold_file.read_gold(store.spark, gold_path) if gold_path else None
-    return export.export_snapshot(current, target, gold)
+    sources = [store.root, *([gold_path] if gold_path else [])]
+    return export.export_snapshot(current, target, gold, sources)

@@ -48,5 +48,12 @@ def cut_lineage(df: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def clear(spark: SparkSession, folder: str) -> None:
-    """Remove all that lies below a folder: overwriting it with nothing does that on any storage."""
-    spark.createDataFrame([], "nothing string").write.mode("overwrite").text(folder)
+    """Remove a folder and all that lies below it, on whatever storage it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def overlap(one: str, other: str) -> bool:
+    """Whether one of two folders is the other or lies within it."""
+    a, b = (f"{p.removeprefix('file:').rstrip('/')}/".replace("///", "/") for p in (one, other))
+    return a.startswith(b) or b.startswith(a)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from opinara import schemas
 from opinara.operators import evaluation
-from opinara.runtime import clear
+from opinara.runtime import clear, overlap
 from opinara.sources import gold as gold_file
 
 log = logging.getLogger(__name__)
@@ -21,17 +22,24 @@ TABLES = {*REQUIRED.values(), *OPTIONAL.values()}
 
 
 def export_snapshot(
-    tables: dict[str, DataFrame], target: str, gold: DataFrame | None = None
+    tables: dict[str, DataFrame],
+    target: str,
+    gold: DataFrame | None = None,
+    sources: Sequence[str] = (),
 ) -> list[str]:
-    """One CSV folder per table below ``target``, whatever was there is replaced.
+    """One CSV folder per table below ``target``; folders of these names are replaced or, if their
+    table is gone, removed, and nothing else is touched.
 
-    ``tables`` maps state table names to frames. Missing optional tables are skipped with a warning;
-    a missing required one is an error. Returns the names written.
+    ``tables`` maps state table names to frames, ``sources`` are the folders they are read from: a
+    target that overlaps one is refused. Missing optional tables are skipped with a warning; a missing
+    required one is an error. Returns the names written.
     """
     absent = [t for t in REQUIRED.values() if t not in tables]
     if absent:
         raise ValueError(f"required tables missing: {', '.join(absent)}")
-    clear(next(iter(tables.values())).sparkSession, target)
+    for source in sources:
+        if overlap(target, source):
+            raise ValueError(f"target {target} overlaps {source}")
     written = []
     for name, table in {**REQUIRED, **OPTIONAL}.items():
         if table not in tables:
@@ -42,6 +50,9 @@ def export_snapshot(
     if gold is not None:
         gold_file.write_csv(gold, f"{target}/manual_annotation")
         written.append("manual_annotation")
+    spark = next(iter(tables.values())).sparkSession
+    for name in {*REQUIRED, *OPTIONAL, "manual_annotation"} - set(written):
+        clear(spark, f"{target}/{name}")
     return written
 
 

@@ -96,23 +96,37 @@ def test_gold_file(spark, tmp_path):
     assert [r[0] for r in texts.collect()] == [GOLD_ROWS[0][4]]
 
 
-def test_export_skips_missing_optional_tables_and_clears(spark, tmp_path, caplog):
+def test_export_replaces_its_own_names_only(spark, tmp_path, caplog):
     store = StateTables(spark, str(tmp_path / "state"))
     for table in ("video_info", "raw_comments", "global_stats"):
         empty = spark.createDataFrame([], schemas.struct(schemas.STATE[table]))
         store.write(table, empty, 0)
     target = tmp_path / "out"
-    (target / "stale").mkdir(parents=True)
-    (target / "stale" / "old.csv").write_text("x")
+    for name in ("foreign", "model_info"):
+        (target / name).mkdir(parents=True)
+        (target / name / "old.csv").write_text("x")
     with caplog.at_level(logging.WARNING):
         written = jobs.export_job(store, str(target))
     assert written == ["videos", "comments", "global_sum"]
     assert "model_info" in caplog.text
-    assert not (target / "stale").exists() and (target / "videos").exists()
+    assert not (target / "model_info").exists() and (target / "videos").exists()
+    assert (target / "foreign" / "old.csv").read_text() == "x"
     with pytest.raises(ValueError):
         export.export_snapshot({}, str(target))
 
 
+def test_export_refuses_a_target_that_overlaps_its_source(spark, tmp_path):
+    store = StateTables(spark, str(tmp_path / "data" / "state")).create()
+    (tmp_path / "data" / "other.txt").write_text("x")
+    before = sorted(p for p in tmp_path.rglob("*"))
+    for target in (tmp_path / "data", tmp_path / "data" / "state", tmp_path / "data" / "state" / "out"):
+        for form in (str(target), f"file:{target}/", f"file://{target}"):
+            with pytest.raises(ValueError, match="overlaps"):
+                jobs.export_job(store, form)
+    assert sorted(p for p in tmp_path.rglob("*")) == before
+    jobs.export_job(store, str(tmp_path / "data" / "state2"))
+
+
 def test_store_creation_leaves_tables_alone(spark, tmp_path):
     store = StateTables(spark, str(tmp_path)).create()
     rows = spark.createDataFrame([("c", "n")], "channel_id string, channel_name string")
