@@ -10,15 +10,21 @@ from pyspark.sql import types as T
 # and '12:00' for today.
 TIME_PATTERN = (
     r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+    r"([T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 )
 
 
 def to_time(value: Column) -> Column:
-    """Text time to TIMESTAMP: ISO with ``Z``, offset or none (= UTC), blank separated; else NULL."""
-    with_colon = F.regexp_replace(value, r"([+-]\d{2})(\d{2})$", r"$1:$2")
-    zoned = F.when(value.rlike(r"[T ].*[+-]\d{4}$"), with_colon).otherwise(value)
-    return F.when(value.rlike(TIME_PATTERN), F.try_to_timestamp(zoned))
+    """Text time to TIMESTAMP: ISO, extended or basic, with ``Z``, offset or none (= UTC), with ``T`` or
+    a blank; else NULL."""
+    dashed = F.regexp_replace(value, r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", r"$1-$2-$3")
+    timed = F.regexp_replace(dashed, r"([T ]\d{2})(\d{2})(\d{2})(?=[.Z+-]|$)", r"$1:$2:$3")
+    timed = F.regexp_replace(timed, r"([T ]\d{2})(\d{2})(?=[Z+-]|$)", r"$1:$2")
+    full = F.regexp_replace(timed, r"([T ]\d{2})(?=Z|[+-]|$)", r"$1:00")
+    full = F.regexp_replace(full, r"([T ]\d{2}:\d{2})(?=Z|[+-])", r"$1:00")
+    zoned = F.regexp_replace(full, r"([T ].*[+-]\d{2})(\d{2})$", r"$1:$2")
+    zoned = F.regexp_replace(zoned, r"([T ].*[+-]\d{2})$", r"$1:00")
+    return F.when(timed.rlike(TIME_PATTERN), F.try_to_timestamp(zoned))
 
 
 def time_column(df: DataFrame, name: str) -> Column:
@@ -29,8 +35,8 @@ def time_column(df: DataFrame, name: str) -> Column:
 
 
 def like_count(value: Column) -> Column:
-    """Likes as INT; missing and unreadable ones are 0."""
-    return F.coalesce(value.try_cast("int"), F.lit(0))
+    """Likes as BIGINT, decimals cut off; missing and unreadable ones are 0."""
+    return F.coalesce(value.try_cast("decimal(38,6)").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def first_filled(df: DataFrame, *names: str, default: str | None = None) -> Column:

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opinara import schemas
+from opinara.functions import clean
 from opinara.operators import registry
+from opinara.runtime import cut_lineage
 
 
 def names_in(table: DataFrame, order: str) -> DataFrame:
@@ -30,7 +32,10 @@ def global_stats(
 def video_stats(
     table: DataFrame, model_info: DataFrame, order: str, as_of: datetime
 ) -> tuple[DataFrame, DataFrame]:
-    """The same for per-video counters; rows that now share a key collapse to the last one."""
+    """The same for per-video counters; rows that now share a key collapse to the last one. An order
+    that is a time kept as text is read as time."""
+    if order in ("checked_at", "last_sync_date"):
+        table = table.withColumn(order, clean.time_column(table, order))
     known = _extended(table, model_info, order, as_of)
     fixed = registry.resolve(table, "model_id", known)
     return schemas.align(_last_row(fixed, order), "video_stats"), known
@@ -39,16 +44,19 @@ def video_stats(
 def _extended(
     table: DataFrame, model_info: DataFrame, order: str, as_of: datetime
 ) -> DataFrame:
+    """The registry with the table's new names: few rows, written so that later steps read them."""
     new = registry.register(names_in(table, order), model_info, as_of)
-    return model_info.unionByName(new)
+    return cut_lineage(model_info.unionByName(new))
 
 
 def _last_row(table: DataFrame, order: str) -> DataFrame:
+    """One row per key: the last by ``order``, equal or missing ones settled by the other columns.
+    Rows without a model id never meet another row."""
     rest = [c for c in table.columns if c not in ("video_id", "model_id", order)]
-    with_id = table.where(F.col("model_id").isNotNull())
-    merged = (
-        with_id.groupBy("video_id", "model_id")
-        .agg(F.max_by(F.struct(*rest), order).alias("row"))
+    alone = F.when(F.col("model_id").isNull(), F.monotonically_increasing_id())
+    return (
+        table.withColumn("_alone", alone)
+        .groupBy("video_id", "model_id", "_alone")
+        .agg(F.max(F.struct(order, *rest)).alias("row"))
         .select("video_id", "model_id", "row.*")
     )
-    return merged.unionByName(table.where(F.col("model_id").isNull()).drop(order))

@@ -30,8 +30,20 @@ def test_times(spark, written, expected):
 
 
 def test_like_count(spark):
-    df = spark.createDataFrame([("7",), (None,), ("many",)], "likes string")
-    assert [r[0] for r in df.select(clean.like_count(F.col("likes"))).collect()] == [7, 0, 0]
+    rows = [("7",), (None,), ("many",), ("3000000000",), ("12.0",), ("9" * 30,)]
+    df = spark.createDataFrame(rows, "likes string")
+    found = [r[0] for r in df.select(clean.like_count(F.col("likes"))).collect()]
+    assert found == [7, 0, 0, 3_000_000_000, 12, 0]
+
+
+def test_further_forms_of_time(spark):
+    rows = ["2024-01-31T10:00:00+02", "20240131T080000Z", "20240131", "2024-01-31T08", "20240131T0800+0200", "2024", "20241"]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    found = [r[0] and r[0].isoformat() for r in df.select(clean.to_time(F.col("t"))).collect()]
+    assert found == [
+        "2024-01-31T08:00:00", "2024-01-31T08:00:00", "2024-01-31T00:00:00", "2024-01-31T08:00:00",
+        "2024-01-31T06:00:00", None, None,
+    ]
 
 
 def test_first_filled_skips_empty_and_missing_columns(spark):

@@ -52,7 +52,7 @@ def test_a_store_of_older_layout_is_taken_over(spark, tmp_path):
         "raw_comments": spark.createDataFrame([("c", "v")], "comment_id string, video_id string"),
         "global_stats": spark.createDataFrame([("b", 1), ("x", 2)], "model_id string, id int"),
         "video_stats": spark.createDataFrame(
-            [("v", "x", 1, NOW), ("v", "b", 2, NOW)],
+            [("v", "x", 1, NOW), ("v", "b", 2, NOW), ("w", "b", 7, None), ("w", "4", 8, None)],
             "video_id string, model_id string, pos_count int, checked_at timestamp",
         ),
     }
@@ -68,7 +68,10 @@ def test_a_store_of_older_layout_is_taken_over(spark, tmp_path):
     assert {(r.model_id, r.pos_count) for r in store.current("video_stats").collect()} == {
         (5, 1),
         (4, 2),
+        (4, 8),
     }
+    times = {r.video_id: r.checked_at for r in store.current("video_stats").collect()}
+    assert times == {"v": NOW.replace(tzinfo=None), "w": None}
     assert store.current("raw_comments").first().model_id is None
     assert store.current("video_info").first().video_title_sentiment is None
     assert store.current("channel_info").count() == 0
