@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.operators import comments, keyed, stats
@@ -13,9 +13,6 @@ TOP_ROWS = 50
 SAMPLE_SIZE = 300
 SEED = 42
 
-# Beyond this many videos a join is better than a filter that lists them.
-SCAN_FILTER_IDS = 200
-
 
 def video_medians(frame: DataFrame) -> DataFrame:
     """Median likes per video.
@@ -65,18 +62,14 @@ def annotation_frame(
 def annotation_frame_of_versions(
     versions: DataFrame, video_stats: DataFrame, top: int = TOP_ROWS
 ) -> DataFrame:
-    """The same from stored versions: only those of the top videos are merged.
+    """The same from stored versions: only comments that a top video has ever held are merged.
 
-    Every version of a comment carries the one video it was fetched for, so picking ahead of the
-    merge changes nothing but the number of rows that are shuffled. A short list of videos, at most
-    ``top``, is read first and becomes a filter of the scan.
+    A merged comment belongs to the video of its first version, so its id is among those; whether it is
+    that video is asked again after the merge.
     """
-    if top <= SCAN_FILTER_IDS:
-        rows = stats.top_rows(video_stats, top).select("video_id").distinct().collect()
-        picked = stats.comments_of_listed(versions, sorted(r["video_id"] for r in rows))
-    else:
-        picked = stats.comments_of_top(versions, video_stats, top)
-    return _stratified_once(comments.label_pivot(comments.merge(picked)), top)
+    held = stats.comments_of_top(versions, video_stats, top).select("comment_id").distinct()
+    merged = comments.merge(versions.join(held, "comment_id", "left_semi"))
+    return annotation_frame(merged, video_stats, top)
 
 
 def _stratified_once(pivot: DataFrame, top: int) -> DataFrame:
@@ -96,52 +89,54 @@ def strata_counts(frame: DataFrame) -> DataFrame:
     )
 
 
-def quotas(counts: dict[str, int], size: int) -> dict[str, int]:
-    """Rows to take per stratum: whole shares, then one more for the largest remainders."""
-    total = sum(counts.values())
-    share = {s: divmod(n * size, total) for s, n in counts.items()}
-    missing = size - sum(base for base, _ in share.values())
-    by_remainder = sorted(share, key=lambda s: (-share[s][1], s))
-    extra = set(by_remainder[:missing])
-    return {s: base + (s in extra) for s, (base, _) in share.items()}
+def quotas(counts: DataFrame, size: int) -> DataFrame:
+    """Adds ``quota``, the rows to take per stratum: whole shares, then one more for the largest
+    remainders. The ranking runs over the strata table, a row for each pair of labels."""
+    total, n = F.sum("n").over(Window.partitionBy()), F.col("n")
+    shares = counts.withColumn("_all", total).select(
+        "strata",
+        "n",
+        F.floor(n * size / F.col("_all")).alias("_base"),
+        F.pmod(n * size, F.col("_all")).alias("_rest"),
+    )
+    missing = F.lit(size) - F.sum("_base").over(Window.partitionBy())
+    place = F.row_number().over(Window.orderBy(F.desc("_rest"), F.asc("strata")))
+    extra = F.when(place <= missing, 1).otherwise(0)
+    return shares.select("strata", "n", (F.col("_base") + extra).cast("bigint").alias("quota"))
 
 
-def can_stratify(counts: dict[str, int], size: int) -> bool:
+def can_stratify(counts: DataFrame, size: int) -> bool:
     """A split needs two rows in every stratum and room for every stratum on both sides."""
-    total = sum(counts.values())
-    return (
-        total > size
-        and min(counts.values()) >= 2
-        and len(counts) <= size
-        and len(counts) <= total - size
-    )
+    seen = counts.agg(
+        F.sum("n").alias("total"), F.min("n").alias("least"), F.count("*").alias("strata")
+    ).first()
+    total, strata = seen["total"] or 0, seen["strata"]
+    return total > size and seen["least"] >= 2 and strata <= min(size, total - size)
 
 
 def stratified_sample(frame: DataFrame, size: int = SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
     """Exactly ``size`` rows in proportion to the strata, or the whole frame where that is
     impossible.
 
-    Rows are chosen by hash order, so the same input gives the same sample. Only the strata table
-    is read on the driver, at most ``size`` + 1 rows of it: with more strata there is no sample.
-    The frame is read twice, for the strata and for the rows, so it should come from a table.
+    Rows are chosen by hash order, so the same input gives the same sample. Sizes and quotas of the
+    strata stay a table. The frame is read twice, for the strata and for the rows, so it should come
+    from a table.
     """
-    readable = min(size, keyed.BROADCAST_ROWS)
-    counts = {r["strata"]: r["n"] for r in strata_counts(frame).limit(readable + 1).collect()}
-    if readable < len(counts) <= size:
-        raise ValueError(f"more than {readable} strata")
-    if not counts or not can_stratify(counts, size):
+    counts = cut_lineage(strata_counts(frame))
+    if not can_stratify(counts, size):
         return frame
-    take = quotas(counts, size)
+    take = cut_lineage(quotas(counts, size))
     known = frame.where(F.col("strata").isNotNull()).withColumn(
         "_hash", F.md5(F.concat(F.lit(f"{seed}-"), F.col("comment_id")))
     )
-    likely = cut_lineage(_lowest_hashes(known, counts, take))
-    found = {r["strata"]: r["n"] for r in strata_counts(likely).collect()}
-    enough = all(found.get(s, 0) >= q for s, q in take.items())
-    return _first_by_hash(likely if enough else known, take).select(*frame.columns)
+    strata = take.count()
+    likely = cut_lineage(_lowest_hashes(known, take, strata))
+    found = strata_counts(likely).select("strata", F.col("n").alias("found"))
+    short = take.join(found, "strata", "left").where(F.coalesce("found", F.lit(0)) < F.col("quota"))
+    return _first_by_hash(likely if short.isEmpty() else known, take, strata).select(*frame.columns)
 
 
-def _lowest_hashes(known: DataFrame, counts: dict[str, int], take: dict[str, int]) -> DataFrame:
+def _lowest_hashes(known: DataFrame, take: DataFrame, strata: int) -> DataFrame:
     """Rows whose hash is low enough to be in the sample, and some more.
 
     Hashes are even, so the share of a stratum below a bound is known up to chance. The margin of
@@ -149,24 +144,20 @@ def _lowest_hashes(known: DataFrame, counts: dict[str, int], take: dict[str, int
     and ranks everything where it is not. What is left to rank is a few times the sample, however
     large the strata.
     """
-    bounds = []
-    for stratum, quota in take.items():
-        share = (quota + 6 * quota**0.5 + 20) / counts[stratum]
-        # Digits of a hash sort as text; "g" lies above all of them.
-        bounds.append((stratum, f"{int(share * 16**8):08x}" if share < 1 else "g"))
-    limits = known.sparkSession.createDataFrame(bounds, "strata string, _bound string")
-    return (
-        known.join(F.broadcast(limits), "strata")
-        .where(F.col("_hash") < F.col("_bound"))
-        .drop("_bound")
-    )
+    share = (F.col("quota") + 6 * F.sqrt("quota") + 20) / F.col("n")
+    # Digits of a hash sort as text; "g" lies above all of them.
+    digits = F.lower(F.lpad(F.hex(F.floor(share * 16**8)), 8, "0"))
+    limits = take.select("strata", F.when(share < 1, digits).otherwise("g").alias("_bound"))
+    marked = keyed.lookup(known, limits, "strata", "comment_id", "inner", strata)
+    return marked.where(F.col("_hash") < F.col("_bound")).drop("_bound")
 
 
-def _first_by_hash(rows: DataFrame, take: dict[str, int]) -> DataFrame:
+def _first_by_hash(rows: DataFrame, take: DataFrame, strata: int) -> DataFrame:
     order = [F.col(c) for c in ("_hash", "comment_id", "comment_text", "likes")]
-    quota = rows.sparkSession.createDataFrame(list(take.items()), "strata string, quota int")
-    first = keyed.top_per_key(rows, ["strata"], order, max(take.values()), "comment_id")
-    return first.join(F.broadcast(quota), "strata").where(F.col("rn") <= F.col("quota"))
+    most = take.agg(F.max("quota").alias("n")).first()["n"]
+    first = keyed.top_per_key(rows, ["strata"], order, most, "comment_id")
+    quota = take.select("strata", "quota")
+    return keyed.lookup(first, quota, "strata", "comment_id", "inner", strata).where(F.col("rn") <= F.col("quota"))
 
 
 def preview(sample: DataFrame, n: int = 5) -> DataFrame:
