@@ -17,13 +17,10 @@ DOWN = ("of", "to", "in", "that", "die", "den", "von", "de", "que", "en", "des",
 LONGEST = max(len(w) for w in UP + DOWN)
 
 
-def balance(text: Column, max_tokens: int | None = None) -> Column:
+def balance(text: Column) -> Column:
     """Number of UP words minus number of DOWN words, in one pass over the blank-separated tokens."""
-    tokens = F.split(F.lower(text), " ")
-    if max_tokens is not None:
-        tokens = F.slice(tokens, 1, max_tokens)
     return F.aggregate(
-        tokens,
+        F.split(F.lower(text), " "),
         F.lit(0),
         lambda total, word: total
         + F.when(F.octet_length(word) > LONGEST, 0)
@@ -49,17 +46,32 @@ class WordListScorer:
         self.vocabulary = vocabulary
         self.weights = {**dict.fromkeys(UP, 1), **dict.fromkeys(DOWN, -1)}
 
-    def predict(self, texts: Sequence[str], max_tokens: int | None = None) -> list[str]:
-        return [self._label(t.lower().split(" ")[:max_tokens]) for t in texts]
+    def predict(self, texts: Sequence[str]) -> list[str]:
+        return [self.label_of(w) for w in self.weigh(texts)]
 
-    def _label(self, tokens: list[str]) -> str:
-        score = sum(self.weights.get(t, 0) for t in tokens)
+    def weigh(self, texts: Sequence[str]) -> list[int]:
+        return [sum(self.weights.get(t, 0) for t in text.lower().split(" ")) for text in texts]
+
+    def label_of(self, score: int) -> str:
         if self.vocabulary == "three_class":
             return "LABEL_2" if score > 0 else "LABEL_0" if score < 0 else "LABEL_1"
         stars = min(5, max(1, score + 3))
         return "1 star" if stars == 1 else f"{stars} stars"
 
 
+class UnsteadyScorer(WordListScorer):
+    """Fails on some texts and gives a wrong number of answers for others, for checks of both rules."""
+
+    def predict(self, texts: Sequence[str]) -> list[str]:
+        if any(len(t) % 7 == 0 for t in texts):
+            raise RuntimeError("no answer")
+        return super().predict(texts) * (2 if any(len(t) % 7 == 1 for t in texts) else 1)
+
+
+def unsteady_scorer() -> UnsteadyScorer:
+    return UnsteadyScorer("three_class")
+
+
 def three_class_scorer() -> WordListScorer:
     return WordListScorer("three_class")
 

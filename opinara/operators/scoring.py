@@ -10,32 +10,39 @@ from pathlib import Path
 from typing import Protocol
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions import lexicon
 from opinara.functions.labels import normalize_label
 from opinara.operators import keyed
+from opinara.runtime import cut_lineage
 
 
 class Scorer(Protocol):
-    """A loaded model: texts in, raw labels out. ``max_tokens`` is its input limit, if any."""
+    """A loaded model: texts in, raw labels out, one for each text.
 
-    def predict(self, texts: Sequence[str], max_tokens: int | None = None) -> list[str]: ...
+    A model with a limited input also has ``weigh``, a number for each text that adds up over the
+    parts of a text, and ``label_of``, the label of such a sum.
+    """
+
+    def predict(self, texts: Sequence[str]) -> list[str]: ...
 
 
 @dataclass(frozen=True)
 class Model:
     """Either native (``feature`` and ``label`` expressions) or Python (``factory``).
 
-    ``max_tokens`` belongs to models with a limited input; without it whole texts are scored.
+    ``window`` is the input limit of a Python model in blank-separated tokens: a longer text is
+    weighed in consecutive windows of that size, and their sum gives its label. No text is cut short.
     """
 
     name: str
     feature: Callable[[Column], Column] | None = None
     label: Callable[[Column], Column] | None = None
     factory: Callable[[], Scorer] | None = None
-    max_tokens: int | None = None
+    window: int | None = None
     batch_size: int = 8
 
 
@@ -43,14 +50,41 @@ THREE_CLASS = Model("three-class", feature=lexicon.balance, label=lexicon.three_
 FIVE_STAR = Model("five-star", feature=lexicon.balance, label=lexicon.five_star)
 BUILT_IN = (THREE_CLASS, FIVE_STAR)
 
-_LOADED: dict[str, Scorer] = {}
+_LOADED: dict[tuple, Scorer] = {}
 
 
 def scorer_of(model: Model) -> Scorer:
-    """The model object of this Python worker, built on first use."""
-    if model.name not in _LOADED:
-        _LOADED[model.name] = model.factory()
-    return _LOADED[model.name]
+    """The model object of this Python worker, built on first use. Models of one name and different
+    origin do not share it."""
+    made = model.factory
+    key = (model.name, getattr(made, "__module__", ""), getattr(made, "__qualname__", repr(made)))
+    if "<" in key[2]:
+        key = (model.name, cloudpickle.dumps(made))
+    if key not in _LOADED:
+        _LOADED[key] = made()
+    return _LOADED[key]
+
+
+def windows(text: str, size: int) -> list[str]:
+    """Consecutive parts of at most ``size`` blank-separated tokens; an empty text is one part."""
+    tokens = text.split(" ")
+    return [" ".join(tokens[i : i + size]) for i in range(0, len(tokens), size)]
+
+
+def answers(model: Model, scorer: Scorer, texts: list[str]) -> list[str]:
+    """One raw label per text; another number of answers is an error."""
+    if model.window is None:
+        labels = list(scorer.predict(texts))
+    else:
+        parts = [windows(t, model.window) for t in texts]
+        weights = list(scorer.weigh([w for p in parts for w in p]))
+        if len(weights) != sum(map(len, parts)):
+            raise ValueError(f"{len(weights)} weights for {sum(map(len, parts))} windows")
+        each = iter(weights)
+        labels = [scorer.label_of(sum(next(each) for _ in p)) for p in parts]
+    if len(labels) != len(texts):
+        raise ValueError(f"{len(labels)} labels for {len(texts)} texts")
+    return labels
 
 
 def predict_batches(model: Model, texts: list[str]) -> tuple[list[str], list[bool]]:
@@ -61,7 +95,7 @@ def predict_batches(model: Model, texts: list[str]) -> tuple[list[str], list[boo
     for start in range(0, len(texts), model.batch_size):
         batch = texts[start : start + model.batch_size]
         try:
-            labels += scorer.predict(batch, max_tokens=model.max_tokens)
+            labels += answers(model, scorer, batch)
             failed += [False] * len(batch)
         except Exception:
             labels += ["neutral"] * len(batch)
@@ -76,11 +110,8 @@ def score(df: DataFrame, models: Sequence[Model], text: str = "comment_text") ->
     in one Arrow pass for all of them.
     """
     df = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    features = list(dict.fromkeys((m.feature, m.max_tokens) for m in models if m.feature))
-    df = df.select(
-        "*",
-        *[f(F.col("_text"), limit).alias(f"_f{i}") for i, (f, limit) in enumerate(features)],
-    )
+    features = list(dict.fromkeys(m.feature for m in models if m.feature))
+    df = df.select("*", *[f(F.col("_text")).alias(f"_f{i}") for i, f in enumerate(features)])
     python = [m for m in models if m.factory]
     if python:
         ship_package(df.sparkSession)
@@ -91,7 +122,7 @@ def score(df: DataFrame, models: Sequence[Model], text: str = "comment_text") ->
             i = python.index(m)
             raw, failed = F.col(f"_python.label{i}"), F.col(f"_python.failed{i}")
         else:
-            raw = m.label(F.col(f"_f{features.index((m.feature, m.max_tokens))}"))
+            raw = m.label(F.col(f"_f{features.index(m.feature)}"))
             failed = F.lit(False)
         scores.append(
             F.struct(
@@ -126,9 +157,9 @@ def score_copies_once(
     """Like ``score``, for expensive models over many equal texts: every distinct text is scored
     once and its scores are joined back. The join is salted, as one text may be most of the rows.
     """
-    hashed = df.withColumn("_hash", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    hashed = cut_lineage(df.withColumn("_hash", F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
     distinct = hashed.groupBy("_hash").agg(F.any_value(text).alias(text))
-    scored = score(distinct, models, text).select("_hash", "scores")
+    scored = cut_lineage(score(distinct, models, text).select("_hash", "scores"))
     return keyed.lookup(hashed, scored, "_hash", key).drop("_hash")
 
 
@@ -148,7 +179,7 @@ def by_model(scored: DataFrame, model_ids: dict[str, int] | None = None) -> Data
 
 def title_label(title: Column, model: Model) -> Column:
     """Label of a title by a native model; an empty title is neutral."""
-    raw = model.label(model.feature(title, model.max_tokens))
+    raw = model.label(model.feature(title))
     return F.when(F.coalesce(title, F.lit("")) == "", "neutral").otherwise(normalize_label(raw))
 
 

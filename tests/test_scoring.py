@@ -14,7 +14,7 @@ def failing_factory():
     class Failing:
         """Fails on batches that hold a certain text; answers 5 stars otherwise."""
 
-        def predict(self, texts, max_tokens=None):
+        def predict(self, texts):
             if "bad" in texts:
                 raise ValueError("bad text")
             return ["5 stars"] * len(texts)
@@ -36,13 +36,10 @@ def texts(spark, n=300):
     return spark.createDataFrame([*rows, (n, None), (n + 1, "")], "id int, comment_text string")
 
 
-@pytest.mark.parametrize("limit", [None, 512])
-def test_native_and_python_scorers_agree(spark, limit):
-    native = [
-        scoring.Model(m.name, feature=m.feature, label=m.label, max_tokens=limit)
-        for m in scoring.BUILT_IN
-    ]
-    df = scoring.score(texts(spark), [*native, *python_models(limit)])
+@pytest.mark.parametrize("window", [None, 512, 7])
+def test_native_and_python_scorers_agree(spark, window):
+    """In windows of any size, as the whole text counts."""
+    df = scoring.score(texts(spark), [*scoring.BUILT_IN, *python_models(window)])
     for r in df.collect():
         a, b, c, d = (s.sentiment_label for s in r.scores)
         assert (a, b) == (c, d)
@@ -61,6 +58,32 @@ def test_a_failed_batch_is_neutral_and_marked(spark):
     assert {r.model_id for r in out} == {3}
 
 
+def miscounting_factory():
+    class Miscounting:
+        """One answer too many, then one too few."""
+
+        def predict(self, texts):
+            return ["5 stars"] * (len(texts) + (1 if "more" in texts else -1 if "less" in texts else 0))
+
+    return lambda: Miscounting()
+
+
+def test_a_wrong_number_of_answers_is_a_failure(spark):
+    rows = [(i, {3: "more", 12: "less"}.get(i, "fine")) for i in range(24)]
+    df = spark.createDataFrame(rows, "id int, comment_text string").coalesce(1)
+    model = scoring.Model("miscounting", factory=miscounting_factory(), batch_size=8)
+    out = scoring.by_model(scoring.score(df, [model])).collect()
+    assert {r.id for r in out if r.score_failed} == set(range(16))
+    assert {r.sentiment_label for r in out if r.id >= 16} == {"positive"}
+
+
+def test_models_of_one_name_do_not_share_a_scorer():
+    one, other = (scoring.Model("same", factory=f) for f in (lexicon.three_class_scorer, lexicon.five_star_scorer))
+    assert scoring.scorer_of(one).vocabulary != scoring.scorer_of(other).vocabulary
+    made = [lambda n=n: lexicon.WordListScorer(n) for n in ("three_class", "five_star")]
+    assert [scoring.scorer_of(scoring.Model("x", factory=f)).vocabulary for f in made] == ["three_class", "five_star"]
+
+
 def test_models_that_do_not_load_are_left_out(spark):
     bad = scoring.Model("broken-test", factory=broken_factory())
     assert scoring.loadable(spark, [bad, scoring.FIVE_STAR]) == [scoring.FIVE_STAR]
