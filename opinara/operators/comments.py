@@ -1,4 +1,4 @@
-"""Comments: preparation, incremental cut, page cap, scoring by model, merge by key."""
+"""Comments: preparation, incremental cut, newest per video, scoring by model, merge by key."""
 
 from __future__ import annotations
 
@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from opinara.functions import clean
 from opinara.operators import keyed
 
-# Fixed values of the platform: a fetch reads at most three pages of a hundred threads.
-PAGE_CAP = 300
 NEVER = "1900-01-01 00:00:00"
 
 
@@ -32,11 +30,11 @@ def prepare(comments: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def newest(comments: DataFrame, cap: int, order: list[Column] | None = None) -> DataFrame:
-    """At most ``cap`` newest comments per video."""
+def newest(comments: DataFrame, n: int, order: list[Column] | None = None) -> DataFrame:
+    """A report: the ``n`` newest comments of every video, with their rank ``rn``."""
     if order is None:
         order = [F.desc_nulls_last("published_at"), F.asc("comment_id")]
-    return keyed.top_per_key(comments, ["video_id"], order, cap, "comment_id").drop("rn")
+    return keyed.top_per_key(comments, ["video_id"], order, n, "comment_id")
 
 
 def newer_than_sync(
@@ -57,11 +55,12 @@ def last_sync(video_stats: DataFrame) -> DataFrame:
 
 
 def drop_redelivered(comments: DataFrame, order: list[str]) -> DataFrame:
-    """One row per comment id within a batch: the last one in page order."""
+    """One row per comment id within a batch: the last one by ``order``, equal ones settled by all
+    columns."""
     rest = [c for c in comments.columns if c != "comment_id"]
     return (
         comments.groupBy("comment_id")
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("row"))
+        .agg(F.max_by(F.struct(*rest), F.struct(*order, *rest)).alias("row"))
         .select("comment_id", "row.*")
     )
 
@@ -72,22 +71,20 @@ def merge(versions: DataFrame, order: str = "batch_id") -> DataFrame:
     Text, likes and label are those of the last version; the time is the last known one; the video
     is that of the first. Rows without a model id never meet another row.
     """
-    keyed_rows = versions.where(F.col("model_id").isNotNull())
     latest = ["comment_text", "likes", "sentiment_label"]
     if "score_failed" in versions.columns:
         latest.append("score_failed")
-    columns = ["comment_id", "model_id", "video_id", "published_at", *latest]
-    merged = (
-        keyed_rows.groupBy("comment_id", "model_id")
+    alone = F.when(F.col("model_id").isNull(), F.monotonically_increasing_id())
+    return (
+        versions.withColumn("_alone", alone)
+        .groupBy("comment_id", "model_id", "_alone")
         .agg(
-            F.max_by(F.struct(*latest), order).alias("row"),
+            F.max_by(F.struct(*latest), F.struct(order, *latest)).alias("row"),
             keyed.last_filled("published_at", order),
-            F.min_by("video_id", order).alias("video_id"),
+            F.min_by("video_id", F.struct(order, "video_id")).alias("video_id"),
         )
         .select("comment_id", "model_id", "video_id", "published_at", "row.*")
     )
-    loose = versions.where(F.col("model_id").isNull()).select(*columns)
-    return merged.unionByName(loose)
 
 
 def label_pivot(raw_comments: DataFrame, models: tuple[int, int] = (1, 2)) -> DataFrame:

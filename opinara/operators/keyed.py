@@ -65,10 +65,10 @@ def top_per_key(
 
 
 def last_filled(value: str, order: str) -> Column:
-    """Aggregate: the last non-NULL value by ``order``."""
-    return F.max_by(value, F.when(F.col(value).isNotNull(), F.col(order))).alias(value)
+    """Aggregate: the last non-NULL value by ``order``, the largest of equally late ones."""
+    return F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(order, value))).alias(value)
 
 
 def last(value: str, order: str) -> Column:
-    """Aggregate: the value of the last row by ``order``, NULL or not."""
-    return F.max_by(value, order).alias(value)
+    """Aggregate: the value of the last row by ``order``, NULL or not, the largest of equally late ones."""
+    return F.max_by(value, F.struct(order, value)).alias(value)

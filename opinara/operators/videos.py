@@ -97,8 +97,11 @@ def free_slots(active_videos: DataFrame, limit: int) -> int:
 
 
 def newest_found(found: DataFrame, slots: int) -> DataFrame:
-    """The newest discovered videos, as many as there are slots."""
-    return found.orderBy(F.desc_nulls_last("published_at"), F.asc("video_id")).limit(slots)
+    """The newest discovered videos, as many as there are slots; each takes one, however often found."""
+    rest = [c for c in found.columns if c not in ("video_id", "published_at")]
+    newest = F.max(F.struct("published_at", *rest)).alias("row")
+    once = found.groupBy("video_id").agg(newest).select("video_id", "row.*").select(*found.columns)
+    return once.orderBy(F.desc_nulls_last("published_at"), F.asc("video_id")).limit(slots)
 
 
 def register(video_info: DataFrame, found: DataFrame, as_of: datetime) -> DataFrame:
@@ -119,14 +122,19 @@ def register(video_info: DataFrame, found: DataFrame, as_of: datetime) -> DataFr
 
 def merge(versions: DataFrame, order: str = "batch_id") -> DataFrame:
     """Current videos from versions: times and title label keep the last known value, the rest
-    is replaced."""
-    return versions.groupBy("video_id").agg(
-        keyed.last("channel_id", order),
-        keyed.last("video_title", order),
-        keyed.last_filled("date_publication", order),
-        keyed.last("is_active", order),
-        keyed.last_filled("last_checked_at", order),
-        keyed.last_filled("video_title_sentiment", order),
+    is replaced, all of it from one row. Of rows of one batch the later published one is the last."""
+    replaced = ["channel_id", "video_title", "is_active"]
+    columns = [c for c in versions.columns if c != order]
+    return (
+        versions.groupBy("video_id")
+        .agg(
+            F.max_by(F.struct(*replaced), F.struct(order, "date_publication", *replaced)).alias("row"),
+            keyed.last_filled("date_publication", order),
+            keyed.last_filled("last_checked_at", order),
+            keyed.last_filled("video_title_sentiment", order),
+        )
+        .select("*", "row.*")
+        .select(*columns)
     )
 
 

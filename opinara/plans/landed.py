@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opinara import schemas
 from opinara.operators import scoring
 from opinara.plans import fixtures as fx
 from opinara.runtime import clear, scratch_dir
 from opinara.sources.state import StateTables
-from opinara.streaming.intake import run_stream
+from opinara.streaming.intake import landed_rows, run_stream, take_in
 
 # A page holds the comments of one video with ids from one such range, so it is never larger.
 PAGE_RANGE = 1000
@@ -120,13 +123,18 @@ def write(spark: SparkSession, pages: dict[str, DataFrame], folder: str | None =
     return folder
 
 
-def two_waves(spark: SparkSession, sf_dir: str) -> StateTables:
-    """Comments before the cut land and are taken in, then the rest with new counts and found
-    videos; the state afterwards."""
+def new_store(spark: SparkSession, sf_dir: str) -> StateTables:
     store = StateTables(spark, scratch_dir(spark, "state")).create()
     store.write("video_info", fx.videos_raw(spark, sf_dir), 0)
-    folder, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
-    users = fx.events(spark, sf_dir).select("user_id").distinct().count()
+    return store
+
+
+def users(spark: SparkSession, sf_dir: str) -> int:
+    return fx.events(spark, sf_dir).select("user_id").distinct().count()
+
+
+def wave_pages(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """Pages of the comments before the cut, and of the rest with new counts and found videos."""
     early = F.col("published_at") < fx.cut()
     listed = (
         fx.events(spark, sf_dir)
@@ -135,7 +143,7 @@ def two_waves(spark: SparkSession, sf_dir: str) -> StateTables:
         .agg(F.count(F.lit(1)).alias("yt_count"))
     )
     first = comment_pages(spark, sf_dir, early, flaws=False)
-    waves = [
+    return [
         {
             "comments": first.where(~F.col("comments_disabled")),
             "statistics": count_pages(spark, sf_dir, listed),
@@ -146,11 +154,50 @@ def two_waves(spark: SparkSession, sf_dir: str) -> StateTables:
             "search": search_pages(spark, sf_dir),
         },
     ]
-    times = {1: fx.CUT, 2: fx.AS_OF}
+
+
+def taken_in(
+    spark: SparkSession, sf_dir: str, waves: list[dict[str, DataFrame]], times: list[datetime]
+) -> StateTables:
+    """The state after the waves have landed and been streamed one by one."""
+    store = new_store(spark, sf_dir)
+    folder, checkpoint = scratch_dir(spark, "landing"), scratch_dir(spark, "checkpoint")
+    slots = users(spark, sf_dir)
     for wave in waves:
         write(spark, wave, folder)
         run_stream(
-            spark, folder, store, checkpoint, scoring.BUILT_IN, times.get, max_active=users
+            spark, folder, store, checkpoint, scoring.BUILT_IN, lambda n: times[n - 1], max_active=slots
         ).awaitTermination()
     clear(spark, folder)
     return store
+
+
+def two_waves(spark: SparkSession, sf_dir: str) -> StateTables:
+    """Two complete waves."""
+    return taken_in(spark, sf_dir, wave_pages(spark, sf_dir), [fx.CUT, fx.AS_OF])
+
+
+def split_waves(spark: SparkSession, sf_dir: str) -> StateTables:
+    """The same pages, but comments and the other kinds land apart: first after, then before them."""
+    first, second = wave_pages(spark, sf_dir)
+
+    def only(wave, *kinds):
+        return {k: v for k, v in wave.items() if k in kinds}
+
+    waves = [
+        only(first, "statistics"),
+        only(first, "comments"),
+        only(second, "comments"),
+        only(second, "statistics", "search"),
+    ]
+    return taken_in(spark, sf_dir, waves, [fx.CUT, fx.CUT, fx.AS_OF, fx.AS_OF])
+
+
+def repeated_batch(spark: SparkSession, sf_dir: str) -> StateTables:
+    """The first wave taken in twice under one batch id, the second time with a later clock."""
+    store, slots = new_store(spark, sf_dir), users(spark, sf_dir)
+    folder = write(spark, wave_pages(spark, sf_dir)[0])
+    spark.createDataFrame([], schemas.struct(schemas.SEARCH_PAGE)).write.json(f"{folder}/search")
+    for time in (fx.CUT, fx.AS_OF):
+        take_in(store, 1, landed_rows(spark, folder, stream=False), scoring.BUILT_IN, time, slots)
+    return store

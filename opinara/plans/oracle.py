@@ -17,10 +17,8 @@ def words(items: tuple[str, ...]) -> str:
     return ", ".join(f"'{w}'" for w in items)
 
 
-def balance(text: str, limit: int | None = None) -> str:
+def balance(text: str) -> str:
     tokens = f"string_split(lower({text}), ' ')"
-    if limit is not None:
-        tokens = f"({tokens})[1:{limit}]"
     return (
         f"(len(list_filter({tokens}, lambda w: w in ({words(UP)})))"
         f" - len(list_filter({tokens}, lambda w: w in ({words(DOWN)}))))"
@@ -212,15 +210,16 @@ still_active as (
   where v.is_active = 1 and coalesce(d.action, '') not like 'deactivate%'
 ),
 decided_second as (
-  select v.video_id, c.yt_count, m.last_sync_date,
+  select v.video_id, coalesce(c.yt_count, m.total_comments, 0) as yt_count, m.last_sync_date,
          case when v.date_publication is null then 'skip_no_date'
               when floor(date_diff('microsecond', v.date_publication, {AS_OF}) / 86400000000.0) > 14 then 'deactivate_old'
-              when c.yt_count is null then 'skip_no_count'
+              when c.yt_count is null and u.video_id is null then 'skip_no_count'
               when floor(date_diff('microsecond', v.date_publication, {AS_OF}) / 86400000000.0) > 3
-                   and c.yt_count <= coalesce(m.total_comments, 0) then 'deactivate_quiet'
+                   and c.yt_count <= coalesce(m.total_comments, 0) and u.video_id is null then 'deactivate_quiet'
               when v.video_id in (select video_id from blocked) then 'deactivate_disabled'
               else 'fetch' end as action
   from still_active v left join counts_now c using (video_id) left join wave_marks m using (video_id)
+  left join (select distinct video_id from comments_plain where published_at >= {CUT}) u using (video_id)
 ),
 wave_second as (
   select f.video_id, f.model_id, f.yt_count as total_comments,
@@ -341,6 +340,14 @@ def with_ids(groups: str) -> str:
 """
 
 
+STORED = f"""comment_id, model_id, video_id, md5(text) as comment_text, likes,
+  {shown("published_at")} as published_at, sentiment_label, false as score_failed"""
+WAVE_COMMENTS = f"""wave_comments as (
+  select w.*, c.text from wave_labels w join (select comment_id, text from comments_raw) c using (comment_id)
+  where (published_at < {CUT} and video_id in (select video_id from decided_first where action = 'fetch'))
+     or (published_at >= {CUT} and video_id in (select video_id from decided_second where action = 'fetch')))"""
+
+
 # Name: (further views, statement).
 STATEMENTS: dict[str, tuple[str, str]] = {
     "prepare_comments": (
@@ -380,24 +387,30 @@ STATEMENTS: dict[str, tuple[str, str]] = {
           from comments_plain c left join marks m using (video_id)
           where published_at > coalesce(last_sync_date, timestamp '1900-01-01 00:00:00')""",
     ),
-    "new_comments_capped": (
+    "newest_per_video": (
         "",
-        f"""select c.video_id, comment_id, likes, {shown("published_at")} as published_at
-          from (select *, row_number() over (partition by video_id order by published_at desc, comment_id) as place
-                from comments_plain) c left join marks m using (video_id)
-          where place <= 20 and published_at > coalesce(last_sync_date, timestamp '1900-01-01 00:00:00')""",
+        f"""select video_id, comment_id, likes, {shown("published_at")} as published_at, rn
+          from (select *, row_number() over (partition by video_id order by published_at desc, comment_id) as rn
+                from comments_plain) where rn <= 20""",
     ),
     "upsert_comments": (
         "",
         f"""select comment_id, model_id, video_id, {shown("published_at")} as published_at,
           md5(case when sentiment_label <> 'neutral' then comment_text || ' edited' else comment_text end) as comment_text,
           case when sentiment_label <> 'neutral' then likes + 1 else likes end as likes,
-          'neutral' as sentiment_label from raw_stored""",
+          case when sentiment_label = 'neutral' or event_id % 2 = 1 then 'neutral'
+               when sentiment_label = 'positive' then 'negative' else 'positive' end as sentiment_label
+          from raw_stored""",
     ),
     "drop_redelivered": (
         "",
-        """select comment_id, video_id, coalesce(likes, 0) + 5 as likes, 1 as page, 1 as position
-          from comments_plain""",
+        """select * exclude (place) from (
+          select *, row_number() over (partition by comment_id order by page desc, position desc, video_id desc, likes desc) as place
+          from (select comment_id, video_id, coalesce(likes, 0) as likes, event_id % 3 as page, event_id % 5 as position
+                from comments_plain
+                union all select comment_id, video_id, coalesce(likes, 0) + 5, 1, event_id % 5 from comments_plain
+                union all select comment_id, video_id, coalesce(likes, 0) + 9, event_id % 3, 2 from comments_plain))
+          where place = 1""",
     ),
     "video_mood": (
         "",
@@ -529,7 +542,7 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         """select coalesce(f.channel_id, n.channel_id) as channel_id,
           coalesce(f.channel_name, n.channel_name) as channel_name
           from (select 'ch' || n_nationkey as channel_id, n_name as channel_name from nation) n
-          full outer join (select distinct channel_id, channel_name from found) f on f.channel_id = n.channel_id""",
+          full outer join (select distinct channel_id, channel_name || ' b' as channel_name from found) f on f.channel_id = n.channel_id""",
     ),
     "titles_to_score": (
         "",
@@ -561,6 +574,23 @@ STATEMENTS: dict[str, tuple[str, str]] = {
                 from grouped_ids)
           where rn = 1""",
     ),
+    "migrate_store": (
+        with_ids(
+            """select 'v' || user_id as video_id, identifier, count(*) as pos_count,
+                 count(*) filter (where value > 10) as neg_count, count(*) filter (where value > 20) as neu_count,
+                 cast(sum(cast(floor(value) as bigint)) as bigint) as total_likes, count(*) as total_comments,
+                 max(ts) as last_sync_date, case when user_id % 5 <> 0 then min(ts) end as checked_at,
+                 case when user_id % 5 <> 0 then min(ts) end as row_order
+               from identified group by user_id, identifier"""
+        ),
+        f"""select video_id, model_id, cast(null as varchar) as video_title_sentiment,
+          {COUNTERS}, {shown("last_sync_date")} as last_sync_date, {shown("checked_at")} as checked_at
+          from (select *, row_number() over (partition by video_id, model_id order by checked_at desc nulls last,
+                  pos_count desc, neg_count desc, neu_count desc, total_likes desc, total_comments desc,
+                  last_sync_date desc) as rn
+                from grouped_ids)
+          where rn = 1""",
+    ),
     "migrate_snapshots": (
         with_ids(
             """select identifier, date_trunc('day', ts) as day, count(*) as total_positive,
@@ -577,7 +607,7 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         "",
         f"""select comment_id, cast(null as int) as model_id, video_id, md5(comment_text) as comment_text, likes,
           {shown("published_at")} as published_at, sentiment_label, cast(null as boolean) as score_failed
-          from raw_stored where model_id = 1""",
+          from raw_stored""",
     ),
     "comments_by_model": (
         "",
@@ -599,12 +629,18 @@ STATEMENTS: dict[str, tuple[str, str]] = {
           union all
           select doc_id, 'py-five-star', {mood(stars("score"))}, false from document_score""",
     ),
-    "score_limited_input": (
-        f"limited as (select doc_id, {balance('text', 512)} as score from documents)",
-        f"""select doc_id, 'py-three-class-512' as model_name, {mood(three("score"))} as sentiment_label,
-          false as score_failed from limited
+    "score_in_windows": (
+        "",
+        f"""select doc_id, 'py-three-class' as model_name, {mood(three("score"))} as sentiment_label,
+          false as score_failed from document_score
           union all
-          select doc_id, 'py-five-star-512', {mood(stars("score"))}, false from limited""",
+          select doc_id, 'py-five-star', {mood(stars("score"))}, false from document_score""",
+    ),
+    "score_with_failures": (
+        "",
+        f"""select doc_id, 'unsteady' as model_name,
+          case when length(text) % 7 < 2 then 'neutral' else {mood(three("score"))} end as sentiment_label,
+          length(text) % 7 < 2 as score_failed from documents join document_score using (doc_id)""",
     ),
     "score_copies_once": (
         "",
@@ -631,6 +667,11 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         f"""select {FRAME}, '' as human_sentiment, false as is_sarcasm
           from placed join quotas using (strata) where place <= quota""",
     ),
+    "annotation_sheet_job": (
+        FIRST_SAMPLE,
+        f"""select {FRAME}, cast(null as varchar) as human_sentiment, false as is_sarcasm
+          from placed join quotas using (strata) where place <= quota""",
+    ),
     "sample_fallback": ("", f"select {FRAME} from frame"),
     "recode_annotations": (
         "",
@@ -682,6 +723,15 @@ STATEMENTS: dict[str, tuple[str, str]] = {
                            and human_sentiment = 'positive') as false_negatives
           from gold""",
     ),
+    "disagreement_counts_file": (
+        "",
+        """select
+          count(*) filter (where sentiment_model_1 = 'positive' and sentiment_model_2 = 'positive'
+                           and human_sentiment = 'negative') as false_positives,
+          count(*) filter (where sentiment_model_1 = 'negative' and sentiment_model_2 = 'negative'
+                           and human_sentiment = 'positive') as false_negatives
+          from gold""",
+    ),
     "disagreement_report": (
         "",
         """select md5(comment_text) as comment_text,
@@ -713,6 +763,15 @@ STATEMENTS: dict[str, tuple[str, str]] = {
           {shown("published_at")} as published_at, sentiment_label, cast(null as boolean) as score_failed
           from raw_stored""",
     ),
+    "export_videos": (
+        # a CSV file does not tell an empty text from a missing one
+        "exported as (select * replace (nullif(video_title, '') as video_title) from videos_raw)",
+        f"select {VIDEO} from exported",
+    ),
+    "export_model_info": (
+        "",
+        f"select model_id, model_name, {shown('date_from')} as date_from from registry",
+    ),
     "gold_roundtrip": (
         "",
         f"""select {FRAME.replace("comment_id,", "f.comment_id,").replace("video_id", "f.video_id").replace("sentiment_model_1", "f.sentiment_model_1").replace("sentiment_model_2", "f.sentiment_model_2")},
@@ -732,7 +791,32 @@ STATEMENTS: dict[str, tuple[str, str]] = {
           select m.model_id, {TOTALS}, {shown(AS_OF)}
           from (select unnest([1, 2]) as model_id) m left join wave_stats s on s.model_id = m.model_id group by m.model_id""",
     ),
+    "stream_comments": (WAVE_COMMENTS, f"select {STORED} from wave_comments"),
+    "stream_channels": ("", "select distinct channel_id, channel_name from wave_added"),
+    "stream_models": (
+        WAVE_COMMENTS,
+        f"""select model_id, case model_id when 1 then 'three-class' else 'five-star' end as model_name,
+          {shown(CUT)} as date_from, count(*) as count from wave_comments group by model_id""",
+    ),
+    "stream_split_waves": (
+        f"""kept as (
+            select video_id, date_publication from videos_raw where is_active = 1 and date_publication is not null
+              and floor(date_diff('microsecond', date_publication, {CUT}) / 86400000000.0) <= 14)""",
+        f"""select {STORED} from (
+            select w.*, true as stored from wave_labels w join kept using (video_id) where published_at < {CUT}
+            union all
+            select w.*, true from wave_labels w join kept k using (video_id) where published_at >= {CUT}
+              and video_id not in (select video_id from blocked)
+              and floor(date_diff('microsecond', k.date_publication, {AS_OF}) / 86400000000.0) <= 14)
+          join (select comment_id, text from comments_raw) using (comment_id)""",
+    ),
+    "replayed_batch": (
+        "",
+        f"""select video_id, model_id, cast(null as varchar) as video_title_sentiment, {COUNTERS},
+          {shown("last_sync_date")} as last_sync_date, {shown(CUT)} as checked_at from wave_first""",
+    ),
 }
+STATEMENTS["export_global_sum"] = STATEMENTS["global_snapshot"]
 
 
 def statements() -> dict[str, str]:

@@ -21,9 +21,10 @@ from opinara.operators import (
     videos,
 )
 from opinara.plans import fixtures as fx
-from opinara.plans import landed
+from opinara.plans import jobs, landed
 from opinara.runtime import scratch_dir
 from opinara.sources import export, gold as gold_file, landing
+from opinara.sources.state import StateTables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,22 +98,18 @@ def normalize_labels(spark, sf_dir):
     )
 
 
-def _new(spark, sf_dir, cap=None):
+@query
+def new_comments(spark, sf_dir):
     rows = fx.comments_plain(spark, sf_dir).select("video_id", "comment_id", "likes", "published_at")
-    if cap is not None:
-        rows = comments.newest(rows, cap)
     marks = comments.last_sync(fx.stats_first(spark, sf_dir))
     return comments.newer_than_sync(rows, marks)
 
 
 @query
-def new_comments(spark, sf_dir):
-    return _new(spark, sf_dir)
-
-
-@query
-def new_comments_capped(spark, sf_dir):
-    return _new(spark, sf_dir, cap=20)
+def newest_per_video(spark, sf_dir):
+    """The report of the 20 newest comments of every video."""
+    rows = fx.comments_plain(spark, sf_dir).select("video_id", "comment_id", "likes", "published_at")
+    return comments.newest(rows, 20)
 
 
 @query
@@ -134,7 +131,12 @@ def upsert_comments(spark, sf_dir):
         .withColumn("likes", F.col("likes") + 1)
         .withColumn("video_id", F.lit("elsewhere"))
         .withColumn("published_at", F.when(F.col("odd") == 1, F.col("published_at")))
-        .withColumn("sentiment_label", F.lit("neutral"))
+        .withColumn(
+            "sentiment_label",
+            F.when(F.col("odd") == 1, "neutral")
+            .when(F.col("sentiment_label") == "positive", "negative")
+            .otherwise("positive"),
+        )
         .withColumn("batch_id", F.lit(2).cast("bigint"))
     )
     merged = comments.merge(first.unionByName(again).drop("odd"))
@@ -144,10 +146,15 @@ def upsert_comments(spark, sf_dir):
 @query
 def drop_redelivered(spark, sf_dir):
     once = fx.comments_plain(spark, sf_dir).select(
-        "comment_id", "video_id", "likes", F.lit(0).alias("page"), F.lit(1).alias("position")
+        "comment_id",
+        "video_id",
+        F.coalesce("likes", F.lit(0)).alias("likes"),
+        (F.col("event_id") % 3).alias("page"),
+        (F.col("event_id") % 5).alias("position"),
     )
-    again = once.withColumn("likes", F.coalesce("likes", F.lit(0)) + 5).withColumn("page", F.lit(1))
-    return comments.drop_redelivered(once.unionByName(again), ["page", "position"])
+    again = once.withColumn("likes", F.col("likes") + 5).withColumn("page", F.lit(1).cast("bigint"))
+    last = once.withColumn("position", F.lit(2).cast("bigint")).withColumn("likes", F.col("likes") + 9)
+    return comments.drop_redelivered(once.unionByName(again).unionByName(last), ["page", "position"])
 
 
 # --- counters ------------------------------------------------------------------------------------
@@ -255,6 +262,9 @@ def _slots(spark, sf_dir):
     info = fx.videos_raw(spark, sf_dir)
     limit = fx.events(spark, sf_dir).select("user_id").distinct().count()
     found = landing.flatten_search(landed.search_pages(spark, sf_dir))
+    # every video is listed again on an older page
+    older = F.col("published_at") - F.expr("interval 9 hours")
+    found = found.union(found.withColumn("published_at", older).withColumn("title", F.lit("old")))
     slots = videos.free_slots(videos.active(info), limit)
     return info, videos.newest_found(found, slots)
 
@@ -295,7 +305,10 @@ def upsert_channels(spark, sf_dir):
         F.col("n_name").alias("channel_name"),
         F.lit(1).alias("batch_id"),
     ).unionByName(found.select("channel_id", "channel_name", F.lit(2).alias("batch_id")))
-    return videos.merge_channels(versions)
+    renamed = found.select(
+        "channel_id", F.concat("channel_name", F.lit(" b")).alias("channel_name"), F.lit(2).alias("batch_id")
+    )
+    return videos.merge_channels(versions.unionByName(renamed))
 
 
 @query
@@ -379,9 +392,24 @@ def migrate_snapshots(spark, sf_dir):
     return migrate.global_stats(old, _registry(spark, sf_dir), "id", fx.AS_OF)[0]
 
 
+@query
+def migrate_store(spark, sf_dir):
+    """The migration job over counters with text ids and text times, some of them unreadable."""
+    folder = scratch_dir(spark, "old")
+    digits = F.substring("video_id", 2, 20).cast("bigint")
+    checked = F.when(digits % 5 == 0, "unknown").otherwise(iso("checked_at"))
+    old = _text_stats(spark, sf_dir).drop("row_order").withColumn("checked_at", checked)
+    old.write.parquet(f"{folder}/video_stats")
+    _registry(spark, sf_dir).write.parquet(f"{folder}/model_info")
+    store = StateTables(spark, scratch_dir(spark, "state"))
+    paths = {t: f"{folder}/{t}" for t in ("video_stats", "model_info")}
+    jobs.migrate_job(spark, paths, store, fx.AS_OF)
+    return store.current("video_stats")
+
+
 @query
 def align_schema(spark, sf_dir):
-    old = fx.raw_comments(spark, sf_dir).where(F.col("model_id") == 1).select(
+    old = fx.raw_comments(spark, sf_dir).select(
         "comment_id", "video_id", "comment_text", "likes", "published_at", "sentiment_label"
     )
     aligned = schemas.align(old, "raw_comments")
@@ -420,15 +448,10 @@ def lexicon_five_star(spark, sf_dir):
     return rows.select("doc_id", raw.alias("raw_label"), normalize_label(raw).alias("mood"))
 
 
-def python_models(max_tokens: int | None = None) -> list[scoring.Model]:
-    suffix = "" if max_tokens is None else f"-{max_tokens}"
+def python_models(window: int | None = None) -> list[scoring.Model]:
     return [
-        scoring.Model(
-            f"py-three-class{suffix}", factory=lexicon.three_class_scorer, max_tokens=max_tokens
-        ),
-        scoring.Model(
-            f"py-five-star{suffix}", factory=lexicon.five_star_scorer, max_tokens=max_tokens
-        ),
+        scoring.Model("py-three-class", factory=lexicon.three_class_scorer, window=window),
+        scoring.Model("py-five-star", factory=lexicon.five_star_scorer, window=window),
     ]
 
 
@@ -443,11 +466,18 @@ def score_with_model(spark, sf_dir):
 
 
 @query
-def score_limited_input(spark, sf_dir):
-    """Models that read 512 tokens, the input limit of the pretrained ones."""
+def score_in_windows(spark, sf_dir):
+    """Models that read 512 tokens at once, the input limit of the pretrained ones, over whole texts."""
     return _scored(spark, sf_dir, python_models(512))
 
 
+@query
+def score_with_failures(spark, sf_dir):
+    """A model that raises on some texts and miscounts its answers for others."""
+    model = scoring.Model("unsteady", factory=lexicon.unsteady_scorer, batch_size=1)
+    return _scored(spark, sf_dir, [model])
+
+
 @query
 def score_copies_once(spark, sf_dir):
     rows = fx.comments_raw(spark, sf_dir).select("comment_id", "text")
@@ -493,6 +523,22 @@ def stratified_sample(spark, sf_dir):
     return _hashed_text(sampling.annotation_sheet(sample))
 
 
+@query
+def annotation_sheet_job(spark, sf_dir):
+    """The annotation job over stored versions; every fourth comment comes again under another video."""
+    store = StateTables(spark, scratch_dir(spark, "state")).create()
+    first = fx.raw_comments(spark, sf_dir)
+    top = stats.top_rows(fx.stats_now(spark, sf_dir)).select("video_id").distinct()
+    elsewhere = F.concat(F.lit("v"), (F.substring("video_id", 2, 20).cast("bigint") + 1).cast("string"))
+    moved = first.where(F.col("event_id") % 4 == 0).withColumn("video_id", elsewhere)
+    store.write("raw_comments", first, 1)
+    store.write("raw_comments", moved.union(moved.join(top, "video_id", "left_semi").select(moved.columns)), 2)
+    store.write("video_stats", fx.stats_now(spark, sf_dir), 1)
+    target = scratch_dir(spark, "sheet")
+    jobs.annotation_job(store, target)
+    return _hashed_text(gold_file.read_gold(spark, target))
+
+
 @query
 def sample_fallback(spark, sf_dir):
     """More rows are asked for than there are, so the whole frame comes back."""
@@ -559,6 +605,14 @@ def disagreement_counts(spark, sf_dir):
     return evaluation.contradiction_counts(fx.gold(spark, sf_dir))
 
 
+@query
+def disagreement_counts_file(spark, sf_dir):
+    """The counts as the report's file holds them."""
+    target = scratch_dir(spark, "report")
+    export.write_contradictions(fx.gold(spark, sf_dir).withColumn("comment_text", F.lit("")), target)
+    return spark.read.schema("false_positives long, false_negatives long").json(f"{target}/counts")
+
+
 @query
 def disagreement_report(spark, sf_dir):
     target = scratch_dir(spark, "report")
@@ -595,16 +649,44 @@ def read_count_pages(spark, sf_dir):
     return landing.flatten_counts(landing.read_pages(spark, folder, "statistics"))
 
 
+def _exported(spark, sf_dir, name, table, **rows):
+    """One table of a snapshot that the export job has written from a store."""
+    store = StateTables(spark, scratch_dir(spark, "state")).create()
+    store.write("video_info", fx.videos_raw(spark, sf_dir), 1)
+    for stored, df in rows.items():
+        store.write(stored, df, 1)
+    target = scratch_dir(spark, "export")
+    jobs.export_job(store, target)
+    return gold_file.read_csv(spark, f"{target}/{name}", schemas.struct(schemas.STATE[table]))
+
+
 @query
 def export_roundtrip(spark, sf_dir):
-    tables = {
-        "video_info": fx.videos_raw(spark, sf_dir),
-        "raw_comments": schemas.align(fx.raw_comments(spark, sf_dir), "raw_comments"),
-    }
-    target = scratch_dir(spark, "export")
-    export.export_snapshot(tables, target)
-    schema = schemas.struct(schemas.STATE["raw_comments"])
-    return _hashed_text(gold_file.read_csv(spark, f"{target}/comments", schema))
+    rows = fx.raw_comments(spark, sf_dir)
+    return _hashed_text(_exported(spark, sf_dir, "comments", "raw_comments", raw_comments=rows))
+
+
+@query
+def export_videos(spark, sf_dir):
+    return _video_core(_exported(spark, sf_dir, "videos", "video_info"))
+
+
+@query
+def export_model_info(spark, sf_dir):
+    names = fx.events(spark, sf_dir).select(
+        _identifier().alias("model_identifier"), F.col("event_id").alias("position")
+    )
+    known = _registry(spark, sf_dir)
+    models = known.unionByName(registry.register(names, known, fx.AS_OF))
+    return _exported(spark, sf_dir, "model_info", "model_info", model_info=models)
+
+
+@query
+def export_global_sum(spark, sf_dir):
+    models = spark.range(1, 4).select(F.col("id").cast("int").alias("model_id"))
+    totals = stats.global_totals(fx.stats_now(spark, sf_dir), models)
+    totals = totals.withColumn("snapshot_date", F.lit(fx.AS_OF).cast("timestamp"))
+    return _exported(spark, sf_dir, "global_sum", "global_stats", global_stats=totals)
 
 
 @query
@@ -627,3 +709,33 @@ def stream_videos(spark, sf_dir):
 @query
 def stream_snapshots(spark, sf_dir):
     return landed.two_waves(spark, sf_dir).current("global_stats")
+
+
+@query
+def stream_comments(spark, sf_dir):
+    return _hashed_text(landed.two_waves(spark, sf_dir).current("raw_comments"))
+
+
+@query
+def stream_channels(spark, sf_dir):
+    return landed.two_waves(spark, sf_dir).current("channel_info")
+
+
+@query
+def stream_models(spark, sf_dir):
+    store = landed.two_waves(spark, sf_dir)
+    models = store.current("model_info")
+    used = store.current("raw_comments").groupBy("model_id").count()
+    return models.join(used, "model_id").select("model_id", "model_name", "date_from", "count")
+
+
+@query
+def stream_split_waves(spark, sf_dir):
+    """Stored comments where these and the other kinds of pages land in different batches."""
+    return _hashed_text(landed.split_waves(spark, sf_dir).current("raw_comments"))
+
+
+@query
+def replayed_batch(spark, sf_dir):
+    """A batch taken in twice leaves the counters of once, and the time of its first attempt."""
+    return landed.repeated_batch(spark, sf_dir).current("video_stats")

@@ -18,10 +18,18 @@ FOLDERS = {
 }
 
 
-def read_pages(spark: SparkSession, folder: str, kind: str, stream: bool = False) -> DataFrame:
-    """Pages of a kind (comments, search, statistics) below ``folder``."""
-    reader = spark.readStream if stream else spark.read
-    return reader.schema(schemas.struct(FOLDERS[kind])).json(f"{folder}/{kind}")
+def read_pages(
+    spark: SparkSession, folder: str, kind: str, stream: bool = False, options: dict | None = None
+) -> DataFrame:
+    """Pages of a kind (comments, search, statistics) below ``folder``, with the time they landed.
+
+    As a stream, ``options`` go to the file source: ``maxFilesPerTrigger`` bounds a batch,
+    ``cleanSource`` and ``sourceArchiveDir`` take files that were read out of the folder, so that it
+    does not grow.
+    """
+    reader = spark.readStream.options(**(options or {})) if stream else spark.read
+    pages = reader.schema(schemas.struct(FOLDERS[kind])).json(f"{folder}/{kind}")
+    return pages.select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
 
 
 def flatten_pages(pages: DataFrame) -> DataFrame:
@@ -36,11 +44,13 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
         "items", lambda item: clean.to_time(item.snippet.topLevelComment.snippet.publishedAt)
     )
     blocked = F.coalesce("comments_disabled", F.lit(False))
+    landed = "landed_at" if "landed_at" in pages.columns else F.lit(None).cast("timestamp").alias("landed_at")
     snippet = "item.snippet.topLevelComment.snippet"
     return (
         pages.select(
             "video_id",
             blocked.alias("blocked"),
+            landed,
             F.array_max(times).alias("page_newest"),
             F.posexplode_outer(F.when(~blocked, F.col("items"))).alias("position", "item"),
         )
@@ -53,6 +63,7 @@ def flatten_pages(pages: DataFrame) -> DataFrame:
             clean.like_count(F.col(f"{snippet}.likeCount")).alias("likes"),
             F.col(f"{snippet}.publishedAt").alias("published_at"),
             F.coalesce(f"{snippet}.updatedAt", f"{snippet}.publishedAt").alias("updated_at"),
+            "landed_at",
             "page_newest",
             "position",
         )

@@ -1,4 +1,4 @@
-"""The six state tables, kept as append-only versions.
+"""The state tables, kept as append-only versions.
 
 Every batch writes its rows to a folder of its own, ``<table>/batch_id=N``, and writing a batch again
 replaces that folder alone. Jobs of batch N read what earlier batches wrote, so a repeated batch
@@ -8,8 +8,12 @@ nothing is ever rewritten in place.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opinara import schemas
 from opinara.operators import comments, stats, videos
@@ -21,6 +25,7 @@ CURRENT = {
     "raw_comments": comments.merge,
     "video_stats": stats.merge,
     "global_stats": lambda versions: versions.drop("batch_id"),
+    "pending_comments": lambda versions: versions.drop("batch_id"),
 }
 
 
@@ -61,6 +66,30 @@ class StateTables:
         reader = self.spark.read.schema(schema).option("basePath", self.path(table))
         return reader.parquet(f"{self.path(table)}/batch_id={batch_id}")
 
+    def pending(self, batch_id: int) -> DataFrame:
+        """Comments that the batch before this one left for later; each batch hands on what is still
+        open, so older ones are done with."""
+        finished = self.versions("global_stats", batch_id).agg(F.max("batch_id").alias("n")).first()["n"]
+        rows = self.versions("pending_comments", batch_id)
+        return rows.where(F.col("batch_id") == (finished or 0)).drop("batch_id")
+
+    def batch_time(self, batch_id: int, asked: datetime) -> datetime:
+        """The time of a batch: as asked at its first attempt, then the same for every repeat."""
+        folder = f"{self.root}/_times/batch_id={batch_id}"
+        fields = T.StructType.fromDDL("as_of TIMESTAMP")
+        try:
+            kept = self.spark.read.schema(fields).parquet(folder).first()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            kept = None
+        if kept is None:
+            one = self.spark.createDataFrame([(asked,)], fields)
+            one.write.mode("overwrite").parquet(folder)
+            return asked
+        micros = self.spark.read.schema(fields).parquet(folder).select(F.unix_micros("as_of")).first()[0]
+        return datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=micros)
+
     def last_batch(self) -> int:
         """The newest batch whose cycle came to its end; its snapshot is written last."""
         return self.versions("global_stats").agg(F.max("batch_id").alias("n")).first()["n"] or 0

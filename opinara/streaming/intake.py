@@ -24,8 +24,9 @@ from opinara.sources.state import StateTables
 COLUMNS = {
     "comments": (
         "comment",
-        "struct<video_id: string, comment_id: string, text: string, likes: int, "
-        "published_at: string, updated_at: string, page_newest: timestamp, position: int>",
+        "struct<video_id: string, comment_id: string, text: string, likes: bigint, "
+        "published_at: string, updated_at: string, landed_at: timestamp, page_newest: timestamp, "
+        "position: int>",
     ),
     "disabled": ("blocked", "struct<video_id: string>"),
     "statistics": ("count", "struct<video_id: string, yt_count: bigint>"),
@@ -37,9 +38,11 @@ COLUMNS = {
 }
 
 
-def landed_rows(spark: SparkSession, folder: str, stream: bool = True) -> DataFrame:
+def landed_rows(
+    spark: SparkSession, folder: str, stream: bool = True, options: dict | None = None
+) -> DataFrame:
     """All landed rows in one frame: ``kind`` and the struct column of that kind."""
-    pages = {k: landing.read_pages(spark, folder, k, stream) for k in landing.FOLDERS}
+    pages = {k: landing.read_pages(spark, folder, k, stream, options) for k in landing.FOLDERS}
     flat = landing.flatten_pages(pages["comments"])
     fields = [c for c in flat.columns if c != "blocked"]
     from_comments = flat.select(
@@ -95,11 +98,14 @@ def take_in(
     models: Sequence[scoring.Model],
     as_of: datetime,
     max_active: int,
-    cap: int | None = None,
 ) -> None:
-    """One monitoring cycle over landed rows, from a stream or from a plain read."""
+    """One monitoring cycle over landed rows, from a stream or from a plain read.
+
+    The time of a batch's first attempt is stored and holds for its repeats.
+    """
     staged = stage(rows, store.work(batch_id, "landed"))
-    run_cycle(store, batch_id, split(staged), models, as_of, max_active, cap)
+    as_of = store.batch_time(batch_id, as_of)
+    run_cycle(store, batch_id, split(staged), models, as_of, max_active)
 
 
 def run_stream(
@@ -110,26 +116,27 @@ def run_stream(
     models: Sequence[scoring.Model],
     as_of: Callable[[int], datetime],
     max_active: int,
-    cap: int | None = None,
     trigger: dict | None = None,
     first_batch: int = 1,
+    options: dict | None = None,
 ) -> StreamingQuery:
     """Start the intake. By default it takes what has landed and ends, as a scheduled run would.
 
-    ``as_of`` gives the time of a batch by its id. Ids start at ``first_batch``, 1 for new tables;
+    ``options`` go to the file source, as ``maxFilesPerTrigger`` to bound a batch or ``cleanSource`` to
+    archive what was read. ``as_of`` gives the time of a batch by its id. Ids start at ``first_batch``, 1 for new tables;
     a new checkpoint over existing tables has to start beyond their last batch.
     """
 
     def one_cycle(batch: DataFrame, epoch: int) -> None:
         batch_id = epoch + first_batch
         state = StateTables(batch.sparkSession, store.root)
-        take_in(state, batch_id, batch, models, as_of(batch_id), max_active, cap)
+        take_in(state, batch_id, batch, models, as_of(batch_id), max_active)
 
     for kind in landing.FOLDERS:
         empty = spark.createDataFrame([], T.StructType.fromDDL(landing.FOLDERS[kind]))
         empty.limit(0).write.mode("ignore").json(f"{folder}/{kind}")
     return (
-        landed_rows(spark, folder)
+        landed_rows(spark, folder, options=options)
         .writeStream.option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .foreachBatch(one_cycle)

@@ -194,14 +194,42 @@ def test_an_older_batch_is_refused(spark, tmp_path):
         take_in(store, 4, batch(spark, tmp_path / "none"), scoring.BUILT_IN, AS_OF, 20)
 
 
-def test_page_cap(spark, tmp_path):
-    comments = made(120)
+@pytest.mark.parametrize("comments_first", [True, False])
+def test_kinds_in_different_batches_lose_nothing(spark, one_batch, tmp_path, comments_first):
+    """Videos five days old, whose counts land before or after their comments."""
+    _, single, comments = one_batch
+    later = AS_OF + timedelta(days=4)
+    store = start_store(spark, tmp_path / "state")
+    counts = {v: sum(c["video"] == v for c in comments) for v in {c["video"] for c in comments}}
+    parts = [(comments, {}), ([], counts)]
+    for number, (part, counted) in enumerate(parts if comments_first else parts[::-1], start=1):
+        land(tmp_path / f"l{number}", number, part, counts=counted)
+        take_in(store, number, batch(spark, tmp_path / f"l{number}"), scoring.BUILT_IN, later, 20)
+    assert tables(store, "raw_comments") == tables(single, "raw_comments")
+
+
+def test_comments_of_a_video_found_later_wait_for_it(spark, tmp_path):
+    comments = [{**c, "video": "late"} for c in made(30)]
+    store = start_store(spark, tmp_path / "state")
+    land(tmp_path / "a", 1, comments, counts={"late": 30})
+    take_in(store, 1, batch(spark, tmp_path / "a"), scoring.BUILT_IN, AS_OF, 20)
+    assert store.current("raw_comments").count() == 0
+    land(tmp_path / "b", 2, [], counts={"late": 30}, search=[("late", START)])
+    take_in(store, 2, batch(spark, tmp_path / "b"), scoring.BUILT_IN, AS_OF, 20)
+    land(tmp_path / "c", 3, [], counts={"late": 30})
+    take_in(store, 3, batch(spark, tmp_path / "c"), scoring.BUILT_IN, AS_OF, 20)
+    assert store.current("raw_comments").count() == 60
+    assert store.pending(4).count() == 0
+
+
+def test_the_latest_fetch_of_a_comment_wins(spark, tmp_path):
+    import os
+
+    comments = made(5)
     store = start_store(spark, tmp_path / "state")
     land(tmp_path / "a", 1, comments)
-    take_in(store, 1, batch(spark, tmp_path / "a"), scoring.BUILT_IN, AS_OF, 7, cap=10)
-    kept = {r.comment_id for r in store.current("raw_comments").collect()}
-    expected = set()
-    for video in {c["video"] for c in comments}:
-        mine = sorted((c for c in comments if c["video"] == video), key=lambda c: c["time"])
-        expected |= {c["id"] for c in mine[-10:]}
-    assert kept == expected
+    land(tmp_path / "a", 2, [{**c, "text": "of", "likes": 99} for c in comments])
+    for number, seconds in ((1, 1_000), (2, 2_000)):
+        os.utime(tmp_path / "a" / "comments" / f"{number:03}.json", (seconds, seconds))
+    take_in(store, 1, batch(spark, tmp_path / "a"), scoring.BUILT_IN, AS_OF, 7)
+    assert {(r.comment_text, r.likes) for r in store.current("raw_comments").collect()} == {("of", 99)}
