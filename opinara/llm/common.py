@@ -35,7 +35,7 @@ def text_bytes() -> Column:
     return F.coalesce(F.col("text"), F.lit("")).cast("binary")
 
 
-def byte_chunks(values: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
+def byte_chunks(values: pa.Array | list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Cut a column of bytes into runs of rows that hold about limit bytes (one row at least).
 
     Yields the first row's number and the values. Whatever the batch size, arrays made from a run
@@ -44,7 +44,7 @@ def byte_chunks(values: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     run: list[bytes] = []
     first = size = 0
     for i, value in enumerate(values):
-        data = value.as_py() or b""
+        data = (value if isinstance(value, bytes) else value.as_py()) or b""
         if run and size + len(data) > limit:
             yield first, run
             run, first, size = [], i, 0

@@ -39,7 +39,8 @@ PENALTY = 12.0
 SMOOTH = 0.05
 SCRIPT_SHARE = 0.01
 MIN_SCORE = 0.4
-CHUNK = 4 << 20
+CHUNK = 4 << 20  # bytes of the texts whose paths are found together
+PART = 1 << 19
 FAR = np.float32(-1e4)
 
 # Blocks of letters by script (Unicode), first and last code point.
@@ -166,7 +167,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model:
             for lang in sorted(set(langs)):
                 own = batch.column(1).filter(pa.array([x == lang for x in langs]))
                 cells = totals.setdefault(lang, np.zeros(TABLE + OTHER + 1, np.int64))
-                for _, texts in byte_chunks(own, CHUNK):
+                for _, texts in byte_chunks(own, PART):
                     text = read_texts(texts)
                     for cell in gram_cells(text):
                         cells[:TABLE] += np.bincount(cell, minlength=TABLE + 1)[:TABLE]
@@ -252,37 +253,43 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
     return path
 
 
+def scored_words(texts: list[bytes], model: Model):
+    """Of all words: scores, letters, letters if any language is possible, start and end in their text;
+    and the first word of each text. Read in parts, so that arrays over characters stay small."""
+    columns, first = [], [np.zeros(1, np.int64)]
+    for _, part in byte_chunks(texts, PART):
+        text = read_texts(part)
+        first.append(first[-1][-1] + text.first[1:])
+        if len(text.starts):
+            begins = np.repeat(text.begins, np.diff(text.first))
+            columns.append((*word_scores(text, model), text.starts - begins, text.ends - begins))
+    if not columns:
+        return None
+    return *(np.concatenate(x) for x in zip(*columns, strict=True)), np.concatenate(first)
+
+
 def label(texts: list[bytes], model: Model, penalty: float):
     """(language index or -1, score, span starts, span ends, span languages, spans' first) of texts."""
-    text = read_texts(texts)
     rows = len(texts)
-    if not len(text.starts) or not model.langs:
+    found = scored_words(texts, model) if model.langs else None
+    if found is None:
         none = np.zeros(0, np.int64)
         return np.full(rows, -1), np.zeros(rows), none, none, none, np.zeros(rows + 1, np.int64)
-    scores, letters, known = word_scores(text, model)
-    path = viterbi(scores, text.first, penalty).astype(np.int64)
+    scores, letters, known, starts, ends, first = found
+    path = viterbi(scores, first, penalty).astype(np.int64)
     width = len(model.langs)
-    row = np.repeat(np.arange(rows), np.diff(text.first))
+    row = np.repeat(np.arange(rows), np.diff(first))
     share = np.bincount(row * width + path, known, rows * width).reshape(rows, width)
     total = np.bincount(row, letters, rows)
     lang = np.where(share.max(1) > 0, share.argmax(1), -1)
     score = np.where(lang >= 0, share.max(1) / np.maximum(total, 1), 0.0)
     new = np.append(True, (np.diff(path) != 0) | (np.diff(row) != 0))
-    keep = lang[row] >= 0
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(path)) - 1
-    shown = keep[begin]
+    shown = lang[row[begin]] >= 0
     begin, end = begin[shown], end[shown]
-    offset = text.begins[row[begin]]
     counts = np.bincount(row[begin], minlength=rows)
-    return (
-        lang,
-        score,
-        text.starts[begin] - offset,
-        text.ends[end] - offset,
-        path[begin],
-        np.append(0, np.cumsum(counts)),
-    )
+    return lang, score, starts[begin], ends[end], path[begin], np.append(0, np.cumsum(counts))
 
 
 def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFrame:
