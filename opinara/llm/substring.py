@@ -101,7 +101,7 @@ def later_units(docs: DataFrame) -> DataFrame:
     # written, so that a digest of very many texts can be split when it is joined
     first = cut_lineage(units.groupBy("h1", "h2").agg(F.min(place).alias("first")))
     rest = F.when(place.eqNullSafe(F.col("first")), F.slice("units", 2, F.size("units"))).otherwise(F.col("units"))
-    later = units.join(first, ["h1", "h2"]).select("key", rest.alias("units")).where(F.size("units") > 0)
+    later = units.join(first.hint("merge"), ["h1", "h2"]).select("key", rest.alias("units")).where(F.size("units") > 0)
     return later.groupBy("key").agg(F.flatten(F.collect_list("units")).alias("later"))
 
 
