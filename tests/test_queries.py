@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from opinara.plans.oracle import statements
+from opinara.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -14,10 +16,12 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(statements())
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     assert check.compare(spark, db, SF, name) == ""
 
