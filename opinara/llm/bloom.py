@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opinara.llm.common import collect_arrays
+
 BITS = 25  # 2**25 bits are 4 MB, whatever the input
 LOW, HIGH = 0, 32  # the two bits of a value are named by these parts of it
 
@@ -18,10 +20,10 @@ def build(df: DataFrame, column: str, bits: int = BITS) -> np.ndarray:
         df.select(F.explode(F.array(*places)).alias("bit"))
         .groupBy(F.shiftright("bit", 5).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits"))
-        .toPandas()
     )
+    found = collect_arrays(words)
     out = np.zeros(1 << (bits - 5), np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    out[found["word"]] = found["bits"].astype(np.uint32)
     return out
 
 

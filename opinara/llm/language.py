@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import as_list_array, byte_chunks, text_bytes
+from opinara.llm.common import as_list_array, byte_chunks, collect_arrays, text_bytes
 from opinara.llm.tokens import SPACE
 
 SAMPLE = 2000
@@ -145,8 +145,8 @@ class Model:
     strange: np.ndarray  # (scripts, languages): letters that the language is not written with
 
 
-def sample_of(docs: DataFrame, per_language: int) -> DataFrame:
-    """(lang, t): labelled texts, about per_language of each language at most."""
+def sample_of(docs: DataFrame, per_language: int) -> tuple[list[str], DataFrame]:
+    """The languages, and (lang, t) of labelled texts, about per_language of each at most."""
     labelled = docs.where("lang is not null and text is not null")
     counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40))
@@ -154,18 +154,20 @@ def sample_of(docs: DataFrame, per_language: int) -> DataFrame:
     for lang, n in counts.items():
         bound = F.lit(min(1 << 40, (per_language << 40) // n))
         chosen = chosen | ((F.col("lang") == lang) & (place < bound))
-    return labelled.where(chosen).select("lang", F.col("text").cast("binary").alias("t"))
+    rows = labelled.where(chosen).select("lang", F.col("text").cast("binary").alias("t"))
+    return sorted(counts, key=lambda lang: lang.encode()), rows
 
 
 def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model:
     """Model from the documents that have a language."""
+    langs, sample = sample_of(docs, per_language)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            for lang in sorted(set(langs)):
-                own = batch.column(1).filter(pa.array([x == lang for x in langs]))
+            labels = batch.column(0).to_pylist()
+            for lang in sorted(set(labels)):
+                own = batch.column(1).filter(pa.array([x == lang for x in labels]))
                 cells = totals.setdefault(lang, np.zeros(TABLE + OTHER + 1, np.int64))
                 for _, texts in byte_chunks(own, PART):
                     text = read_texts(texts)
@@ -175,17 +177,18 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model:
         for lang, cells in totals.items():
             found = np.flatnonzero(cells)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(found)), pa.array(found, pa.int64()), pa.array(cells[found])],
+                [
+                    pa.array(np.full(len(found), langs.index(lang)), pa.int32()),
+                    pa.array(found, pa.int64()),
+                    pa.array(cells[found]),
+                ],
                 names=["lang", "cell", "n"],
             )
 
-    counted = sample_of(docs, per_language).mapInArrow(count, "lang string, cell long, n long")
-    cells = counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(cells["lang"].unique(), key=lambda x: x.encode())
+    counted = sample.mapInArrow(count, "lang int, cell long, n long")
+    cells = collect_arrays(counted.groupBy("lang", "cell").agg(F.sum("n").alias("n")))
     counts = np.zeros((TABLE + OTHER + 1, len(langs)))
-    for i, lang in enumerate(langs):
-        own = cells[cells["lang"] == lang]
-        counts[own["cell"].to_numpy(np.int64), i] = own["n"].to_numpy(np.int64)
+    counts[cells["cell"], cells["lang"]] = cells["n"]
     grams, letters = counts[:TABLE], counts[TABLE:]
     letters[0] = 0
     table = np.zeros((TABLE + 1, len(langs)), np.float32)

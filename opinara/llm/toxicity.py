@@ -41,10 +41,11 @@ SAMPLE = 3000
 SPAN = 6
 DECAY = 0.7
 LANDMARKS = 120  # of witnesses, and as many of other words
-NEGATIVES = 8000
+NEGATIVES = 15_000
 ROUNDS = 2
 RIDGE = 1e-3
-CACHE = 400_000
+CACHE = 300_000
+STEP = 4000  # words whose sequences are laid out at once
 TOP = 3.0
 MIN_SEEN = 4
 MIN_ODDS = 2.0
@@ -136,15 +137,15 @@ class Table:
         return maybe[hit], at[hit]
 
 
-def kernel(words: list[str], landmarks: list[str], step: int = 400) -> np.ndarray:
+def kernel(words: list[str], landmarks: list[str], step: int = 100) -> np.ndarray:
     """Normalised kernel of words with landmarks."""
     base = sequences(landmarks)
     codes, place = np.unique(base.code, return_inverse=True)
     table = Table(codes)
-    values = np.zeros((len(codes), len(landmarks)))
+    values = np.zeros((len(codes), len(landmarks)), np.float32)
     np.add.at(values, (place, base.word), base.weight)
     values /= np.maximum(base.norms(), 1e-9)
-    out = np.zeros((len(words), len(landmarks)))
+    out = np.zeros((len(words), len(landmarks)), np.float32)
     for i in range(0, len(words), step):
         t = sequences(words[i : i + step])
         here, there = table.find(t.code)
@@ -152,7 +153,7 @@ def kernel(words: list[str], landmarks: list[str], step: int = 400) -> np.ndarra
         here, there = here[order], there[order]
         if len(here):
             first = np.flatnonzero(np.diff(t.word[here], prepend=-1))
-            rows = np.add.reduceat(values[there] * t.weight[here, None], first, axis=0)
+            rows = np.add.reduceat(values[there] * t.weight[here, None].astype(np.float32), first, axis=0)
             out[i + t.word[here[first]]] = rows
         out[i : i + t.n] /= np.maximum(t.norms(), 1e-9)[:, None]
     return out
@@ -197,13 +198,18 @@ class Model:
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
     """Linear machine by Newton steps on the rows within the margin; the last column is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    penalty = np.diag(np.append(np.full(x.shape[1] - 1, ridge), 1e-6))
-    w, inside = np.zeros(x.shape[1]), np.ones(len(x), bool)
+    width = x.shape[1] + 1
+    w, inside = np.zeros(width), np.ones(len(x), bool)
     for _ in range(30):
-        scaled = x[inside] * weight[inside, None]
-        w = np.linalg.solve(x[inside].T @ scaled + penalty, scaled.T @ y[inside])
-        now = y * (x @ w) < 1
+        square, target = np.diag(np.append(np.full(width - 1, ridge), 1e-6)), np.zeros(width)
+        for i in range(0, len(x), 1000):
+            own = np.flatnonzero(inside[i : i + 1000]) + i
+            part = np.hstack([x[own], np.ones((len(own), 1))]).astype(np.float64)
+            scaled = part * weight[own, None]
+            square += part.T @ scaled
+            target += scaled.T @ y[own]
+        w = np.linalg.solve(square, target)
+        now = y * (x @ w[:-1] + w[-1]) < 1
         if (now == inside).all():
             break
         inside = now
@@ -243,53 +249,94 @@ def worst_of(model: Model, texts: Iterable[set[str]]) -> np.ndarray:
     texts = list(texts)
     every = sorted(set().union(*texts)) if texts else []
     scores: dict[str, float] = {}
-    for i in range(0, len(every), 20_000):
-        part = every[i : i + 20_000]
+    for i in range(0, len(every), STEP):
+        part = every[i : i + STEP]
         scores.update(zip(part, model.word_scores(part).tolist(), strict=True))
     return np.array([features(scores[u] for u in t) for t in texts])
 
 
+@dataclass
+class Corpus:
+    """Labelled texts as numbers, which take little room on the driver."""
+
+    units: list[str]
+    of: np.ndarray  # (raw word, 2): its units, -1 for none
+    texts: list[np.ndarray]  # distinct raw words of each text
+    after: list[np.ndarray]  # by label, of texts not kept back: distinct (unit, raw word before it)
+
+    @staticmethod
+    def read(texts: list[str], labels: list[int], kept_back: np.ndarray) -> Corpus:
+        raw: dict[str, int] = {}
+        numbers: dict[str, int] = {}
+        of, rows = [], []
+        pairs: list[list[np.ndarray]] = [[], []]
+
+        def number(word: str) -> int:
+            if word not in raw:
+                raw[word] = len(of)
+                own = [numbers.setdefault(u, len(numbers)) for u in units(word)]
+                of.append((own + [-1, -1])[:2])
+            return raw[word]
+
+        number("")
+        for text, label, back in zip(texts, labels, kept_back, strict=True):
+            row = np.array([number(w) for w in text.lower().split()], np.int64)
+            if not back:
+                pairs[label].append(np.unique(row << 32 | np.append(0, row[:-1])))
+            more = [number(w) for w in words_of(text) if w not in raw]
+            rows.append(np.unique(np.append(row, more)).astype(np.int32))
+        table = np.array(of, np.int64).reshape(-1, 2)
+        after = []
+        for own in pairs:
+            pair = np.concatenate([np.zeros(0, np.int64), *own])
+            unit = table[pair >> 32]
+            before = (pair & 0xFFFFFFFF)[:, None]
+            after.append(np.unique(((unit << 32) | before)[unit >= 0]) >> 32)
+        return Corpus(list(numbers), table, rows, after)
+
+    def features(self, model: Model, which: np.ndarray) -> np.ndarray:
+        scores = np.concatenate(
+            [model.word_scores(self.units[i : i + STEP]) for i in range(0, len(self.units), STEP)] + [[-1.0]]
+        )
+        raw = scores[self.of].max(1)
+        return np.array([features(raw[self.texts[i]].tolist()) for i in which]).reshape(-1, 3)
+
+
 def train(texts: list[str], labels: list[int], clean_weight: float = 1.0, seed: int = 7) -> Model:
     """Machine from labelled texts. clean_weight: texts of label 0 that one of them stands for."""
     nothing = Model(np.zeros(0, np.uint64), np.zeros(0), -1.0, np.zeros(3), known=False)
     if len(set(labels)) < 2:
         return nothing
     random = np.random.default_rng(seed)
-    found = [all_units(t) for t in texts]
     kept_back = np.arange(len(texts)) % 4 == 3
-    after: tuple[set, set] = (set(), set())
-    for text, label, back in zip(texts, labels, kept_back, strict=True):
-        if not back:
-            low = text.lower().split()
-            after[label].update((u, p) for p, w in zip(["", *low], low, strict=False) for u in units(w))
-    clean, toxic = (Counter(u for u, _ in pairs) for pairs in after)
-    n = [max(1, len(pairs)) for pairs in after]
-    witnesses = {}
-    for w, k in toxic.items():
-        odds = np.log((k + 0.5) / n[1] / ((clean[w] + 0.5) / n[0]))
-        if k >= MIN_SEEN and odds > MIN_ODDS:
-            witnesses[w] = k
-    if not witnesses:
+    corpus = Corpus.read(texts, labels, kept_back)
+    clean, toxic = (np.bincount(a, minlength=len(corpus.units)) for a in corpus.after)
+    n_clean, n_toxic = (max(1, int(x.sum())) for x in (clean, toxic))
+    odds = np.log((toxic + 0.5) / n_toxic) - np.log((clean + 0.5) / n_clean)
+    witness = np.flatnonzero((toxic >= MIN_SEEN) & (odds > MIN_ODDS))
+    if not len(witness):
         return nothing
-    positive = sorted(witnesses, key=lambda w: (-witnesses[w], w))
-    others = sorted(w for w in clean if w not in witnesses)
+    name = corpus.units.__getitem__
+    positive = sorted(witness.tolist(), key=lambda i: (-toxic[i], name(i)))
+    others = np.setdiff1d(np.flatnonzero(clean), witness)
+    others = np.array(sorted(others.tolist(), key=name), np.int64)
     random.shuffle(others)
-    negative = others[:NEGATIVES]
-    landmarks = positive[:LANDMARKS] + negative[:LANDMARKS]
-    varied = [slipped(w, random) for w in positive for _ in range(2)]
-    varied = [w for w in varied if w not in clean]
+    negative = others[:NEGATIVES].tolist()
+    landmarks = [name(i) for i in positive[:LANDMARKS] + negative[:LANDMARKS]]
+    known = {name(i) for i in others}
+    varied = [w for i in positive for w in (slipped(name(i), random) for _ in range(2)) if w not in known]
     model = nothing
     for again in range(ROUNDS + 1):
-        inner = kernel(landmarks, landmarks)
+        inner = kernel(landmarks, landmarks).astype(np.float64)
         value, vector = np.linalg.eigh(inner)
         keep = value > 1e-6
         root = vector[:, keep] / np.sqrt(value[keep])
-        words = positive + varied + negative
+        words = [name(i) for i in positive] + varied + [name(i) for i in negative]
         y = np.array([1.0] * (len(positive) + len(varied)) + [-1.0] * len(negative))
-        counts = [witnesses[w] for w in positive] + [1] * len(varied) + [clean[w] for w in negative]
-        weight = np.sqrt(np.array(counts, float))
+        counts = np.concatenate([toxic[positive], np.ones(len(varied)), clean[negative]])
+        weight = np.sqrt(counts)
         weight[y > 0] *= weight[y < 0].sum() / weight[y > 0].sum()
-        w = squared_hinge(kernel(words, landmarks) @ root, y, weight / weight.sum() * 100, RIDGE)
+        w = squared_hinge(kernel(words, landmarks) @ root.astype(np.float32), y, weight / weight.sum() * 100, RIDGE)
         beta = root @ w[:-1]
         base = sequences(landmarks)
         codes, place = np.unique(base.code, return_inverse=True)
@@ -297,18 +344,18 @@ def train(texts: list[str], labels: list[int], clean_weight: float = 1.0, seed:
         model = Model(codes, np.bincount(place, share, len(codes)), float(w[-1]), np.zeros(3))
         if again == ROUNDS:
             break
-        scores = model.word_scores(others)
-        hard = [others[i] for i in np.argsort(-scores, kind="stable")[:1000] if scores[i] > -0.5]
-        chosen = set(negative)
+        scores = np.concatenate(
+            [model.word_scores([name(j) for j in others[i : i + STEP]]) for i in range(0, len(others), STEP)]
+        )
+        hard = [int(others[i]) for i in np.argsort(-scores, kind="stable")[:1000] if scores[i] > -0.5]
+        chosen, held = set(negative), set(landmarks)
         negative = negative + [h for h in hard if h not in chosen]
-        held = set(landmarks)
-        landmarks = landmarks + [h for h in hard if h not in held][:LANDMARKS]
+        landmarks = landmarks + [name(h) for h in hard if name(h) not in held][:LANDMARKS]
     back = np.flatnonzero(kept_back)
     if len({labels[i] for i in back}) < 2:
         back = np.arange(len(texts))
-    worst = worst_of(model, [found[i] for i in back])
     y = np.array([labels[i] for i in back], float)
-    model.slopes = logistic(worst, y, np.where(y > 0, 1.0, clean_weight))
+    model.slopes = logistic(corpus.features(model, back), y, np.where(y > 0, 1.0, clean_weight))
     return model
 
 
@@ -345,7 +392,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 parts = [units(w) for w in new]
                 flat = [u for p in parts for u in p]
                 scores = iter(np.concatenate(
-                    [machine.word_scores(flat[i : i + 20_000]) for i in range(0, len(flat), 20_000)] or [np.zeros(0)]
+                    [machine.word_scores(flat[i : i + STEP]) for i in range(0, len(flat), STEP)] or [np.zeros(0)]
                 ).tolist())
                 for w, p in zip(new, parts, strict=True):
                     known[w] = max((next(scores) for _ in p), default=-1.0)
