@@ -46,7 +46,8 @@ ROUNDS = 2
 RIDGE = 1e-3
 CACHE = 300_000
 STEP = 4000  # words whose sequences are laid out at once
-TOP = 3.0
+TOP, MARGIN = 3.0, 1.0
+FEATURES = 5
 MIN_SEEN = 4
 MIN_ODDS = 2.0
 BITS = 20
@@ -164,7 +165,7 @@ class Model:
     codes: np.ndarray  # sorted sequences
     weights: np.ndarray
     bias: float
-    slopes: np.ndarray  # of a text's largest word score, of the mean of its three largest, constant
+    slopes: np.ndarray  # of a text's features
     known: bool = True
 
     def word_scores(self, words: list[str]) -> np.ndarray:
@@ -228,10 +229,12 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return w
 
 
-def features(scores: Iterable[float]) -> tuple[float, float, float]:
-    """The largest of word scores, the mean of the three largest (-1 where there are fewer), one."""
-    top = [min(s, TOP) for s in heapq.nlargest(3, scores)] + [-1.0] * 3
-    return top[0], sum(top[:3]) / 3, 1.0
+def features(scores: Iterable[float]) -> tuple[float, ...]:
+    """The largest of word scores up to the margin and up to TOP, the means of the three largest so
+    bounded (-1 where there are fewer), one."""
+    top = ([min(s, TOP) for s in heapq.nlargest(3, scores)] + [-1.0] * 3)[:3]
+    sure = [min(s, MARGIN) for s in top]
+    return sure[0], top[0], sum(sure) / 3, sum(top) / 3, 1.0
 
 
 def slipped(word: str, random: np.random.Generator) -> str:
@@ -299,12 +302,13 @@ class Corpus:
             [model.word_scores(self.units[i : i + STEP]) for i in range(0, len(self.units), STEP)] + [[-1.0]]
         )
         raw = scores[self.of].max(1)
-        return np.array([features(raw[self.texts[i]].tolist()) for i in which]).reshape(-1, 3)
+        return np.array([features(raw[self.texts[i]].tolist()) for i in which]).reshape(-1, FEATURES)
 
 
 def train(texts: list[str], labels: list[int], clean_weight: float = 1.0, seed: int = 7) -> Model:
-    """Machine from labelled texts. clean_weight: texts of label 0 that one of them stands for."""
-    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), -1.0, np.zeros(3), known=False)
+    """Machine from labelled texts. clean_weight: texts of label 0 that one of them stands for; scores
+    stand half way between even shares of both labels and these."""
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), -1.0, np.zeros(FEATURES), known=False)
     if len(set(labels)) < 2:
         return nothing
     random = np.random.default_rng(seed)
@@ -341,7 +345,7 @@ def train(texts: list[str], labels: list[int], clean_weight: float = 1.0, seed:
         base = sequences(landmarks)
         codes, place = np.unique(base.code, return_inverse=True)
         share = base.weight * (beta / np.maximum(base.norms(), 1e-9))[base.word]
-        model = Model(codes, np.bincount(place, share, len(codes)), float(w[-1]), np.zeros(3))
+        model = Model(codes, np.bincount(place, share, len(codes)), float(w[-1]), np.zeros(FEATURES))
         if again == ROUNDS:
             break
         scores = np.concatenate(
@@ -355,7 +359,7 @@ def train(texts: list[str], labels: list[int], clean_weight: float = 1.0, seed:
     if len({labels[i] for i in back}) < 2:
         back = np.arange(len(texts))
     y = np.array([labels[i] for i in back], float)
-    model.slopes = logistic(corpus.features(model, back), y, np.where(y > 0, 1.0, clean_weight))
+    model.slopes = logistic(corpus.features(model, back), y, np.where(y > 0, 1.0, clean_weight**0.5))
     return model
 
 
@@ -396,7 +400,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 ).tolist())
                 for w, p in zip(new, parts, strict=True):
                     known[w] = max((next(scores) for _ in p), default=-1.0)
-                values = np.array([features(known[w] for w in t) for t in texts]).reshape(-1, 3)
+                values = np.array([features(known[w] for w in t) for t in texts]).reshape(-1, FEATURES)
                 # ties by the word, so that runs agree
                 worst = [max(((known[w], w) for w in t), default=(-1.0, None)) for t in texts]
                 yield pa.RecordBatch.from_arrays(
