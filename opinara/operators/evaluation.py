@@ -62,6 +62,16 @@ def confusion_matrix(gold: DataFrame, labels: str = "all") -> DataFrame:
     )
 
 
+def wide_matrix(matrix: DataFrame) -> DataFrame:
+    """A row per model and human label, a column per predicted label, both axes sorted.
+
+    ``matrix`` is one of the long ones; its predicted labels, a handful, are read for the columns.
+    """
+    labels = sorted(r["predicted"] for r in matrix.select("predicted").distinct().collect())
+    cells = [F.sum(F.when(F.col("predicted") == x, F.col("n"))).alias(x) for x in labels]
+    return matrix.groupBy("model", "human").agg(*cells).orderBy("model", "human")
+
+
 def classification_report(gold: DataFrame) -> DataFrame:
     """Per model: precision, recall, F1 and support of each class, accuracy, macro and weighted
     averages. A ratio over nothing is 0. Accuracy stands in the F1 column, as printed reports

@@ -691,6 +691,12 @@ STATEMENTS: dict[str, tuple[str, str]] = {
           left join pairs x on x.model = h.model and x.human = h.label and x.predicted = p.label
           group by h.model, h.label, p.label""",
     ),
+    "confusion_wide": (
+        "",
+        """select model, human, count(*) filter (where predicted = 'negative') as negative,
+          count(*) filter (where predicted = 'neutral') as neutral,
+          count(*) filter (where predicted = 'positive') as positive from pairs group by model, human""",
+    ),
     "confusion_human_labels": (
         """two as (select * replace (case human when 'neutral' then 'negative' else human end as human) from pairs),
           axis as (select distinct model, human as label from two)""",

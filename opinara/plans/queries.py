@@ -574,6 +574,12 @@ def confusion_all_labels(spark, sf_dir):
     return evaluation.confusion_matrix(evaluation.complete_rows(fx.gold(spark, sf_dir)))
 
 
+@query
+def confusion_wide(spark, sf_dir):
+    matrix = evaluation.confusion_matrix(evaluation.complete_rows(fx.gold(spark, sf_dir)))
+    return evaluation.wide_matrix(matrix)
+
+
 @query
 def confusion_human_labels(spark, sf_dir):
     """Annotators who know two classes: predictions of the third one fall out."""
