@@ -106,15 +106,14 @@ def cells(rows: DataFrame) -> DataFrame:
     small = counts.where(F.col("n") < MIN_ROWS)
     pools = small.groupBy("lang").agg(F.sum("n").alias("pooled"))
     pools = pools.select(F.col("lang").alias("pool"), "pooled")
-    rest = pools.where(F.col("pooled") < MIN_ROWS).agg(F.sum("pooled").alias("rest"))
+    rest = pools.where(F.col("pooled") < MIN_ROWS).agg(F.sum("pooled").alias("n")).first()["n"] or 0
     return (
         counts.join(pools, F.col("lang").eqNullSafe(F.col("pool")), "left")
-        .join(F.broadcast(rest), how="left")  # one row
         .select(
             "group",
             F.when(F.col("n") >= MIN_ROWS, F.concat(F.lit("source "), "group"))
             .when(F.col("pooled") >= MIN_ROWS, F.concat(F.lit("language "), F.to_json(F.struct("lang"))))
-            .when(F.col("rest") >= MIN_ROWS, F.lit("rest"))
+            .when(F.lit(rest) >= MIN_ROWS, F.lit("rest"))
             .alias("cell"),
         )
     )
