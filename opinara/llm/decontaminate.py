@@ -5,12 +5,17 @@ substituted hashes to the same value. Windows of all benchmark items and of all
 under every mask and joined on (mask, hash). Around each hit the texts are compared word by word on
 the hit's diagonal, to both sides as long as the balance (+1 for an equal word, -2 for another) stays
 within `DROP` of its best. The overlap counts if it has at least `min_words` equal words and these are
-at least `min_share` of its length.
+at least `min_share` of its length; if not, its stretch with most equal words that does so counts. Every
+hit of a diagonal that lies in no overlap before it is followed.
+
+The `LIGHT` masks are chosen so that each stretch with `MIN_WORDS` equal words or more that make up
+`MIN_SHARE` of it holds a window under one of them, wherever the other words are: those of up to 23 words
+were counted out, and longer ones consist of parts of 12 to 23 words, of which one has that share.
 
 A document's windows first pass a Bloom filter of fixed size, so that only a small part of them is
 shuffled, however large the benchmark.
 
-Defined results: words are as in `tokens`; items with fewer than `SPAN` but at least `MIN_ITEM` words
+Defined results: words are as in `tokens`; items with fewer than `min_words` but at least `MIN_ITEM` words
 are found where they occur whole and unchanged; shorter, empty and missing items match nothing, nor do
 missing or empty documents; an item id or a document id that repeats with another text is a case of
 its own; rows that repeat both are one document; extra columns are ignored.
@@ -31,6 +36,7 @@ from opinara.llm.tokens import mix, powers, words
 from opinara.runtime import cut_lineage
 
 MASKS = ("111011010011", "110100110111", "101110011101")
+LIGHT = ("1111011", "1110100011", "10011111", "111101001")
 SPAN = 12
 MIN_ITEM = 5
 CONTEXT = 256  # words kept on either side of a hit, the furthest that an overlap can reach
@@ -51,7 +57,7 @@ def masked(hashes: np.ndarray, kept: list[int], name: int) -> np.ndarray:
 
 def patterns(lengths: list[int]) -> list[tuple[int, int, list[int]]]:
     """(name, span, kept places) of the spaced masks and of the whole-item masks of short items."""
-    spaced = [(i, SPAN, [j for j, c in enumerate(m) if c == "1"]) for i, m in enumerate(MASKS)]
+    spaced = [(i, len(m), [j for j, c in enumerate(m) if c == "1"]) for i, m in enumerate(MASKS + LIGHT)]
     return spaced + [(100 + n, n, list(range(n))) for n in lengths]
 
 
@@ -91,15 +97,15 @@ def benchmark_words(benchmark: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["ikey"]).mapInArrow(read, "ikey long, item_id long, words array<long>")
 
 
-def benchmark_windows(items: DataFrame, masks) -> DataFrame:
-    """(mask, hash, ikey, at): windows of items; a short item has one, its whole."""
+def benchmark_windows(items: DataFrame, masks, min_words: int = MIN_WORDS) -> DataFrame:
+    """(mask, hash, ikey, at): windows of items; one with fewer than min_words has only its whole."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 h = np.array(row["words"], np.int64).view(np.uint64)
                 for name, span, kept in masks:
-                    if len(h) < span or (name >= 100 and len(h) != span):
+                    if len(h) != span if name >= 100 else len(h) < max(span, min_words):
                         continue
                     found = masked(h, kept, name)[: len(h) - span + 1]
                     n = len(found)
@@ -179,15 +185,39 @@ def reach(equal: np.ndarray) -> int:
     return int(np.argmax(balance[:end])) + 1
 
 
-def verify(seg: np.ndarray, item: np.ndarray, shift: int, at: int, span: int):
-    """(first word, end, equal words) of the overlap through the window at `at` of seg, where word i
-    of seg lies over word i - shift of item."""
+def best_stretch(equal: np.ndarray, min_share: float) -> tuple[int, int]:
+    """The stretch with most equal words among those of which they are at least min_share."""
+    total = np.append(0, np.cumsum(equal))
+    balance = total - min_share * np.arange(len(total))
+    # of each end, the first begin from which the share is reached
+    begin = np.searchsorted(-np.minimum.accumulate(balance), -balance - 1e-9)
+    end = int(np.argmax(total - total[begin]))
+    places = np.flatnonzero(equal[begin[end] : end])
+    if not len(places):
+        return 0, 0
+    return int(begin[end] + places[0]), int(begin[end] + places[-1] + 1)
+
+
+def verify(seg: np.ndarray, item: np.ndarray, shift: int, seeds, min_words: int, min_share: float):
+    """(first word, end, equal words) of the overlaps through the windows (at, span) of seg, where word i
+    of seg lies over word i - shift of item. Windows are sorted."""
     low, high = max(0, shift), min(len(seg), len(item) + shift)
     equal = seg[low:high] == item[low - shift : high - shift]
-    begin, end = at - low, at - low + span
-    begin -= reach(equal[:begin][::-1])
-    end += reach(equal[end:])
-    return low + begin, low + end, int(equal[begin:end].sum())
+    done = 0
+    for at, span in seeds:
+        begin, end = at - low, at - low + span
+        whole = span == len(item) < SPAN and equal[begin:end].all()
+        if end <= done:
+            continue
+        begin -= reach(equal[:begin][::-1])
+        end += reach(equal[end:])
+        done = end
+        if not whole and equal[begin:end].sum() < min_share * (end - begin):
+            a, b = best_stretch(equal[begin:end], min_share)
+            begin, end = begin + a, begin + b
+        n = int(equal[begin:end].sum())
+        if whole or n >= min_words:
+            yield low + begin, low + end, n
 
 
 def find_overlaps(
@@ -204,7 +234,7 @@ def find_overlaps(
     ]
     masks = patterns(sorted(short))
     spans = {name: span for name, span, _ in masks}
-    seeds = cut_lineage(benchmark_windows(items, masks))
+    seeds = cut_lineage(benchmark_windows(items, masks, min_words))
     allowed = spark.sparkContext.broadcast(bloom.build(seeds, "hash"))
     segments = cut_lineage(candidate_segments(docs, masks, allowed))
 
@@ -215,18 +245,16 @@ def find_overlaps(
     paired = (
         hits.join(seeds, ["mask", "hash"])
         .groupBy("key", "low", "ikey", (F.col("d_at") - F.col("at")).alias("shift"))
-        .agg(F.min(F.struct("d_at", "mask")).alias("seed"))
+        .agg(F.array_sort(F.collect_set(F.struct("d_at", "mask"))).alias("seeds"))
     )
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for r in batch.to_pylist():
-                span = spans[r["seed"]["mask"]]
+                windows = [(x["d_at"], spans[x["mask"]]) for x in r["seeds"]]
                 seg, item = np.array(r["seg"], np.int64), np.array(r["words"], np.int64)
-                a, b, n = verify(seg, item, r["shift"], r["seed"]["d_at"], span)
-                whole = span == len(item) < SPAN and n == span
-                if whole or (n >= min_words and n >= min_share * (b - a)):
+                for a, b, n in verify(seg, item, r["shift"], windows, min_words, min_share):
                     out.append((r["key"], r["doc_id"], r["item_id"], r["low"] + a, b - a, n))
             columns = list(zip(*out, strict=True)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
@@ -237,7 +265,7 @@ def find_overlaps(
     rows = (
         paired.join(segments.select("key", "doc_id", "low", "seg").dropDuplicates(["key", "low"]), ["key", "low"])
         .join(items, "ikey")
-        .select("key", "doc_id", "item_id", "low", "shift", "seed", "seg", "words")
+        .select("key", "doc_id", "item_id", "low", "shift", "seeds", "seg", "words")
     )
     overlaps = rows.mapInArrow(
         check, "key long, doc_id long, item_id long, first_word long, n_words long, n_equal long"

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from opinara.llm import decontaminate
@@ -65,3 +66,38 @@ def test_common_passage_in_very_many_documents(spark, frame):
     docs = frame([(i, f"{prose(i, 6)} {passage} {prose(-i, 6)}") for i in range(1, 200)])
     found = decontaminate.find_overlaps(docs, items(spark, [(5, passage, "x")])).collect()
     assert [r["n_equal"] for r in found] == [25] * 199
+
+
+def test_exact_passage_after_an_edited_one(spark, frame):
+    bench, docs = {}, []
+    for i in range(60):
+        r, words = random.Random(i), prose(f"long{i}", 140).split()
+        bench[i] = " ".join(words)
+        edited = [f"sub{k}" if k < 100 and r.random() < 0.3 else w for k, w in enumerate(words)]
+        docs.append((i, " ".join([prose(i, 30), *edited])))
+    found = decontaminate.find_overlaps(frame(docs), items(spark, [(i, t, "x") for i, t in bench.items()])).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i) for i in range(60)}
+    assert all(r["n_equal"] >= 40 and r["n_equal"] >= 0.8 * r["n_words"] for r in found)
+
+
+def test_any_word_of_a_short_item_replaced(spark, frame):
+    bench = {n: prose(f"short{n}", n) for n in (11, 12, 15, 20)}
+    docs, want = [], set()
+    for n, text in bench.items():
+        for i in range(n):
+            for k in {i, (i * 7 + 3) % n} if n == 12 else {i}:
+                words = text.split()
+                words[i], words[k] = "sub", "sub"
+                docs.append((len(docs), f"{prose(len(docs), 5)} {' '.join(words)} {prose(-len(docs), 5)}"))
+                want.add((len(docs) - 1, n))
+    found = decontaminate.find_overlaps(frame(docs), items(spark, [(n, t, "x") for n, t in bench.items()])).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want
+
+
+def test_light_masks_leave_no_stretch_out():
+    masks = [(len(m), int(m[::-1], 2)) for m in decontaminate.LIGHT]
+    for n in range(10, 24):
+        for k in range(min(n // 5, n - decontaminate.MIN_WORDS) + 1):
+            for other in itertools.combinations(range(n), k):
+                equal = (1 << n) - 1 - sum(1 << x for x in other)
+                assert any(equal >> s & m == m for size, m in masks for s in range(n - size + 1)), (n, other)
