@@ -1,10 +1,15 @@
-"""Removal of passages that repeat, by hashes of normalised units.
+"""Removal of passages that repeat, by hashes of normalised units and of windows of words.
 
 A text is cut into units: lines, and within a line sentences, which end at a word ending in `.`, `!`
 or `?`. A unit is normalised to its words (A-Z lowered, white space between them ignored) and hashed
 to 128 bits. Digests are grouped over all texts; of each digest the occurrence with the smallest
-(doc_id, row key, unit number) stays. Of the others, runs of neighbouring units with at least
-`min_words` words are taken out: a repeated paragraph goes, a greeting or a licence line stays.
+(doc_id, row key, place) stays. Since a passage need not begin or end with a unit, windows of `min_words`
+consecutive words are grouped the same way. Stretches of neighbouring later units and windows with at
+least `min_words` words are taken out: a repeated paragraph goes, wherever it begins, a greeting or a
+licence line stays.
+
+Windows are counted only where they may repeat: the smallest hash among a window's runs of half as many
+words is the same in each copy of the window, and these minima are counted first.
 
 Defined results: a missing or empty text has no units and stays as it is; a missing id ranks first;
 rows that repeat both id and text are the same document and lose the same spans; other columns pass
@@ -22,11 +27,13 @@ from pyspark.sql import functions as F
 
 from opinara.llm import bloom
 from opinara.llm.common import as_list_array, byte_chunks, row_key, text_bytes
-from opinara.llm.tokens import Words, segment_hash, words
+from opinara.llm.tokens import Words, mix, powers, segment_hash, words
 from opinara.runtime import cut_lineage
 
 MIN_WORDS = 30
 SECOND = np.uint64(0xA0761D6478BD642F)
+WINDOW, RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x8EBC6AF09C88C6E3)
+FILTER_BITS = (25, 26)
 ENDINGS = np.zeros(256, bool)
 ENDINGS[[ord(c) for c in ".!?"]] = True
 
@@ -44,16 +51,84 @@ def unit_sizes(run: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(stops, prepend=0), np.searchsorted(stops, run.offsets, side="right")
 
 
-def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, texts in byte_chunks(batch.column(0)):
-            run = words(texts)
-            found = segment_hash(run.hashes, unit_sizes(run)[0])
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h1"])
+def rolled(values: np.ndarray, n: int, step: np.uint64) -> np.ndarray:
+    """Hash of every n consecutive values, from sums weighted by powers of an odd number."""
+    size = len(values) - n + 1
+    if size <= 0:
+        return np.zeros(0, np.uint64)
+    sums = np.append(np.uint64(0), np.cumsum(values * powers(step, len(values))))
+    return mix((sums[n:] - sums[:-n]) * powers(np.uint64(pow(int(step), -1, 1 << 64)), size))
+
+
+def sliding(best: np.ufunc, values: np.ndarray, n: int) -> np.ndarray:
+    """The smallest (np.minimum) or largest of every n consecutive values."""
+    width = 1
+    while 2 * width <= n:
+        values, width = best(values[:-width], values[width:]), 2 * width
+    rest = n - width
+    return best(values[: len(values) - rest], values[rest:])
+
+
+def window_minima(run: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words of the windows within one text, the smallest hash among each one's runs, and the hashes
+    of all runs that are the smallest of a window."""
+    none = np.zeros(0, np.uint64)
+    size = len(run.hashes) - min_words + 1
+    if size <= 0:
+        return np.zeros(0, np.int64), none, none
+    text = run.text_of_word()
+    inside = text[:size] == text[min_words - 1 :]
+    length = (min_words + 1) // 2
+    width = min_words - length + 1
+    runs = rolled(run.hashes, length, RUN)
+    least = sliding(np.minimum, runs, width)
+    edge = np.zeros(width - 1, np.uint64)
+    chosen = sliding(np.maximum, np.concatenate([edge, np.where(inside, least, np.uint64(0)), edge]), width)
+    first = np.flatnonzero(inside)
+    return first, least[first], runs[chosen == runs]
+
+
+def digests(min_words: int) -> object:
+    """For mapInArrow on texts: half digests of units, and of windows' smallest runs, at most two of each."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in byte_chunks(batch.column(0)):
+                run = words(texts)
+                found = [segment_hash(run.hashes, unit_sizes(run)[0]), window_minima(run, min_words)[2]]
+                found, times = np.unique(np.concatenate(found), return_counts=True)
+                found = np.repeat(found, np.minimum(times, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h1"])
+
+    return read
 
 
-def shared_units(docs: DataFrame, allowed) -> DataFrame:
-    """(h1, h2, key, doc_id, units): per text and digest that may occur elsewhere too, its places."""
+def window_digests(allowed, min_words: int) -> object:
+    """For mapInArrow on texts: half digests of the windows whose smallest runs repeat, at most two of each."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in byte_chunks(batch.column(0)):
+                run = words(texts)
+                begin, least, _ = window_minima(run, min_words)
+                begin = begin[bloom.possible(allowed.value, least)]
+                found, times = np.unique(rolled(run.hashes, min_words, WINDOW)[begin], return_counts=True)
+                found = np.repeat(found, np.minimum(times, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h1"])
+
+    return read
+
+
+def repeating(spark, counted: DataFrame) -> object:
+    """Broadcast filter of the half digests (h1) that occur twice or more."""
+    twice = cut_lineage(counted.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"))
+    low, high = FILTER_BITS
+    return spark.sparkContext.broadcast(bloom.build(twice, "h1", min(high, max(low, (16 * twice.count()).bit_length()))))
+
+
+def shared_units(docs: DataFrame, allowed, wide, min_words: int) -> DataFrame:
+    """(h1, h2, key, doc_id, places): per text and digest that may occur elsewhere too, its places: twice the
+    number of a unit, or twice the number of a window's first word and one."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,10 +138,17 @@ def shared_units(docs: DataFrame, allowed) -> DataFrame:
                 sizes, units = unit_sizes(run)
                 h1, h2 = segment_hash(run.hashes, sizes), segment_hash(run.hashes, sizes, SECOND)
                 found = bloom.possible(allowed.value, h1)
+                w1, text = rolled(run.hashes, min_words, WINDOW), run.text_of_word()
+                begin = bloom.possible(wide.value, w1)
+                begin = begin[text[begin] == text[begin + min_words - 1]]
                 row = np.repeat(np.arange(len(texts)), np.diff(units))[found]
-                order = np.lexsort((h2[found], h1[found], row))
-                found, row = found[order], row[order]
-                h1, h2 = h1[found], h2[found]
+                at = text[begin]
+                places = np.append(2 * (found - units[row]), 2 * (begin - run.offsets[at]) + 1)
+                row = np.append(row, at)
+                h1 = np.append(h1[found], w1[begin])
+                h2 = np.append(h2[found], rolled(run.hashes, min_words, SECOND)[begin])
+                order = np.lexsort((h2, h1, row))
+                places, row, h1, h2 = (x[order] for x in (places, row, h1, h2))
                 new = np.flatnonzero(
                     (np.diff(row, prepend=-1) != 0) | (h1 != np.roll(h1, 1)) | (h2 != np.roll(h2, 1))
                 )
@@ -76,33 +158,34 @@ def shared_units(docs: DataFrame, allowed) -> DataFrame:
                         pa.array(h2[new].view(np.int64)),
                         pa.array(keys[first + row[new]].astype(np.int64)),
                         ids.take(pa.array(first + row[new])),
-                        as_list_array(found - units[row], np.append(new, len(found)), pa.int32()),
+                        as_list_array(places, np.append(new, len(places)), pa.int32()),
                     ],
-                    names=["h1", "h2", "key", "doc_id", "units"],
+                    names=["h1", "h2", "key", "doc_id", "places"],
                 )
 
     columns = [row_key().alias("key"), F.col("doc_id").cast("long"), text_bytes().alias("t")]
     return docs.select(*columns).mapInArrow(
-        read, "h1 long, h2 long, key long, doc_id long, units array<int>"
+        read, "h1 long, h2 long, key long, doc_id long, places array<int>"
     )
 
 
-def later_units(docs: DataFrame) -> DataFrame:
-    """(key, later): the units of each text that are not the first of their digest.
+def later_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(key, later): the units and windows of each text that are not the first of their digest.
 
-    A first pass counts half digests alone. What occurs twice goes into a Bloom filter of fixed size,
-    so that the second pass shuffles little more than the repeated units.
+    Half digests alone are counted first. What occurs twice goes into Bloom filters of bounded size, so that
+    the last pass shuffles little more than what repeats.
     """
-    counted = docs.select(text_bytes().alias("t")).mapInArrow(digests, "h1 long")
-    twice = cut_lineage(counted.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"))
-    allowed = docs.sparkSession.sparkContext.broadcast(bloom.build(twice, "h1"))
-    units = cut_lineage(shared_units(docs, allowed))
+    spark, texts = docs.sparkSession, docs.select(text_bytes().alias("t"))
+    allowed = repeating(spark, texts.mapInArrow(digests(min_words), "h1 long"))
+    wide = repeating(spark, texts.mapInArrow(window_digests(allowed, min_words), "h1 long"))
+    units = cut_lineage(shared_units(docs, allowed, wide, min_words))
     place = F.struct("doc_id", "key")
     # written, so that a digest of very many texts can be split when it is joined
-    first = cut_lineage(units.groupBy("h1", "h2").agg(F.min(place).alias("first")))
-    rest = F.when(place.eqNullSafe(F.col("first")), F.slice("units", 2, F.size("units"))).otherwise(F.col("units"))
-    later = units.join(first.hint("merge"), ["h1", "h2"]).select("key", rest.alias("units")).where(F.size("units") > 0)
-    return later.groupBy("key").agg(F.flatten(F.collect_list("units")).alias("later"))
+    first = units.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.sum(F.size("places")).alias("n"))
+    first = cut_lineage(first.where("n > 1").drop("n"))
+    rest = F.when(place.eqNullSafe(F.col("first")), F.slice("places", 2, F.size("places"))).otherwise(F.col("places"))
+    later = units.join(first.hint("merge"), ["h1", "h2"]).select("key", rest.alias("places")).where(F.size("places") > 0)
+    return later.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("later"))
 
 
 def cut(texts: list[bytes], later: list[np.ndarray], min_words: int):
@@ -115,12 +198,15 @@ def cut(texts: list[bytes], later: list[np.ndarray], min_words: int):
         if here is None or not len(here):
             yield text, []
             continue
-        here = np.unique(here) + units[i]
-        breaks = np.flatnonzero(np.diff(here) > 1)
-        runs = zip(here[np.append(0, breaks + 1)], here[np.append(breaks, len(here) - 1)], strict=True)
+        unit, window = here[here % 2 == 0] // 2 + units[i], here[here % 2 == 1] // 2 + run.offsets[i]
+        # words begun and ended, by stretches of units and windows
+        begun = np.append(word_end[unit] - sizes[unit], window)
+        order = np.argsort(begun, kind="stable")
+        begun, ended = begun[order], np.maximum.accumulate(np.append(word_end[unit], window + min_words)[order])
+        breaks = np.flatnonzero(begun[1:] > ended[:-1])
+        runs = zip(begun[np.append(0, breaks + 1)], ended[np.append(breaks, len(ended) - 1)], strict=True)
         kept, spans, at, chars = [], [], 0, 0
-        for a, b in runs:
-            w0, w1 = word_end[a] - sizes[a], word_end[b]
+        for w0, w1 in runs:
             if w1 - w0 < min_words:
                 continue
             start, end = run.starts[w0] - run.begins[i], run.ends[w1 - 1] - run.begins[i]
@@ -160,7 +246,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     names=["row", "kept", "starts", "ends"],
                 )
 
-    lists = later_units(docs)
+    lists = later_units(docs, min_words)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text_kept", "removed")])
     joined = (
         docs.select(row_key().alias("key"), row.alias("row"), text_bytes().alias("t"))

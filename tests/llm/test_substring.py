@@ -1,3 +1,4 @@
+import random
 import re
 
 from opinara.llm import substring
@@ -77,3 +78,38 @@ def test_stage(frame):
     rows = {r["doc_id"]: r for r in out.collect()}
     assert set(rows) == {1, 3, 4, 5}
     assert rows[1]["n_chars"] == len(long) and rows[4]["text"] is None
+
+
+def test_passages_without_unit_ends(frame):
+    """Every stretch of 30 words that occurs in an earlier text goes, no other word does."""
+    r = random.Random(5)
+    rows = []
+    for i in range(60):
+        words = prose(f"own{i}", 60).split()
+        for k in range(i % 3):
+            passage, a = prose(f"shared{r.randrange(2)}", 90).split(), r.randrange(30)
+            at = r.randrange(len(words))
+            words[at:at] = passage[a : a + r.choice([25, 29, 30, 31, 51, 60])]
+        rows.append((i, " ".join(words)))
+    rows.append((70, "same " * 70))
+    seen, want = set(), {}
+    for i, text in rows:
+        words = text.split()
+        gone = set()
+        for a in range(len(words) - 29):
+            window = tuple(words[a : a + 30])
+            if window in seen:
+                gone.update(range(a, a + 30))
+            seen.add(window)
+        want[i] = [w for k, w in enumerate(words) if k not in gone]
+    assert sum(len(want[i]) < len(t.split()) for i, t in rows) > 10
+    found = {x["doc_id"]: x["text_kept"].split() for x in substring.remove_repeats(frame(rows)).collect()}
+    assert found == want
+
+
+def test_sentences_with_their_surroundings(frame):
+    two = f"{prose('s1', 27)}. {prose('s2', 27)}"
+    rows = [(1, f"{prose(1, 9)} {two} {prose(2, 9)}."), (2, f"{prose(3, 9)}\n{prose(4, 3)} {two} {prose(5, 9)}.")]
+    found = {x["doc_id"]: x for x in substring.remove_repeats(frame(rows)).collect()}
+    assert found[1]["removed"] == [] and two not in found[2]["text_kept"]
+    assert found[2]["text_kept"].split() == rows[1][1].replace(two, "").split()
