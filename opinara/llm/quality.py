@@ -2,11 +2,12 @@
 
 Every document that passes the fixed limits gives a vector of transformed statistics: log of the mean
 word length, and square roots of the shares of symbols, repeated lines and repeated words. For each
-(language, source) the minimum covariance determinant gives a centre and a scatter that a quarter of bad
-documents cannot move: starting from two robust guesses (medians with absolute deviations, and the
-covariance of values wrapped at twice these), the `KEEP` nearest part of the rows is taken, its mean and
-covariance computed, distances taken anew, and so on; the guess that ends with the smaller determinant
-holds. Documents beyond a limit of the Mahalanobis distance are rejected.
+(language, source) the minimum covariance determinant gives a centre and a scatter that bad documents
+move least, being up to nearly half of them: starting from two robust guesses (medians with absolute
+deviations, and the covariance of values wrapped at twice these), the nearest (n + p + 1) / 2 of n rows
+with p statistics are taken, their mean and covariance computed, distances taken anew, and so on until the
+determinant falls no more; the smallest determinant holds. Mean and covariance are then taken once more
+over all rows within the `INNER` distance. Documents beyond a limit of the Mahalanobis distance are rejected.
 
 Everything is DataFrame expressions. Statistics are whole thousandths, so that sums are exact and results
 do not depend on the order of rows; a rank within a cell is found from counts of rounded values, never by
@@ -21,7 +22,7 @@ rows count as often as they occur; extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opinara.runtime import cut_lineage
@@ -31,12 +32,12 @@ SYMBOL = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent
 MIN_ROWS = 50
-KEEP = 0.75
-STEPS = 4
 STATISTICS = ("x1", "x2", "x3", "x4")
 FLOOR = (50.0, 100.0, 150.0, 150.0)  # thousandths, standard deviations added to the scatter
 CHI_MEDIAN = 3.3567  # of squared distance in four dimensions
+INNER = 11.14  # of squared distance: what chi-square with four degrees passes 25 times in a thousand
 LIMIT = 18.47  # of squared distance: what chi-square with four degrees passes once in a thousand
+SETTLED = 1e-6  # a logarithm of the determinant that falls by less falls no more
 SCALE = 200  # bins of a distance's logarithm
 P = range(len(STATISTICS))
 
@@ -174,16 +175,45 @@ def distance() -> Column:
 
 
 def nearest(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """One step: the scatter of the KEEP nearest part of each cell's rows under each start."""
+    """One step: the scatter of the nearest half of each cell's rows under each start."""
     seen = rows.join(estimate, "cell").withColumn("bin", rounded(distance()))
-    reach = cut_lineage(seen.groupBy("cell", "start").agg(F.percentile("bin", F.lit(KEEP)).alias("reach")))
+    # ranks over the bins, of which a cell has some thousands
+    start = Window.partitionBy("cell", "start")
+    bins = seen.groupBy("cell", "start", "bin").agg(F.count("*").alias("n"))
+    ranked = bins.select("cell", "start", "bin", F.sum("n").over(start).alias("all"), F.sum("n").over(start.orderBy("bin")).alias("upto"))
+    half = F.least(F.floor((F.col("all") + len(P) + 1) / 2), F.col("all"))
+    reach = cut_lineage(ranked.where(F.col("upto") >= half).groupBy("cell", "start").agg(F.min("bin").alias("reach")))
     inner = seen.join(reach, ["cell", "start"]).where(F.col("bin") <= F.col("reach"))
     return cut_lineage(whitened(scatter(inner, [F.col(f"y{i}") for i in P])))
 
 
+def smallest(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """Per cell the estimate with the smallest determinant that steps from the given ones come to."""
+    found = estimate = nearest(rows, estimate)
+    while not estimate.isEmpty():
+        before = estimate.select("cell", "start", F.col("log_det").alias("before"))
+        after = nearest(rows, estimate).join(before, ["cell", "start"]).where(F.col("log_det") < F.col("before") - SETTLED)
+        estimate = cut_lineage(after.drop("before"))
+        found = found.unionByName(estimate)
+    entries = [c for c in found.columns if c not in ("cell", "log_det")]
+    best = found.groupBy("cell").agg(F.min(F.struct("log_det", *entries)).alias("b")).select("cell", "b.*")
+    return cut_lineage(best)
+
+
+def with_factor(rows: DataFrame, estimate: DataFrame) -> DataFrame:
+    """The estimate with the factor that makes the rows' median distance that of a normal sample."""
+    middle = (
+        rows.join(estimate, "cell")
+        .groupBy("cell")
+        .agg(F.percentile(rounded(distance()), F.lit(0.5)).alias("middle"))
+    )
+    factor = CHI_MEDIAN / F.greatest(F.expm1((F.col("middle") + 0.5) / SCALE), F.lit(1e-3))
+    joined = estimate.join(middle, "cell").withColumn("factor", F.least(factor, F.lit(1.0)))
+    return cut_lineage(joined.drop("log_det", "start", "middle"))
+
+
 def estimates(rows: DataFrame) -> DataFrame:
-    """Per cell: med0.. (whole numbers taken off the statistics), m, w and the factor that makes the median
-    distance that of a normal sample."""
+    """Per cell: med0.. (whole numbers taken off the statistics), m, w and the factor of squared distances."""
     medians = cut_lineage(
         rows.groupBy("cell").agg(
             *[F.round(F.percentile(x, F.lit(0.5))).cast("long").alias(f"med{i}") for i, x in enumerate(STATISTICS)]
@@ -207,24 +237,12 @@ def estimates(rows: DataFrame) -> DataFrame:
         F.greatest(F.least(F.col(f"y{i}"), F.ceil(2 * F.col(f"d{i}"))), -F.ceil(2 * F.col(f"d{i}"))) for i in P
     ]
     other = scatter(centred.join(spreads, "cell").withColumn("start", F.lit(1)), wrapped)
-    estimate = cut_lineage(whitened(plain.unionByName(other)))
-    for _ in range(STEPS):
-        estimate = nearest(centred, estimate)
-    entries = [c for c in estimate.columns if c not in ("cell", "log_det")]
-    best = estimate.groupBy("cell").agg(F.min(F.struct("log_det", *entries)).alias("b")).select("cell", "b.*")
-    best = cut_lineage(best)
-    middle = (
-        centred.join(best, "cell")
-        .groupBy("cell")
-        .agg(F.percentile(rounded(distance()), F.lit(0.5)).alias("middle"))
-    )
-    factor = CHI_MEDIAN / F.greatest(F.expm1((F.col("middle") + 0.5) / SCALE), F.lit(1e-3))
-    return cut_lineage(
-        best.join(middle, "cell")
-        .join(medians, "cell")
-        .withColumn("factor", F.least(factor, F.lit(1.0)))
-        .drop("log_det", "start", "middle")
-    )
+    raw = with_factor(centred, smallest(centred, cut_lineage(whitened(plain.unionByName(other)))))
+    ys = [F.col(f"y{i}") for i in P]
+    inner = centred.join(raw, "cell").where(distance() * F.col("factor") <= INNER)
+    inner = cut_lineage(inner.select("cell", F.lit(0).alias("start"), *ys))
+    final = cut_lineage(whitened(scatter(inner, ys)))
+    return cut_lineage(with_factor(inner.drop("start"), final).join(medians, "cell"))
 
 
 def judge(docs: DataFrame, limit: float = LIMIT) -> DataFrame:

@@ -63,3 +63,11 @@ def test_odd_rows_and_empty(frame):
 def test_no_python_in_the_plan(frame, plan):
     text = plan(quality.judge(frame([(i, clean(i)) for i in range(60)])))
     assert not re.search("Python|Pandas|Arrow", text)
+
+
+def test_two_fifths_of_equal_junk(frame):
+    rows = [(i, clean(i), "en", "a") for i in range(120)]
+    junk = "\n".join(" ".join(f"{w[:4]}###" for w in line.split()) for line in clean("junk").split("\n"))
+    found = {x["doc_id"]: x for x in quality.judge(frame(rows + [(1000 + i, junk, "en", "a") for i in range(80)])).collect()}
+    assert all(found[i]["kept"] for i, *_ in rows)
+    assert not any(found[1000 + i]["kept"] or found[1000 + i]["base_failed"] for i in range(80))
