@@ -7,7 +7,7 @@ repeated attempts are in no list and never read.
 
 Reading: a file's byte ranges are shared out among tasks. A task looks for the gzip magic in its range,
 and takes a place for the start of a record if what it unpacks begins with a WARC version and a header
-block that ends. It owns the records that start in its range and reads the last one beyond it. Places
+block that ends, however long. It owns the records that start in its range and reads the last one beyond it. Places
 inside a member that look like a start are passed over, since a member once read tells where the next
 begins; one that a range begins with would have to unpack to a WARC header.
 
@@ -39,7 +39,6 @@ from opinara.runtime import cut_lineage, scratch_dir
 MAGIC = b"\x1f\x8b\x08"
 SPLIT_BYTES = 32 << 20
 READ_BYTES = 1 << 20
-HEADER_LIMIT = 64 << 10
 FILE_BYTES = 256 << 20
 URN = "urn:page:"
 
@@ -166,8 +165,6 @@ def unpack(source: Source, place: int) -> tuple[bytes, int] | None:
             return None
         if len(out) >= 5 and not out.startswith(b"WARC/"):
             return None
-        if len(out) > HEADER_LIMIT and b"\r\n\r\n" not in out[:HEADER_LIMIT]:
-            return None
         at += len(data)
         if unzip.eof:
             return (bytes(out), at - len(unzip.unused_data)) if out.startswith(b"WARC/") and b"\r\n\r\n" in out else None
@@ -274,7 +271,19 @@ def read_archives(
     return dealt.mapInArrow(read, ", ".join(f"{k} {v}" for k, v in columns.items()))
 
 
+def all_read(records: DataFrame, files: DataFrame) -> DataFrame:
+    """The records, after a check that each file (path, records) gave as many as were written to it."""
+    records = cut_lineage(records)
+    counts = records.groupBy("path").agg(F.count("*").alias("read"))
+    both = files.join(counts, "path", "left").select("path", "records", F.coalesce("read", F.lit(0)).alias("read"))
+    wrong = both.where("records <> read").take(5)
+    if wrong:
+        raise ValueError(f"records written and read differ: {[tuple(r) for r in wrong]}")
+    return records
+
+
 def round_trip(pages: DataFrame, date: datetime, min_bytes: int = 0) -> DataFrame:
     """Write the pages to a new shared folder and read the records back, without payloads."""
     spark: SparkSession = pages.sparkSession
-    return read_archives(write_archives(pages, scratch_dir(spark, "warc"), date, min_bytes), with_payload=False)
+    files = write_archives(pages, scratch_dir(spark, "warc"), date, min_bytes)
+    return all_read(read_archives(files, with_payload=False), files)

@@ -3,6 +3,7 @@ import gzip
 import hashlib
 from datetime import datetime
 
+import pytest
 
 from opinara.llm import warc
 
@@ -75,3 +76,23 @@ def test_empty(spark, tmp_path):
     files = warc.write_archives(pages(spark).limit(0), str(tmp_path / "w"), DATE)
     assert warc.read_archives(files).count() == 0
     assert warc.round_trip(pages(spark, [(1, None, None, None)]), DATE).first()["payload_bytes"] == 0
+
+
+def test_url_of_any_length(spark, tmp_path):
+    rows = [(1, "data:text/html," + "é" * 20_000, "<p>hi</p>", "x"), (2, "http://b", "<p>hi</p>", "x"), (3, "u" * 3_000_000, "c", "x")]
+    files = warc.write_archives(pages(spark, rows), str(tmp_path / "w"), DATE)
+    for split in (5_000, 1 << 25):
+        found = {r["page_id"]: r for r in warc.read_archives(files, split_bytes=split).collect()}
+        assert set(found) == {1, 2, 3} and found[2]["refers_to"] == 1
+        assert len(found[1]["url"]) == 15 + 6 * 20_000 and found[3]["url"] == "u" * 3_000_000
+    assert warc.round_trip(pages(spark, rows), DATE).count() == 3
+
+
+def test_records_that_are_not_read_back_are_an_error(spark, tmp_path):
+    files = warc.write_archives(pages(spark), str(tmp_path / "w"), DATE)
+    assert warc.all_read(warc.read_archives(files), files).count() == len(ROWS)
+    for f in files.collect():
+        with open(f["path"], "rb+") as file:
+            file.truncate(20)
+    with pytest.raises(ValueError, match="written and read"):
+        warc.all_read(warc.read_archives(files), files)
