@@ -9,7 +9,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opinara.llm import chat, decontaminate, language, lm, mixing, near_dup, quality, substring, toxicity, warc
+from opinara.llm import (
+    chat, decontaminate, language, lm, mixing, near_dup, quality, resample, substring, toxicity, warc,
+)
 from opinara.llm.common import remainder, table
 from opinara.operators.scoring import ship_package
 
@@ -135,6 +137,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its weight towards the benchmark's texts, and its rank if it is drawn."""
+    drawn = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -183,6 +192,37 @@ select conv_id, count(*) as n_turns,
 from l group by conv_id
 """
 
+# crc(w, c): CRC-32 of the UTF-8 bytes of every value of todo(w), byte by byte
+_CRC = """
+bits as (select i::bigint as i, 0 as k, i::bigint as v from range(256) r(i)
+  union all select i, k + 1, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end from bits where k < 8),
+tab as materialized (select i, v from bits where k = 8),
+steps as (select w, hex(encode(w)) as h, 0 as k, 4294967295::bigint as c from todo
+  union all
+  select w, h, k + 1, xor(c >> 8, v) from steps join tab
+    on i = xor(c, ('0x' || substr(h, 2 * k + 1, 2))::bigint) & 255 where 2 * k < length(h)),
+crc as materialized (select w, xor(c, 4294967295) as c from steps where 2 * k = length(h))"""
+
+ORACLES["op12_importance_resampling"] = rf"""
+with recursive f as materialized (
+  select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w, kind
+  from (select doc_id, text, 's' as kind from documents union all select null, text, 't' from benchmark)),
+u as materialized (select r, kind, unnest(w) as w from f),
+todo as materialized (select distinct w from u), {_CRC},
+b as materialized (select r, kind, c % 10000 as bucket from u join crc using (w)),
+n as (select bucket, count(*) filter (kind = 's') as s, count(*) filter (kind = 't') as t from b group by bucket),
+z as (select coalesce(sum(s), 0)::double + 10000 as s, coalesce(sum(t), 0)::double + 10000 as t from n),
+g as (select bucket, floor(1000 * ln((n.t + 1)::double * z.s / ((n.s + 1)::double * z.t)))::bigint as gain from n, z),
+x as (select r, sum(gain)::bigint as weight from b join g using (bucket) where kind = 's' group by r),
+y as (select doc_id, len(w)::bigint as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0) + floor(-1000 * ln(-ln(
+    (('0x' || substr(sha256('2024:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296.0::double)))::bigint as score
+  from f left join x using (r) where kind = 's'),
+o as (select *, row_number() over (order by score desc, doc_id nulls last, n_features) as place from y where n_features >= 20)
+select doc_id, n_features, weight, score, case when place <= (select count(*) from o) * 10 // 100 then place end as rank from o
+union all select doc_id, n_features, weight, score, null from y where n_features < 20
+"""
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
