@@ -6,11 +6,13 @@ from collections.abc import Callable
 from datetime import datetime
 
 import corpus_pipeline
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.llm import (
-    chat, decontaminate, language, lm, mixing, near_dup, quality, resample, substring, toxicity, warc,
+    chat, decontaminate, language, lm, mixing, near_dup, quality, resample, substring, token_files,
+    toxicity, warc,
 )
 from opinara.llm.common import remainder, table
 from opinara.operators.scoring import ship_package
@@ -137,6 +139,13 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document what the files of token ids hold of it."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.token_round_trip(table(spark, sf_dir, "documents"), path, end_id=1)
+
+
 @query
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its weight towards the benchmark's texts, and its rank if it is drawn."""
