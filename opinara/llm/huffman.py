@@ -12,7 +12,7 @@ import numpy as np
 
 MAX_BITS = 16
 # ids a block; the bit at which a block begins is kept
-BLOCK = 512
+BLOCK = 256
 
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:

@@ -5,7 +5,7 @@ file. Documents are sorted by id in ranges; each range is written as one file or
 (part, number), hold all documents in ascending order.
 
 A file: `HUFIDS01`; the codes of all its ids, packed; a footer of the code lengths of ids 0, 1, 2... (one byte
-each), the bit at which each block of 512 ids begins (8 bytes each), and of every document its id (8 bytes),
+each), the bit at which each block of 256 ids begins (8 bytes each), and of every document its id (8 bytes),
 whether it has one (1 byte) and its number of ids (8 bytes); the numbers of ids, blocks, documents and code
 lengths and the place of the footer (8 bytes each). All numbers are little-endian. A reader looks up the blocks
 it needs by their bits and decodes them side by side, so one file is read by many tasks.
@@ -17,10 +17,12 @@ and gives no rows. Texts and files of any length are worked through in slices.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate, pairwise
 
@@ -30,62 +32,78 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from opinara.llm.common import collect_arrays, text_bytes
+from opinara.llm.common import byte_chunks, collect_arrays, text_bytes
 from opinara.llm.huffman import BLOCK, Decoder, Encoder, code_lengths
 from opinara.llm.warc import opened
 from opinara.runtime import cut_lineage, scratch_dir
 
 MAGIC = b"HUFIDS01"
 TAIL = struct.Struct("<5q")
-RUN = BLOCK * 512  # ids that are packed or decoded at a time
+RUN = BLOCK * 4096  # ids that are packed or decoded at a time
 FILE_IDS = 64 << 20  # a file is closed at the end of the document that reaches this
 READ_IDS = 4 << 20  # ids that one reading task is meant to have
-CACHE_WORDS = 500_000
+CACHE_WORDS = 600_000  # words of a generation of the cache
 TEXT_SLICE = 1 << 20
 
 _BREAK = re.compile(rb"[ \t\n\r\x0b\x0c]")
-# Letters that the tokenizer keeps together, and signs that it never joins to a letter before them.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]+)?")
+# A word of letters that the tokenizer keeps together, and signs that it never joins to a letter before them.
+_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:-@\\[-`{-~]*)")
+# The tokenizer's model sees the bytes of a text as characters: printable ones as themselves, the others as those
+# from 256 on, in order.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_AS_CHARACTER = {b: b for b in _PRINTED} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 
-_TOKENIZERS: dict[tuple[int, str], WordIds] = {}
+_TOKENIZERS: dict[tuple[int, type], WordIds] = {}
 
 
 class WordIds:
     """Ids of texts by a tokenizer that drops white space, so that its words can be encoded apart.
 
-    Words keep their ids in a cache that is emptied when it is full.
+    Words keep their ids in a cache of two generations: when the younger is full it becomes the older, and words
+    of the older that are met again move back. A plain word, which normalising and splitting only lower and part
+    from its signs, goes to the tokenizer's model as it is; every other one to the tokenizer.
     """
 
-    def __init__(self, definition: str, kind: str = "<u4"):
-        import os
-
+    def __init__(self, definition: str, code: str = "I"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.kind = kind
+        self.model = self.tokenizer.model
+        self.code = code
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
+    def _letters(self, part: str) -> bytes:
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(_AS_CHARACTER)
+        return array(self.code, [t.id for t in self.model.tokenize(part)]).tobytes()
+
+    def _whole(self, part: str) -> bytes:
+        return array(self.code, self.tokenizer.encode_batch_fast([part], add_special_tokens=False)[0].ids).tobytes()
 
-    def _learn(self, words: set[bytes]) -> None:
-        split = []
-        for word in words:
+    def _learned(self, word: bytes) -> bytes:
+        """Ids of a word that the younger generation lacks."""
+        ids = self.older.get(word)
+        if ids is None:
             text = word.decode()
-            simple = _SIMPLE.fullmatch(text)
-            if simple is None:
-                split.append((text,))
+            split = _SIMPLE.fullmatch(text)
+            if split is None:
+                ids = self._whole(text)
             else:
-                head, tail = simple.groups()
-                head = head if "İ" in head else head.lower()
-                split.append((head, tail) if tail else (head,))
-        new = list({p for ps in split for p in ps if p not in self.parts})
-        self.parts.update(zip(new, self._encode(new), strict=True))
-        for word, ps in zip(words, split, strict=True):
-            self.words[word] = b"".join([self.parts[p] for p in ps])
+                head, tail = split.groups()
+                head = head.lower()
+                ids = self.parts.get(head)
+                if ids is None:
+                    ids = self.parts[head] = self._letters(head)
+                if tail:
+                    more = self.parts.get(tail)
+                    if more is None:
+                        more = self.parts[tail] = self._whole(tail)
+                    ids += more
+        self.words[word] = ids
+        return ids
 
     def __call__(self, text: bytes) -> bytes:
         out, at = [], 0
@@ -94,20 +112,25 @@ class WordIds:
             if end - at > TEXT_SLICE:
                 space = _BREAK.search(text, at + TEXT_SLICE)
                 end = space.start() if space else end
-            words = text[at:end].split()
             if len(self.words) >= CACHE_WORDS:
-                self.words, self.parts = {}, {}
-            self._learn(set(words).difference(self.words))
-            out.append(b"".join(map(self.words.__getitem__, words)))
+                self.words, self.older, self.parts = {}, self.words, {}
+            words = text[at:end].split()
+            ids = list(map(self.words.get, words))
+            if None in ids:
+                known = self.words
+                for i, found in enumerate(ids):
+                    if found is None:
+                        ids[i] = known.get(words[i]) or self._learned(words[i])
+            out.append(b"".join(ids))
             at = end
         return b"".join(out)
 
 
-def id_kind(size: int) -> str:
-    return "<u2" if size <= 1 << 16 else "<u4"
+def id_kind(size: int) -> type[np.unsignedinteger]:
+    return np.uint16 if size <= 1 << 16 else np.uint32
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int) -> tuple[DataFrame, str]:
+def tokenize(docs: DataFrame, path: str, end_id: int) -> tuple[DataFrame, type]:
     """(doc_id, n, ids) of every document, its ids with the end id behind them as bytes, and the kind of
     number that they are. The tokenizer's definition is handed to the tasks from the driver."""
     from tokenizers import Tokenizer
@@ -116,12 +139,13 @@ def tokenize(docs: DataFrame, path: str, end_id: int) -> tuple[DataFrame, str]:
         text = file.read()
     kind = id_kind(max(Tokenizer.from_str(text).get_vocab_size(), end_id + 1))
     definition = docs.sparkSession.sparkContext.broadcast(text)
+    code = np.dtype(kind).char
     end, key = np.array([end_id], kind).tobytes(), (zlib.crc32(text.encode()), kind)
     width = len(end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if key not in _TOKENIZERS:
-            _TOKENIZERS[key] = WordIds(definition.value, kind)
+            _TOKENIZERS[key] = WordIds(definition.value, code)
         ids_of = _TOKENIZERS[key]
         for batch in batches:
             ids = [ids_of(t.as_py()) + end for t in batch.column(1)]
@@ -132,14 +156,14 @@ def tokenize(docs: DataFrame, path: str, end_id: int) -> tuple[DataFrame, str]:
     return narrow.mapInArrow(run, "doc_id long, n long, ids binary"), kind
 
 
-def count_ids(tokens: DataFrame, kind: str) -> np.ndarray:
+def count_ids(tokens: DataFrame, kind: type) -> np.ndarray:
     """How often each id is used in all documents; one row an id reaches the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                n = np.bincount(np.frombuffer(value.as_buffer(), kind))
+            for _, values in byte_chunks(batch.column(0)):
+                n = np.bincount(np.frombuffer(b"".join(values), kind))
                 if len(n) > len(total):
                     total = np.pad(total, (0, len(n) - len(total)))
                 total[: len(n)] += n
@@ -155,7 +179,7 @@ def count_ids(tokens: DataFrame, kind: str) -> np.ndarray:
 class Writer:
     """One file; packs ids as soon as a run of blocks is full."""
 
-    def __init__(self, out, encoder: Encoder, kind: str):
+    def __init__(self, out, encoder: Encoder, kind: type):
         self.out, self.encoder, self.kind = out, encoder, kind
         self.bits: list[np.ndarray] = []
         self.docs: list[int | None] = []
@@ -231,7 +255,7 @@ class Reader:
             block = to
 
 
-def write_files(tokens: DataFrame, kind: str, folder: str, file_ids: int = FILE_IDS) -> DataFrame:
+def write_files(tokens: DataFrame, kind: type, folder: str, file_ids: int = FILE_IDS) -> DataFrame:
     """Write (doc_id, ids) below folder; (path, part, number, n_ids) of the files that count, in whose order
     by part and number the documents ascend."""
     lengths = code_lengths(count_ids(tokens, kind))

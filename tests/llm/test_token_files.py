@@ -60,7 +60,7 @@ def test_lengths_keep_the_bound():
     assert (huffman.code_lengths(np.array([1, 1, 1, 10, 100]), 3) * np.array([1, 1, 1, 10, 100])).sum() == 100 + 3 * 13
 
 
-@pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 5000])
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 5000])
 @pytest.mark.parametrize("ids", [1, 2, 300, 40_000])
 def test_blocks(n, ids):
     rng = np.random.default_rng(n + ids)
@@ -83,21 +83,21 @@ PIECES = st.one_of(st.text(LETTERS, max_size=8), st.sampled_from(["<|endoftext|>
 @settings(max_examples=1500, deadline=None)
 def test_words_apart_are_the_whole_text(library, word_ids, text):
     expected = library.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(word_ids(text.encode()), word_ids.kind).tolist() == expected
+    assert np.frombuffer(word_ids(text.encode()), "<u4").tolist() == expected
 
 
 @given(st.text(max_size=12))
 @settings(max_examples=1500, deadline=None)
 def test_any_text(library, word_ids, text):
     expected = library.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(word_ids(text.encode()), word_ids.kind).tolist() == expected
+    assert np.frombuffer(word_ids(text.encode()), "<u4").tolist() == expected
 
 
 def test_slices_and_full_cache(library, word_ids, monkeypatch):
     monkeypatch.setattr(token_files, "TEXT_SLICE", 40)
     monkeypatch.setattr(token_files, "CACHE_WORDS", 3)
-    text = prose(1, 300) + " " + "x" * 200 + "!"
-    assert np.frombuffer(word_ids(text.encode()), word_ids.kind).tolist() == library.encode(text, add_special_tokens=False).ids
+    text = prose(1, 300) + " " + "x" * 200 + "! " + prose(1, 50)
+    assert np.frombuffer(word_ids(text.encode()), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def expected_rows(library, rows):
