@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.llm import (
-    chat, decontaminate, language, lm, mixing, near_dup, quality, resample, substring, token_files,
-    toxicity, warc,
+    chat, decontaminate, language, lm, mixing, near_dup, prefix_trie, quality, resample, substring,
+    token_files, toxicity, warc,
 )
 from opinara.llm.common import remainder, table
 from opinara.operators.scoring import ship_package
@@ -153,6 +153,13 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per node of the trie of rebuilt conversations its smallest member and its counts."""
+    turns = table(spark, sf_dir, "conversations")
+    return prefix_trie.trie(prefix_trie.rebuilt(prefix_trie.sequences(turns)))
+
+
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"""
 
@@ -232,6 +239,28 @@ select doc_id, n_features, weight, score, case when place <= (select count(*) fr
 union all select doc_id, n_features, weight, score, null from y where n_features < 20
 """
 
+ORACLES["op13_prefix_trie"] = rf"""
+with recursive t as (select conv_id, turn, md5(length(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+    length(coalesce(text, '')) as chars from conversations where conv_id is not null),
+o as materialized (select conv_id, list(struct_pack(id := id, chars := chars) order by turn nulls first, id) as seq from t group by conv_id),
+todo as (select conv_id::varchar as w from o), {_CRC},
+c as materialized (select o.conv_id, coalesce(b.seq[1:c % 6], []) || o.seq[c % 6 + 1:] as seq
+  from o join crc on w = o.conv_id::varchar left join o b on b.conv_id = o.conv_id - o.conv_id % 100),
+p as (select conv_id, len(seq) as n, unnest(range(len(seq) + 1)) as depth, seq from c),
+q as materialized (select conv_id, n, depth, case when depth > 0 then seq[depth].chars else 0 end as chars,
+    md5(array_to_string(list_transform(seq[1:depth], lambda x: x.id), '')) as k,
+    case when depth > 0 then md5(array_to_string(list_transform(seq[1:depth - 1], lambda x: x.id), '')) end as up from p),
+m as materialized (select k, depth, any_value(up) as up, any_value(chars) as chars, min(conv_id) as conv_id, count(*) as n_convs,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (n = depth), '')) as ends_sha256 from q group by k, depth),
+kids as (select up, count(*) as n_children from m where up is not null group by up),
+above as (select k as node, k as top from m union all select node, m.up from above join m on m.k = top where m.up is not null),
+sums as (select top, count(*) filter (kids.up is null) as n_leaves, sum((n_convs - 1) * chars)::bigint as saved_tokens
+  from above join m on m.k = node left join kids on kids.up = node group by top)
+select m.conv_id, m.depth, u.conv_id as parent_conv_id, m.n_convs, coalesce(n_children, 0) as n_children, n_leaves, saved_tokens,
+  m.ends_sha256
+from m join sums on top = m.k left join m u on u.k = m.up left join kids on kids.up = m.k
+"""
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
