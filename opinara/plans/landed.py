@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from opinara import schemas
 from opinara.operators import scoring
 from opinara.plans import fixtures as fx
 from opinara.runtime import clear, scratch_dir
+from opinara.sources import landing
 from opinara.sources.state import StateTables
 from opinara.streaming.intake import landed_rows, run_stream, take_in
 
@@ -157,7 +159,7 @@ def wave_pages(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
 
 
 def taken_in(
-    spark: SparkSession, sf_dir: str, waves: list[dict[str, DataFrame]], times: list[datetime]
+    spark: SparkSession, sf_dir: str, waves: list[dict[str, DataFrame]], times: list[datetime], keyed: bool = False
 ) -> StateTables:
     """The state after the waves have landed and been streamed one by one."""
     store = new_store(spark, sf_dir)
@@ -166,7 +168,7 @@ def taken_in(
     for wave in waves:
         write(spark, wave, folder)
         run_stream(
-            spark, folder, store, checkpoint, scoring.BUILT_IN, lambda n: times[n - 1], max_active=slots
+            spark, folder, store, checkpoint, scoring.BUILT_IN, lambda n: times[n - 1], slots, keyed=keyed
         ).awaitTermination()
     clear(spark, folder)
     return store
@@ -193,6 +195,41 @@ def split_waves(spark: SparkSession, sf_dir: str) -> StateTables:
     return taken_in(spark, sf_dir, waves, [fx.CUT, fx.CUT, fx.AS_OF, fx.AS_OF])
 
 
+def found_again(spark: SparkSession, sf_dir: str, keyed: bool = False) -> StateTables:
+    """Videos that are not watched at first are found again by the second wave's search page; their comments
+    land before, with and after it."""
+    second = fx.CUT + timedelta(days=7)
+    bounds = [None, fx.CUT, second, None]
+
+    def landed_between(low: datetime | None, high: datetime | None) -> DataFrame:
+        time, when = F.col("published_at"), F.lit(True)
+        if low is not None:
+            when = when & (time >= F.lit(low).cast("timestamp"))
+        if high is not None:
+            when = when & (time < F.lit(high).cast("timestamp"))
+        return comment_pages(spark, sf_dir, when, flaws=False).where(~F.col("comments_disabled"))
+
+    user = F.col("user_id")
+    item = F.struct(
+        F.struct(F.lit(landing.VIDEO_KIND).alias("kind"), fx.text_id("v", "user_id").alias("videoId")).alias("id"),
+        F.struct(
+            F.lit("again").alias("title"),
+            F.lit("ch").alias("channelId"),
+            F.lit("channel").alias("channelTitle"),
+            F.date_format(
+                F.lit(fx.AS_OF).cast("timestamp") - F.make_dt_interval((user % 20).cast("int")),
+                "yyyy-MM-dd'T'HH:mm:ss'Z'",
+            ).alias("publishedAt"),
+        ).alias("snippet"),
+    )
+    unwatched = fx.events(spark, sf_dir).where(user % 7 == 6).select("user_id").distinct()
+    search = unwatched.groupBy(F.floor(user / COUNT_PAGE).alias("page")).agg(F.collect_list(item).alias("items"))
+    waves = [{"comments": landed_between(a, b)} for a, b in pairwise(bounds)]
+    waves[0]["statistics"] = waves[2]["statistics"] = count_pages(spark, sf_dir, fx.platform_counts(spark, sf_dir))
+    waves[1]["search"] = search.select("items")
+    return taken_in(spark, sf_dir, waves, [fx.CUT + timedelta(days=n) for n in range(3)], keyed)
+
+
 def repeated_batch(spark: SparkSession, sf_dir: str) -> StateTables:
     """The first wave taken in twice under one batch id, the second time with a later clock."""
     store, slots = new_store(spark, sf_dir), users(spark, sf_dir)

@@ -349,6 +349,15 @@ WAVE_COMMENTS = f"""wave_comments as (
 
 
 # Name: (further views, statement).
+# Everything of the videos that are watched, have a date and so are read, and of those found again.
+ALL_READ = f"""select video_id, model_id,
+  cast(count(*) filter (where sentiment_label = 'positive') as bigint) as pos_count,
+  cast(count(*) filter (where sentiment_label = 'negative') as bigint) as neg_count,
+  cast(count(*) filter (where sentiment_label = 'neutral') as bigint) as neu_count,
+  cast(sum(likes) as bigint) as total_likes, {shown("max(published_at)")} as last_sync_date
+  from wave_labels join videos_raw using (video_id) where is_active = 0 or date_publication is not null
+  group by video_id, model_id"""
+
 STATEMENTS: dict[str, tuple[str, str]] = {
     "prepare_comments": (
         "",
@@ -816,6 +825,8 @@ STATEMENTS: dict[str, tuple[str, str]] = {
               and floor(date_diff('microsecond', k.date_publication, {AS_OF}) / 86400000000.0) <= 14)
           join (select comment_id, text from comments_raw) using (comment_id)""",
     ),
+    "stream_found_again": ("", ALL_READ),
+    "stream_state_marks": ("", ALL_READ),
     "replayed_batch": (
         "",
         f"""select video_id, model_id, cast(null as varchar) as video_title_sentiment, {COUNTERS},

@@ -741,6 +741,23 @@ def stream_split_waves(spark, sf_dir):
     return _hashed_text(landed.split_waves(spark, sf_dir).current("raw_comments"))
 
 
+def _marks(store: StateTables) -> DataFrame:
+    rows = store.current("video_stats")
+    return rows.select("video_id", "model_id", *stats.COUNTERS, "last_sync_date")
+
+
+@query
+def stream_found_again(spark, sf_dir):
+    """Counters and marks where videos are found again between the landings of their comments."""
+    return _marks(landed.found_again(spark, sf_dir))
+
+
+@query
+def stream_state_marks(spark, sf_dir):
+    """The same from marks and waiting comments in the keyed state of the stream."""
+    return _marks(landed.found_again(spark, sf_dir, keyed=True))
+
+
 @query
 def replayed_batch(spark, sf_dir):
     """A batch taken in twice leaves the counters of once, and the time of its first attempt."""

@@ -53,6 +53,14 @@ def clear(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def write_once(df: DataFrame, folder: str) -> None:
+    """Write JSON rows to a folder unless that has been done to the end before."""
+    spark = df.sparkSession
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        df.write.mode("overwrite").json(folder)
+
+
 def overlap(one: str, other: str) -> bool:
     """Whether one of two folders is the other or lies within it."""
     a, b = (f"{p.removeprefix('file:').rstrip('/')}/".replace("///", "/") for p in (one, other))

@@ -17,8 +17,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from opinara.operators import scoring
 from opinara.plans.cycle import run_cycle
+from opinara.runtime import write_once
 from opinara.sources import landing
 from opinara.sources.state import StateTables
+from opinara.streaming import marks
+
+# Keyed state with timers needs this store. Timers by the clock would ask for batches without rows for ever; they
+# are looked at with the next batch that has some.
+KEYED_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 
 # One filled column per kind of landed row.
 COLUMNS = {
@@ -39,16 +50,28 @@ COLUMNS = {
 
 
 def landed_rows(
-    spark: SparkSession, folder: str, stream: bool = True, options: dict | None = None
+    spark: SparkSession,
+    folder: str,
+    stream: bool = True,
+    options: dict | None = None,
+    through: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """All landed rows in one frame: ``kind`` and the struct column of that kind."""
+    """All landed rows in one frame: ``kind`` and the struct column of that kind.
+
+    ``through`` takes flattened comment pages and gives back those rows, with a ``kind``, that go on.
+    """
     pages = {k: landing.read_pages(spark, folder, k, stream, options) for k in landing.FOLDERS}
     flat = landing.flatten_pages(pages["comments"])
     fields = [c for c in flat.columns if c != "blocked"]
+    if through is None:
+        flat = flat.withColumn("kind", F.when(F.col("blocked"), "disabled").otherwise("comments"))
+    else:
+        flat = through(flat)
+    blocked = F.col("kind") == "disabled"
     from_comments = flat.select(
-        F.when(F.col("blocked"), "disabled").otherwise("comments").alias("kind"),
-        F.when(~F.col("blocked"), F.struct(*fields)).alias("comment"),
-        F.when(F.col("blocked"), F.struct("video_id")).alias("blocked"),
+        "kind",
+        F.when(~blocked, F.struct(*fields)).alias("comment"),
+        F.when(blocked, F.struct("video_id")).alias("blocked"),
     )
     counts = landing.flatten_counts(pages["statistics"])
     found = landing.flatten_search(pages["search"])
@@ -98,14 +121,16 @@ def take_in(
     models: Sequence[scoring.Model],
     as_of: datetime,
     max_active: int,
-) -> None:
+    give_back: Callable[[DataFrame], None] | None = None,
+) -> datetime:
     """One monitoring cycle over landed rows, from a stream or from a plain read.
 
-    The time of a batch's first attempt is stored and holds for its repeats.
+    The time of a batch's first attempt is stored and holds for its repeats; it is returned.
     """
     staged = stage(rows, store.work(batch_id, "landed"))
     as_of = store.batch_time(batch_id, as_of)
-    run_cycle(store, batch_id, split(staged), models, as_of, max_active)
+    run_cycle(store, batch_id, split(staged), models, as_of, max_active, give_back)
+    return as_of
 
 
 def run_stream(
@@ -119,26 +144,55 @@ def run_stream(
     trigger: dict | None = None,
     first_batch: int = 1,
     options: dict | None = None,
+    keyed: bool = False,
 ) -> StreamingQuery:
     """Start the intake. By default it takes what has landed and ends, as a scheduled run would.
 
     ``options`` go to the file source, as ``maxFilesPerTrigger`` to bound a batch or ``cleanSource`` to
     archive what was read. ``as_of`` gives the time of a batch by its id. Ids start at ``first_batch``, 1 for new tables;
     a new checkpoint over existing tables has to start beyond their last batch.
+
+    ``keyed`` keeps marks and waiting comments as state of the stream (``marks``) instead of pending rows. What a cycle
+    decides about videos lands below ``_cycle`` beside the pages and is read with the next batch. A new
+    keyed stream takes over the stored videos and marks. Its state is in RocksDB.
     """
 
     def one_cycle(batch: DataFrame, epoch: int) -> None:
         batch_id = epoch + first_batch
         state = StateTables(batch.sparkSession, store.root)
-        take_in(state, batch_id, batch, models, as_of(batch_id), max_active)
+        if not keyed:
+            take_in(state, batch_id, batch, models, as_of(batch_id), max_active)
+            return
+        said = f"batch-{batch_id:09}"
+
+        def give_back(unread: DataFrame) -> None:
+            write_once(marks.as_waiting(unread), f"{folder}/_cycle/returned/{said}")
+
+        time = take_in(state, batch_id, batch, models, as_of(batch_id), max_active, give_back)
+        write_once(marks.word(state, batch_id, time), f"{folder}/_cycle/watch/{said}")
+
+    def through_state(flat: DataFrame) -> DataFrame:
+        told = {}
+        for kind, ddl in (("watch", marks.WATCH), ("returned", marks.RETURNED)):
+            schema = T.StructType.fromDDL(ddl)
+            write_once(spark.createDataFrame([], schema), f"{folder}/_cycle/{kind}/start")
+            told[kind] = spark.readStream.schema(schema).json(f"{folder}/_cycle/{kind}/*")
+        known = marks.known_videos(store, first_batch)
+        return marks.hold_back(marks.events(flat, **told), known)
 
     for kind in landing.FOLDERS:
         empty = spark.createDataFrame([], T.StructType.fromDDL(landing.FOLDERS[kind]))
         empty.limit(0).write.mode("ignore").json(f"{folder}/{kind}")
-    return (
-        landed_rows(spark, folder, options=options)
-        .writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .foreachBatch(one_cycle)
-        .start()
-    )
+    rows = landed_rows(spark, folder, options=options, through=through_state if keyed else None)
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+    if not keyed:
+        return writer.foreachBatch(one_cycle).start()
+    # the query keeps the settings it was started with
+    before = {name: spark.conf.get(name) for name in KEYED_SETTINGS}
+    try:
+        for name, value in KEYED_SETTINGS.items():
+            spark.conf.set(name, value)
+        return writer.foreachBatch(one_cycle).start()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

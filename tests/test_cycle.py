@@ -233,3 +233,58 @@ def test_the_latest_fetch_of_a_comment_wins(spark, tmp_path):
         os.utime(tmp_path / "a" / "comments" / f"{number:03}.json", (seconds, seconds))
     take_in(store, 1, batch(spark, tmp_path / "a"), scoring.BUILT_IN, AS_OF, 7)
     assert {(r.comment_text, r.likes) for r in store.current("raw_comments").collect()} == {("of", 99)}
+
+
+def stream(spark, root, store, keyed, as_of=AS_OF, slots=20):
+    run = run_stream(
+        spark, str(root / "landing"), store, str(root / "check"), scoring.BUILT_IN, lambda n: as_of, slots, keyed=keyed
+    )
+    run.awaitTermination()
+    return run
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_a_video_found_again_is_read_from_its_mark_on(spark, tmp_path, keyed):
+    """Its comments land before, with and after the search page that finds it."""
+    comments = [{**c, "video": "v1"} for c in made(50)]
+    store = start_store(spark, tmp_path / "state")
+    waves = [
+        dict(comments=comments[:10]),
+        dict(comments=comments[10:20], disabled=["v1"]),
+        dict(comments=comments[20:30], search=[("v1", START)]),
+        dict(comments=comments[30:]),
+    ]
+    stored = []
+    for number, wave in enumerate(waves, start=1):
+        land(tmp_path / "landing", number, **wave)
+        stream(spark, tmp_path, store, keyed, AS_OF + timedelta(hours=number))
+        stored.append(store.current("raw_comments").count() // 2)
+    assert stored == [10, 10, 10, 50]
+    assert store.pending(5).count() == 0
+    row = store.current("video_stats").where("video_id = 'v1' and model_id = 1").first()
+    assert row["last_sync_date"] == comments[-1]["time"]
+    assert row["pos_count"] + row["neg_count"] + row["neu_count"] == 50
+
+
+def test_keyed_state_ends_like_one_batch(spark, one_batch, tmp_path):
+    """Comments, counts and the video itself in any order; what waits is put down once."""
+    _, single, comments = one_batch
+    extra = [{**c, "video": "found", "id": f"f{i}"} for i, c in enumerate(comments[:40])]
+    store = start_store(spark, tmp_path / "state")
+    land(tmp_path / "landing", 1, comments[:90] + extra[:20], counts={})
+    first = stream(spark, tmp_path, store, True)
+    land(tmp_path / "landing", 2, comments[90:200], search=[("found", START)])
+    second = stream(spark, tmp_path, store, True)
+    land(tmp_path / "landing", 3, comments[200:] + comments[:30] + extra[20:])
+    stream(spark, tmp_path, store, True)
+    mine = "video_id <> 'found'"
+    columns = ["video_id", "model_id", "pos_count", "neg_count", "neu_count", "total_likes", "last_sync_date"]
+    for table, names in (("raw_comments", ["*"]), ("video_stats", columns)):
+        a, b = (s.current(table).where(mine).select(*names) for s in (single, store))
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    assert store.current("raw_comments").where("video_id = 'found' and model_id = 1").count() == 40
+    assert store.versions("pending_comments").count() == 0
+    updated = [sum(p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress) for q in (first, second)]
+    # a mark for each video that has rows; the first batch also puts down what waits, with a timer, as one list
+    assert updated[1] < updated[0]
+    assert len(store.current("video_info").where("video_id = 'found' and is_active = 1").collect()) == 1
