@@ -109,6 +109,32 @@ def global_totals(video_stats: DataFrame, models: DataFrame) -> DataFrame:
     )
 
 
+def totals_after(previous: DataFrame, delta: DataFrame, before: DataFrame, models: DataFrame) -> DataFrame:
+    """Totals per model from those of the batch before and one batch's delta.
+
+    ``before`` holds the counters of the delta's videos ahead of it: a row that had none is a video not counted yet,
+    and the platform's total replaces the one it had. Every model must stand in ``previous``.
+    """
+    old = before.select("video_id", "model_id", F.col("total_comments").alias("old_total"), F.lit(True).alias("seen"))
+    change = (
+        delta.join(old, ["video_id", "model_id"], "left")
+        .groupBy("model_id")
+        .agg(
+            F.count_if(F.col("seen").isNull()).alias("total_videos"),
+            *[F.sum(c).alias(name) for name, c in TOTALS.items() if name != "total_comments"],
+            F.sum(F.coalesce("total_comments", F.lit(0)) - F.coalesce("old_total", F.lit(0))).alias("total_comments"),
+        )
+    )
+    names = ["total_videos", *TOTALS]
+    changes = change.select("model_id", *[F.col(n).alias(f"_{n}") for n in names])
+    return (
+        models.select("model_id")
+        .join(previous, "model_id")
+        .join(changes, "model_id", "left")
+        .select("model_id", *[(F.col(n) + F.coalesce(f"_{n}", F.lit(0))).cast("bigint").alias(n) for n in names])
+    )
+
+
 def for_model(video_stats: DataFrame, model_id: int) -> DataFrame:
     return video_stats.where(F.col("model_id") == model_id)
 

@@ -174,9 +174,16 @@ def taken_in(
     return store
 
 
-def two_waves(spark: SparkSession, sf_dir: str) -> StateTables:
-    """Two complete waves."""
-    return taken_in(spark, sf_dir, wave_pages(spark, sf_dir), [fx.CUT, fx.AS_OF])
+_TWO_WAVES: dict[tuple[str, str], StateTables] = {}
+
+
+def two_waves(spark: SparkSession, sf_dir: str, fresh: bool = False) -> StateTables:
+    """Two complete waves. Queries that read different tables of the state share one run of an application;
+    ``fresh`` streams them anew."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if fresh or key not in _TWO_WAVES:
+        _TWO_WAVES[key] = taken_in(spark, sf_dir, wave_pages(spark, sf_dir), [fx.CUT, fx.AS_OF])
+    return _TWO_WAVES[key]
 
 
 def split_waves(spark: SparkSession, sf_dir: str) -> StateTables:

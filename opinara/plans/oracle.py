@@ -833,6 +833,7 @@ STATEMENTS: dict[str, tuple[str, str]] = {
           {shown("last_sync_date")} as last_sync_date, {shown(CUT)} as checked_at from wave_first""",
     ),
 }
+STATEMENTS["snapshot_from_delta"] = ("", f"select model_id, {TOTALS} from stats_now group by model_id")
 STATEMENTS["export_global_sum"] = STATEMENTS["global_snapshot"]
 
 

@@ -704,7 +704,7 @@ def gold_roundtrip(spark, sf_dir):
 
 @query
 def stream_cycle(spark, sf_dir):
-    return landed.two_waves(spark, sf_dir).current("video_stats")
+    return landed.two_waves(spark, sf_dir, fresh=True).current("video_stats")
 
 
 @query
@@ -741,6 +741,16 @@ def stream_split_waves(spark, sf_dir):
     return _hashed_text(landed.split_waves(spark, sf_dir).current("raw_comments"))
 
 
+@query
+def snapshot_from_delta(spark, sf_dir):
+    """Totals from the earlier ones and the second batch's delta alone."""
+    first = fx.stats_first(spark, sf_dir)
+    models = first.select("model_id").distinct()
+    previous = stats.global_totals(first, models)
+    delta = fx.deltas(spark, sf_dir).where(F.col("batch_id") == 2)
+    return stats.totals_after(previous, delta, first, models)
+
+
 def _marks(store: StateTables) -> DataFrame:
     rows = store.current("video_stats")
     return rows.select("video_id", "model_id", *stats.COUNTERS, "last_sync_date")

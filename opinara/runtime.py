@@ -53,6 +53,45 @@ def clear(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _on_storage(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_folder(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, but for hidden ones; none where there is no folder."""
+    target, system = _on_storage(spark, folder)
+    if not system.exists(target):
+        return []
+    names = [entry.getPath().getName() for entry in system.listStatus(target)]
+    return [name for name in names if not name.startswith(("_", "."))]
+
+
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file, None where there is none."""
+    target, system = _on_storage(spark, path)
+    if not system.exists(target):
+        return None
+    stream = system.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_small(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small file in place in one step: written beside its place, then renamed."""
+    folder, name = path.rsplit("/", 1)
+    target, system = _on_storage(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = system.create(beside, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    system.delete(target, False)
+    if not system.rename(beside, target):
+        raise OSError(f"{path} could not be put in place")
+
+
 def write_once(df: DataFrame, folder: str) -> None:
     """Write JSON rows to a folder unless that has been done to the end before."""
     spark = df.sparkSession

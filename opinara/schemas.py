@@ -30,6 +30,7 @@ STATE = {
         "updated_at STRING, landed_at TIMESTAMP, page_newest TIMESTAMP, position INT, "
         "pending_since TIMESTAMP"
     ),
+    "watched_videos": "video_id STRING",
     "global_stats": (
         "model_id INT, snapshot_date TIMESTAMP, total_positive BIGINT, total_negative BIGINT, "
         "total_neutral BIGINT, total_likes BIGINT, total_videos BIGINT, total_comments BIGINT"
