@@ -81,10 +81,7 @@ def contradictions_job(
 
 def export_job(store: StateTables, target: str, gold_path: str | None = None) -> list[str]:
     """Write the publishable snapshot of the store, with the annotated file if there is one."""
-    present = export.existing(
-        store.spark, {t: store.path(t) for t in schemas.STATE if t in export.TABLES}
-    )
-    current = {t: store.current(t) for t in present}
+    current = {t: store.current(t) for t in schemas.STATE if t in export.TABLES and store.has(t)}
     gold = gold_file.read_gold(store.spark, gold_path) if gold_path else None
     sources = [store.root, *([gold_path] if gold_path else [])]
     return export.export_snapshot(current, target, gold, sources)

@@ -65,6 +65,12 @@ class StateTables:
             self._put({"batch": 0, "buckets": self._asked, "runs": {t: {} for t in BUCKETED}})
         return self
 
+    def has(self, table: str) -> bool:
+        """Whether the table was ever made; it may be empty."""
+        if table in BUCKETED:
+            return self.record() is not None
+        return any(name.startswith("batch_id=") for name in list_folder(self.spark, self.path(table)))
+
     # --- commit records ---------------------------------------------------------------------------
 
     def record(self, before: int | None = None) -> dict | None:
