@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara.functions.labels import normalize_label, recode_letter
-from opinara.operators import sampling, stats
+from opinara.operators import sampling, scoring, stats
 from opinara.runtime import configure
 
 # Parameters: the time of the second batch, and the cut between the two.
@@ -209,3 +209,8 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         normalize_label(F.col("raw_label_2")).alias("sentiment_model_2"),
         recode_letter(F.col("human_code")).alias("human_sentiment"),
     )
+
+
+def unloadable() -> scoring.Scorer:
+    """Factory of a model whose files are missing."""
+    raise OSError("no weights")

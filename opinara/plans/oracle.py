@@ -825,6 +825,11 @@ STATEMENTS: dict[str, tuple[str, str]] = {
               and floor(date_diff('microsecond', k.date_publication, {AS_OF}) / 86400000000.0) <= 14)
           join (select comment_id, text from comments_raw) using (comment_id)""",
     ),
+    "loadable_models": (
+        "",
+        """select case model_id when 1 then 'three-class' else 'five-star' end as model_name, sentiment_label,
+          count(*) as n from wave_labels group by model_id, sentiment_label""",
+    ),
     "stream_found_again": ("", ALL_READ),
     "stream_state_marks": ("", ALL_READ),
     "replayed_batch": (

@@ -741,6 +741,15 @@ def stream_split_waves(spark, sf_dir):
     return _hashed_text(landed.split_waves(spark, sf_dir).current("raw_comments"))
 
 
+@query
+def loadable_models(spark, sf_dir):
+    """Labels by model over all comments, where one of the asked models does not load and is left out."""
+    asked = [scoring.THREE_CLASS, scoring.Model("missing", factory=fx.unloadable), scoring.FIVE_STAR]
+    usable = scoring.loadable(spark, asked)
+    scored = scoring.by_model(scoring.score(fx.comments_raw(spark, sf_dir), usable, "text"))
+    return scored.groupBy("model_name", "sentiment_label").agg(F.count("*").alias("n"))
+
+
 @query
 def snapshot_from_delta(spark, sf_dir):
     """Totals from the earlier ones and the second batch's delta alone."""
