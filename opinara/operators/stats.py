@@ -34,6 +34,24 @@ def video_mood(scored: DataFrame) -> DataFrame:
     )
 
 
+def corrected_mood(added: DataFrame, removed: DataFrame) -> DataFrame:
+    """Counters of one batch as differences: ``added`` rows count for their label, ``removed`` ones against it."""
+    columns = ["video_id", "model_id", "sentiment_label", "likes", "published_at", "sign"]
+    plus = added.withColumn("sign", F.lit(1)).select(*columns)
+    minus = removed.withColumns({"sign": F.lit(-1), "published_at": F.lit(None).cast("timestamp")}).select(*columns)
+
+    def balance(label: str):
+        return F.sum(F.when(F.col("sentiment_label") == label, F.col("sign")).otherwise(0))
+
+    return plus.unionByName(minus).groupBy("video_id", "model_id").agg(
+        balance("positive").alias("pos_count"),
+        balance("negative").alias("neg_count"),
+        balance("neutral").alias("neu_count"),
+        F.sum(F.col("likes").cast("bigint") * F.col("sign")).alias("total_likes"),
+        F.coalesce(F.max("published_at"), F.lit(NEVER).cast("timestamp")).alias("last_sync_date"),
+    )
+
+
 def batch_delta(
     processed: DataFrame,
     mood: DataFrame,
@@ -41,7 +59,8 @@ def batch_delta(
     batch_id: int,
     as_of: datetime,
 ) -> DataFrame:
-    """Delta rows for every processed video and model; nothing new adds zeros and keeps the mark.
+    """Delta rows for every processed video and model; nothing new adds zeros and keeps the mark, which
+    never goes back.
 
     ``processed`` holds video_id, yt_count and the previous last_sync_date.
     """
@@ -58,7 +77,7 @@ def batch_delta(
         F.lit(None).cast("string").alias("video_title_sentiment"),
         *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTERS],
         F.col("yt_count").cast("bigint").alias("total_comments"),
-        F.coalesce("last_sync_date", "previous_sync").alias("last_sync_date"),
+        F.greatest("last_sync_date", "previous_sync").alias("last_sync_date"),
         F.lit(as_of).cast("timestamp").alias("checked_at"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
     )

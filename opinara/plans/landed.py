@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timedelta
 from itertools import pairwise
 
@@ -27,11 +28,15 @@ def comment_pages(
     sf_dir: str,
     when: Column | None = None,
     flaws: bool = True,
+    edit: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Comment pages, newest comment first; videos whose last event is an error have theirs
     switched off. With ``flaws``, texts, likes and times are missing or unreadable here and there.
+    ``edit`` changes the comments ahead of that.
     """
     rows = fx.comments_raw(spark, sf_dir)
+    if edit is not None:
+        rows = edit(rows)
     if when is not None:
         rows = rows.where(when)
     e = F.col("event_id")
@@ -159,7 +164,12 @@ def wave_pages(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
 
 
 def taken_in(
-    spark: SparkSession, sf_dir: str, waves: list[dict[str, DataFrame]], times: list[datetime], keyed: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    waves: list[dict[str, DataFrame]],
+    times: list[datetime],
+    keyed: bool = False,
+    keep_late: bool = False,
 ) -> StateTables:
     """The state after the waves have landed and been streamed one by one."""
     store = new_store(spark, sf_dir)
@@ -168,7 +178,15 @@ def taken_in(
     for wave in waves:
         write(spark, wave, folder)
         run_stream(
-            spark, folder, store, checkpoint, scoring.BUILT_IN, lambda n: times[n - 1], slots, keyed=keyed
+            spark,
+            folder,
+            store,
+            checkpoint,
+            scoring.BUILT_IN,
+            lambda n: times[n - 1],
+            slots,
+            keyed=keyed,
+            keep_late=keep_late,
         ).awaitTermination()
     clear(spark, folder)
     return store
@@ -216,6 +234,14 @@ def found_again(spark: SparkSession, sf_dir: str, keyed: bool = False) -> StateT
             when = when & (time < F.lit(high).cast("timestamp"))
         return comment_pages(spark, sf_dir, when, flaws=False).where(~F.col("comments_disabled"))
 
+    waves = [{"comments": landed_between(a, b)} for a, b in pairwise(bounds)]
+    waves[0]["statistics"] = waves[2]["statistics"] = count_pages(spark, sf_dir, fx.platform_counts(spark, sf_dir))
+    waves[1]["search"] = search_again(spark, sf_dir)
+    return taken_in(spark, sf_dir, waves, [fx.CUT + timedelta(days=n) for n in range(3)], keyed)
+
+
+def search_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search pages that find the videos that are not watched at first."""
     user = F.col("user_id")
     item = F.struct(
         F.struct(F.lit(landing.VIDEO_KIND).alias("kind"), fx.text_id("v", "user_id").alias("videoId")).alias("id"),
@@ -231,10 +257,32 @@ def found_again(spark: SparkSession, sf_dir: str, keyed: bool = False) -> StateT
     )
     unwatched = fx.events(spark, sf_dir).where(user % 7 == 6).select("user_id").distinct()
     search = unwatched.groupBy(F.floor(user / COUNT_PAGE).alias("page")).agg(F.collect_list(item).alias("items"))
-    waves = [{"comments": landed_between(a, b)} for a, b in pairwise(bounds)]
-    waves[0]["statistics"] = waves[2]["statistics"] = count_pages(spark, sf_dir, fx.platform_counts(spark, sf_dir))
-    waves[1]["search"] = search.select("items")
-    return taken_in(spark, sf_dir, waves, [fx.CUT + timedelta(days=n) for n in range(3)], keyed)
+    return search.select("items")
+
+
+# Likes that a comment has gained, and its text, where it lands again changed.
+GAINED, REWORDED = 100, "the"
+
+
+def late_waves(spark: SparkSession, sf_dir: str) -> StateTables:
+    """The later comments land first; then the earlier ones, and of the later ones every fifth again with more likes
+    and another text, and every fifth again as it was."""
+    later = F.col("published_at") >= fx.cut()
+    fifth = F.col("event_id") % 5
+
+    def edit(rows: DataFrame) -> DataFrame:
+        changed = later & (fifth == 0)
+        likes = F.coalesce("likes", F.lit(0))
+        return rows.withColumn("text", F.when(changed, F.lit(REWORDED)).otherwise(F.col("text"))).withColumn(
+            "likes", F.when(changed, likes + GAINED).otherwise(F.col("likes"))
+        )
+
+    first = comment_pages(spark, sf_dir, later, flaws=False)
+    second = comment_pages(spark, sf_dir, ~later | (fifth <= 1), flaws=False, edit=edit)
+    waves = [{"comments": pages.where(~F.col("comments_disabled"))} for pages in (first, second)]
+    waves[0]["statistics"] = count_pages(spark, sf_dir, fx.platform_counts(spark, sf_dir))
+    waves[0]["search"] = search_again(spark, sf_dir)
+    return taken_in(spark, sf_dir, waves, [fx.CUT, fx.CUT + timedelta(days=1)], keep_late=True)
 
 
 def repeated_batch(spark: SparkSession, sf_dir: str) -> StateTables:

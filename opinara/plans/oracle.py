@@ -832,6 +832,15 @@ STATEMENTS: dict[str, tuple[str, str]] = {
     ),
     "stream_found_again": ("", ALL_READ),
     "stream_state_marks": ("", ALL_READ),
+    "stream_late_comments": (
+        # every fifth of the later comments came again, with 100 likes more and a text of one UP word
+        f"""late_labels as (
+            select video_id, model_id, published_at, likes + if(again, 100, 0) as likes,
+                   if(again, 'positive', sentiment_label) as sentiment_label
+            from (select *, published_at >= {CUT} and cast(substr(comment_id, 2) as bigint) % 5 = 0 as again
+                  from wave_labels))""",
+        ALL_READ.replace("wave_labels", "late_labels"),
+    ),
     "replayed_batch": (
         "",
         f"""select video_id, model_id, cast(null as varchar) as video_title_sentiment, {COUNTERS},

@@ -777,6 +777,12 @@ def stream_state_marks(spark, sf_dir):
     return _marks(landed.found_again(spark, sf_dir, keyed=True))
 
 
+@query
+def stream_late_comments(spark, sf_dir):
+    """Counters and marks where earlier comments land after later ones, and some land again, changed or not."""
+    return _marks(landed.late_waves(spark, sf_dir))
+
+
 @query
 def replayed_batch(spark, sf_dir):
     """A batch taken in twice leaves the counters of once, and the time of its first attempt."""

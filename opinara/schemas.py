@@ -31,6 +31,9 @@ STATE = {
         "pending_since TIMESTAMP"
     ),
     "watched_videos": "video_id STRING",
+    "counted_comments": (
+        "video_id STRING, comment_id STRING, model_id INT, sentiment_label STRING, likes BIGINT, text_digest STRING"
+    ),
     "global_stats": (
         "model_id INT, snapshot_date TIMESTAMP, total_positive BIGINT, total_negative BIGINT, "
         "total_neutral BIGINT, total_likes BIGINT, total_videos BIGINT, total_comments BIGINT"

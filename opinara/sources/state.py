@@ -5,7 +5,7 @@ in place in one step, that names the batch and the runs the tables consist of. R
 so they see finished batches only, whole or not at all, also while a batch runs or after one has died. Jobs of
 batch N go by the newest record before N, so a repeated batch sees the same state and leaves the same tables.
 
-Videos and counters, which every cycle reads again, lie in buckets by the hash of their video. A run has a folder
+Videos, counters and what was counted, which cycles read again, lie in buckets by the hash of their video. A run has a folder
 per bucket it touches, and a bucket that has gathered more than a few runs is folded into one when a batch that
 touches it is committed. So a batch reads the buckets of its own videos, a bounded number of runs each, and what
 it costs depends on the size of these buckets and not on how many batches there have been. The other tables are
@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opinara import schemas
-from opinara.operators import comments, stats, videos
+from opinara.operators import comments, corrections, stats, videos
 from opinara.runtime import clear, list_folder, read_small, replace_small
 
 # Tables in buckets, by the column that decides. The number of buckets is fixed when a store is made.
-BUCKETED = {"video_info": "video_id", "video_stats": "video_id"}
+BUCKETED = {"video_info": "video_id", "video_stats": "video_id", "counted_comments": "video_id"}
 BUCKETS = 8
 # A bucket with more runs is folded.
 RUNS = 4
@@ -42,6 +42,7 @@ CURRENT = {
     "global_stats": lambda versions: versions.drop("batch_id"),
     "pending_comments": lambda versions: versions.drop("batch_id"),
     "watched_videos": lambda versions: versions.drop("batch_id"),
+    "counted_comments": corrections.merge,
 }
 
 
@@ -88,13 +89,19 @@ class StateTables:
     def _known(self, before: int | None = None) -> dict:
         return self.record(before) or {"batch": -1, "buckets": self._asked, "runs": {t: {} for t in BUCKETED}}
 
-    def commit(self, batch_id: int) -> None:
-        """Make all that a batch has written visible at once; buckets with many runs are folded first."""
+    def commit(self, batch_id: int, counted: bool = False) -> None:
+        """Make all that a batch has written visible at once; buckets with many runs are folded first.
+
+        ``counted`` says that the batch wrote down what it counted. Where the batch before did not, it wrote all
+        that was ever counted, and older runs are done with.
+        """
         record = self._known(batch_id)
+        if not (counted and self.follows_counted(batch_id)):
+            record["runs"]["counted_comments"] = {}
         for table in BUCKETED:
             self._add_run(record, table, batch_id)
             self._fold(record, table, batch_id)
-        self._put({**record, "batch": batch_id, "cycle": batch_id})
+        self._put({**record, "batch": batch_id, "cycle": batch_id, "counted": batch_id if counted else None})
 
     def follows_cycle(self, batch_id: int) -> bool:
         """Whether what is stored ahead of a batch was committed whole by the batch before it, and not added to
@@ -102,6 +109,10 @@ class StateTables:
         record = self._known(batch_id)
         return record["batch"] > 0 and record.get("cycle") == record["batch"]
 
+    def follows_counted(self, batch_id: int) -> bool:
+        """Whether the rows of what was counted are complete ahead of a batch."""
+        return self.follows_cycle(batch_id) and self._known(batch_id).get("counted") == self._known(batch_id)["batch"]
+
     def _add_run(self, record: dict, table: str, batch_id: int) -> None:
         """Name the batch's run in every bucket that it touches."""
         run, runs = f"{batch_id:012}", record["runs"].setdefault(table, {})
@@ -130,7 +141,7 @@ class StateTables:
         for n in numbers[:-keep]:
             clear(self.spark, self._record_path(n))
         for table in BUCKETED:
-            named = {r for record in kept for runs in record["runs"][table].values() for r in runs}
+            named = {r for record in kept for runs in record["runs"].get(table, {}).values() for r in runs}
             for run in list_folder(self.spark, self.path(table)):
                 # a run beyond the newest record belongs to a batch that has not finished
                 if run not in named and int(run.split("-")[0]) <= numbers[-1]:
@@ -190,7 +201,9 @@ class StateTables:
 
     def _write_buckets(self, table: str, rows: DataFrame, batch_id: int, run: str, n: int) -> None:
         placed = schemas.align(rows, table).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        placed = placed.withColumn("bucket", _bucket(BUCKETED[table], n)).repartition("bucket")
+        placed = placed.withColumn("bucket", _bucket(BUCKETED[table], n))
+        # a row per comment: one video may hold most of a bucket, which adaptive execution then splits
+        placed = placed.hint("rebalance", "bucket") if table == "counted_comments" else placed.repartition("bucket")
         placed.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path(table)}/{run}")
 
     def pending(self, batch_id: int) -> DataFrame:

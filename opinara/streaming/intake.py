@@ -2,7 +2,7 @@
 
 The mark up to which a video has been read is kept in its counters and compared per video. Spark's
 own watermark runs over the whole stream and would drop the comments of videos that lag behind.
-Batches must come in time order: a comment older than its video's mark is late and is dropped.
+A comment at or below its video's mark is late: it is dropped, or with ``keep_late`` corrects what is stored.
 """
 
 from __future__ import annotations
@@ -122,6 +122,7 @@ def take_in(
     as_of: datetime,
     max_active: int,
     give_back: Callable[[DataFrame], None] | None = None,
+    keep_late: bool = False,
 ) -> datetime:
     """One monitoring cycle over landed rows, from a stream or from a plain read.
 
@@ -129,7 +130,7 @@ def take_in(
     """
     staged = stage(rows, store.work(batch_id, "landed"))
     as_of = store.batch_time(batch_id, as_of)
-    run_cycle(store, batch_id, split(staged), models, as_of, max_active, give_back)
+    run_cycle(store, batch_id, split(staged), models, as_of, max_active, give_back, keep_late)
     return as_of
 
 
@@ -145,6 +146,7 @@ def run_stream(
     first_batch: int = 1,
     options: dict | None = None,
     keyed: bool = False,
+    keep_late: bool = False,
 ) -> StreamingQuery:
     """Start the intake. By default it takes what has landed and ends, as a scheduled run would.
 
@@ -155,20 +157,23 @@ def run_stream(
     ``keyed`` keeps marks and waiting comments as state of the stream (``marks``) instead of pending rows. What a cycle
     decides about videos lands below ``_cycle`` beside the pages and is read with the next batch. A new
     keyed stream takes over the stored videos and marks. Its state is in RocksDB.
+
+    With ``keep_late`` pages may land in any time order: late comments are taken in, and counters are corrected where
+    a comment comes again changed. The first such batch over an older store reads its stored comments once.
     """
 
     def one_cycle(batch: DataFrame, epoch: int) -> None:
         batch_id = epoch + first_batch
         state = StateTables(batch.sparkSession, store.root)
         if not keyed:
-            take_in(state, batch_id, batch, models, as_of(batch_id), max_active)
+            take_in(state, batch_id, batch, models, as_of(batch_id), max_active, keep_late=keep_late)
             return
         said = f"batch-{batch_id:09}"
 
         def give_back(unread: DataFrame) -> None:
             write_once(marks.as_waiting(unread), f"{folder}/_cycle/returned/{said}")
 
-        time = take_in(state, batch_id, batch, models, as_of(batch_id), max_active, give_back)
+        time = take_in(state, batch_id, batch, models, as_of(batch_id), max_active, give_back, keep_late)
         write_once(marks.word(state, batch_id, time), f"{folder}/_cycle/watch/{said}")
 
     def through_state(flat: DataFrame) -> DataFrame:
@@ -178,7 +183,8 @@ def run_stream(
             write_once(spark.createDataFrame([], schema), f"{folder}/_cycle/{kind}/start")
             told[kind] = spark.readStream.schema(schema).json(f"{folder}/_cycle/{kind}/*")
         known = marks.known_videos(store, first_batch)
-        return marks.hold_back(marks.events(flat, **told), known)
+        passed = marks.hold_back(marks.events(flat, **told), known)
+        return passed.replace("late", "comments", "kind") if keep_late else passed
 
     for kind in landing.FOLDERS:
         empty = spark.createDataFrame([], T.StructType.fromDDL(landing.FOLDERS[kind]))

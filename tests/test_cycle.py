@@ -288,3 +288,68 @@ def test_keyed_state_ends_like_one_batch(spark, one_batch, tmp_path):
     # a mark for each video that has rows; the first batch also puts down what waits, with a timer, as one list
     assert updated[1] < updated[0]
     assert len(store.current("video_info").where("video_id = 'found' and is_active = 1").collect()) == 1
+
+
+def label_counts(store, model=1):
+    rows = store.current("video_stats").where(f"model_id = {model}").collect()
+    return {
+        r["video_id"]: {"pos": r["pos_count"], "neg": r["neg_count"], "neu": r["neu_count"], "likes": r["total_likes"]}
+        for r in rows
+        if r["pos_count"] + r["neg_count"] + r["neu_count"]
+    }
+
+
+@pytest.mark.parametrize("keyed", [False, True])
+def test_late_comments_correct_counters(spark, tmp_path, keyed):
+    """Comments land in any order, some again: as they were, with more likes, or reworded."""
+    comments = made(150)
+    order = random.Random(4).sample(comments, len(comments))
+    again = [{**c, "likes": c["likes"] + 50} for c in order[:20]]
+    again += [{**c, "text": "of of of"} for c in order[20:40]]
+    changed = {c["id"]: c for c in again}
+    store = start_store(spark, tmp_path / "state")
+    waves = [order[:60], order[60:110], order[110:] + again + order[40:55]]
+    for number, wave in enumerate(waves, start=1):
+        land(tmp_path / "landing", number, wave)
+        run_stream(
+            spark, str(tmp_path / "landing"), store, str(tmp_path / "check"), scoring.BUILT_IN, lambda n: AS_OF, 20,
+            keyed=keyed, keep_late=True,
+        ).awaitTermination()
+    final = [changed.get(c["id"], c) for c in comments]
+    assert label_counts(store) == expected_counts(final)
+    stored = {r["comment_id"]: r for r in store.current("raw_comments").where("model_id = 1").collect()}
+    assert {i: (r["comment_text"], r["likes"]) for i, r in stored.items()} == {
+        c["id"]: (c["text"], c["likes"]) for c in final
+    }
+    # what came again as it was is neither scored nor stored again
+    assert store.batch("raw_comments", 3).where("model_id = 1").count() == 40 + len(again)
+    marks = store.current("video_stats").where("model_id = 1").collect()
+    newest = {v: max(c["time"] for c in comments if c["video"] == v) for v in {c["video"] for c in comments}}
+    assert {r["video_id"]: r["last_sync_date"] for r in marks if r["video_id"] in newest} == newest
+    totals = store.versions("global_stats").where("model_id = 1 and batch_id = 3").first()
+    assert totals["total_likes"] == sum(c["likes"] for c in final)
+
+
+def test_late_comments_over_a_store_that_kept_no_account(spark, tmp_path):
+    """The account begins with the stored comments, also after a batch without one; a repeat changes nothing."""
+    comments = made(60)
+    store = start_store(spark, tmp_path / "state")
+
+    def cycle(number, rows, keep_late, counts=None):
+        folder = tmp_path / f"landing{number}"
+        land(folder, number, rows, counts)
+        pages = batch(spark, folder)
+        take_in(store, number, pages, scoring.BUILT_IN, AS_OF, 20, keep_late=keep_late)
+
+    more = [{**c, "likes": c["likes"] + 7} for c in comments[:10]]
+    cycle(1, comments[10:40], False)
+    cycle(2, comments[:10] + comments[12:20], True)
+    cycle(3, comments[40:], False)
+    assert not store.follows_counted(4) and store.current("counted_comments").isEmpty()
+    # no counts: only that a late comment changes something is a reason to fetch
+    cycle(4, more + comments[45:50], True, counts={})
+    before = tables(store, *schemas.STATE)
+    cycle(4, more + comments[45:50], True, counts={})
+    assert tables(store, *schemas.STATE) == before
+    assert label_counts(store) == expected_counts(more + comments[10:])
+    assert store.current("counted_comments").count() == 2 * len(comments)
