@@ -11,8 +11,8 @@ The model is fitted on a bounded sample: per language at most about `SAMPLE` lab
 the hash of their ids; its table has `TABLE` cells per language, and languages are few. Prediction covers
 every whole text.
 
-Defined results: a missing text and one without a letter get `und`, score 0 and no spans; a text with no
-candidate language for any word gets `und`; ties go to the language that sorts first; rows without
+Defined results: a missing text and one without a letter get `und`, score 0 and no spans; a text with
+letters, but none in the script of a learned language, gets the language of its nearest grams, with score 0 and no spans; ties go to the language that sorts first; rows without
 language are not learned from; without any labelled text everything is `und`; repeated rows are labelled
 alike; extra columns pass through, those named as a result column are replaced.
 """
@@ -203,9 +203,9 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model:
     return Model(langs, table, strange)
 
 
-def word_scores(text: Text, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_scores(text: Text, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(scores per word and language, FAR where a script rules the language out; letters of each word;
-    the same where some language is possible, else 0)."""
+    the same where some language is possible, else 0; the language of the best grams, whatever the script)."""
     n, width = len(text.starts), len(model.langs)
     # a gram counts for the word of its first character, or of its second after a space
     sums = np.zeros((len(text.chars), width), np.float32)
@@ -216,22 +216,24 @@ def word_scores(text: Text, model: Model) -> tuple[np.ndarray, np.ndarray, np.nd
     letters = np.add.reduceat(script > 0, text.starts, dtype=np.int64)
     strange = np.add.reduceat(model.strange[script], text.starts, axis=0, dtype=np.int64) > 0
     possible = ~strange.all(1) & (letters > 0)
+    nearest = scores.argmax(1)
     scores[strange] = FAR
     scores[~possible] = 0
-    return scores, letters, np.where(possible, letters, 0)
+    return scores, letters, np.where(possible, letters, 0), nearest
 
 
 def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
     """Best language of each word, all texts at once: step t takes word t of every text that has one."""
     n, width = scores.shape
-    came = np.zeros((n, width), np.uint8)
+    state_type = np.min_scalar_type(max(width - 1, 0))
+    came = np.zeros((n, width), state_type)
     lengths = np.diff(first)
     order = np.argsort(-lengths, kind="stable")
     begins, lengths = first[:-1][order], lengths[order]
     longest = int(lengths[0]) if len(lengths) else 0
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
     best = np.zeros((len(lengths), width), np.float32)
-    stay = np.arange(width, dtype=np.uint8)
+    stay = np.arange(width, dtype=state_type)
     for t in range(longest):
         k = active[t]
         at = begins[:k] + t
@@ -240,11 +242,11 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
             top = past.argmax(1)
             value = past[np.arange(k), top] - penalty
             switch = value[:, None] > past
-            came[at] = np.where(switch, top[:, None].astype(np.uint8), stay)
+            came[at] = np.where(switch, top[:, None].astype(state_type), stay)
             best[:k] = np.where(switch, value[:, None], past) + scores[at]
         else:
             best[:k] = scores[at]
-    path = np.zeros(n, np.uint8)
+    path = np.zeros(n, state_type)
     state = np.zeros(len(lengths), np.int64)
     for t in range(longest - 1, -1, -1):
         k = active[t]
@@ -257,7 +259,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray
 
 
 def scored_words(texts: list[bytes], model: Model):
-    """Of all words: scores, letters, letters if any language is possible, start and end in their text;
+    """Of all words: scores, letters, letters if any language is possible, nearest language, start and end in their text;
     and the first word of each text. Read in parts, so that arrays over characters stay small."""
     columns, first = [], [np.zeros(1, np.int64)]
     for _, part in byte_chunks(texts, PART):
@@ -272,24 +274,30 @@ def scored_words(texts: list[bytes], model: Model):
 
 
 def label(texts: list[bytes], model: Model, penalty: float):
-    """(language index or -1, score, span starts, span ends, span languages, spans' first) of texts."""
+    """(language index or -1, score, span starts, span ends, span languages, spans' first) of texts.
+
+    A text with letters, none of them in the script of a known language, gets the language of its words' best grams
+    by number of letters, with score 0 and no spans.
+    """
     rows = len(texts)
     found = scored_words(texts, model) if model.langs else None
     if found is None:
         none = np.zeros(0, np.int64)
         return np.full(rows, -1), np.zeros(rows), none, none, none, np.zeros(rows + 1, np.int64)
-    scores, letters, known, starts, ends, first = found
+    scores, letters, known, nearest, starts, ends, first = found
     path = viterbi(scores, first, penalty).astype(np.int64)
     width = len(model.langs)
     row = np.repeat(np.arange(rows), np.diff(first))
     share = np.bincount(row * width + path, known, rows * width).reshape(rows, width)
     total = np.bincount(row, letters, rows)
-    lang = np.where(share.max(1) > 0, share.argmax(1), -1)
-    score = np.where(lang >= 0, share.max(1) / np.maximum(total, 1), 0.0)
+    foreign = np.bincount(row * width + nearest, letters, rows * width).reshape(rows, width)
+    fallback = np.where(total > 0, foreign.argmax(1), -1)
+    lang = np.where(share.max(1) > 0, share.argmax(1), fallback)
+    score = share.max(1) / np.maximum(total, 1)
     new = np.append(True, (np.diff(path) != 0) | (np.diff(row) != 0))
     begin = np.flatnonzero(new)
     end = np.append(begin[1:], len(path)) - 1
-    shown = lang[row[begin]] >= 0
+    shown = score[row[begin]] > 0
     begin, end = begin[shown], end[shown]
     counts = np.bincount(row[begin], minlength=rows)
     return lang, score, starts[begin], ends[end], path[begin], np.append(0, np.cumsum(counts))

@@ -48,6 +48,22 @@ def test_viterbi_is_the_best_path():
         assert value(path[a:b]) == pytest.approx(best, abs=1e-4)
 
 
+def test_viterbi_with_many_languages():
+    scores = np.zeros((4, 300), np.float32)
+    scores[:, 290] = 1
+    scores[2, 299] = 9
+    first = np.array([0, 2, 4])
+    assert language.viterbi(scores, first, 2.0).tolist() == [290, 290, 299, 299]
+
+
+def test_a_foreign_script_gets_some_language(frame, model):
+    rows = language.identify(frame([(1, "สวัสดี ชาวโลก"), (2, "12 34"), (3, "สวัสดี " + text_of(LATIN, 9, 1))]), model).collect()
+    found = {r["doc_id"]: r for r in rows}
+    assert found[1]["lang_pred"] in model.langs and (found[1]["score"], found[1]["spans"]) == (0, [])
+    assert (found[2]["lang_pred"], found[2]["score"]) == ("und", 0)
+    assert found[3]["lang_pred"] == "en" and 0 < found[3]["score"] < 1
+
+
 def test_odd_rows(frame, model):
     docs = frame(ODD_ROWS)
     rows = language.identify(docs, model).collect()
