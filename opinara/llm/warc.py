@@ -15,7 +15,7 @@ Files are opened by Arrow's file systems (local, S3, GCS, HDFS), named by their
 
 Defined results: a missing html is an empty payload; a missing url has no target; a missing page id writes
 a record without id, which is a response unless it shares a payload with a page that has one; rows that
-repeat an id and a payload are responses both; other columns are ignored; an empty table gives no archive.
+repeat an id and a payload are responses both, under one record id, as either serves a revisit; other columns are ignored; an empty table gives no archive.
 """
 
 from __future__ import annotations
@@ -60,22 +60,29 @@ def header_block(first: str, fields: list[tuple[str, str | None]]) -> bytes:
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
 
 
+def record_id(page_id: int, payload_digest: str) -> str:
+    """Id of the response that holds a page's payload, known to the revisits of other pages too."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{URN}{page_id}:{payload_digest}')}>"
+
+
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, date: str) -> bytes:
     """The bytes of one record, not yet packed."""
     http = header_block("HTTP/1.1 200 OK", [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(payload)))])
-    revisit = refers_to is not None
+    revisit, sha1 = refers_to is not None, digest(payload)
+    named = page_id is not None and not revisit
     block = http if revisit else http + payload
     head = header_block(
         "WARC/1.1",
         [
             ("WARC-Type", "revisit" if revisit else "response"),
-            ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{URN}{page_id}')}>"),
+            ("WARC-Record-ID", record_id(page_id, sha1) if named else f"<urn:uuid:{uuid.uuid4()}>"),
             ("WARC-Date", date),
             ("WARC-Target-URI", None if url is None else quote(url, safe="!#$%&'()*+,/:;=?@[]~")),
             ("WARC-Page-ID", None if page_id is None else str(page_id)),
-            ("WARC-Payload-Digest", f"sha1:{digest(payload)}"),
+            ("WARC-Payload-Digest", f"sha1:{sha1}"),
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if revisit else None),
-            ("WARC-Refers-To", f"<{URN}{refers_to}>" if revisit else None),
+            ("WARC-Refers-To", record_id(refers_to, sha1) if revisit else None),
+            ("WARC-Refers-To-Page-ID", str(refers_to) if revisit else None),
             ("Content-Type", "application/http; msgtype=response"),
             ("Content-Length", str(len(block))),
         ],
@@ -207,14 +214,14 @@ def parse(data: bytes) -> dict:
     http, _, payload = block.partition(b"\r\n\r\n")
     length = int(fields_of(http).get("content-length", len(payload)))
     revisit = fields["warc-type"] == "revisit"
-    page, refers = fields.get("warc-page-id"), fields.get("warc-refers-to")
+    page, refers = fields.get("warc-page-id"), fields.get("warc-refers-to-page-id")
     return {
         "record_type": fields["warc-type"],
         "page_id": None if page is None else int(page),
         "url": fields.get("warc-target-uri"),
         "payload_bytes": length if revisit else len(payload),
         "payload_digest": fields["warc-payload-digest"].removeprefix("sha1:") if revisit else digest(payload),
-        "refers_to": None if refers is None else int(refers.strip("<>").removeprefix(URN)),
+        "refers_to": None if refers is None else int(refers),
         "payload": None if revisit else payload,
     }
 

@@ -59,6 +59,21 @@ def test_archives_are_plain_gzip_and_roll_over(spark, tmp_path):
             assert g.read().startswith(b"WARC/1.1\r\nWARC-Type: ")
 
 
+def test_revisits_name_a_record_of_the_archives(spark, tmp_path):
+    rows = [r for i, r in enumerate(ROWS) if r not in ROWS[:i]]
+    files = warc.write_archives(pages(spark, rows), str(tmp_path / "w"), DATE).collect()
+    heads = []
+    for f in files:
+        source = warc.Source(f["path"])
+        heads += [warc.fields_of(d.partition(b"\r\n\r\n")[0]) for _, d in warc.records_in(source, 0, source.size)]
+    pages_of = {h["warc-record-id"]: h.get("warc-page-id") for h in heads}
+    assert len(pages_of) == len(heads) == len(rows)
+    revisits = [h for h in heads if h["warc-type"] == "revisit"]
+    assert len(revisits) == 3
+    for h in revisits:
+        assert pages_of[h["warc-refers-to"]] == h["warc-refers-to-page-id"]
+
+
 def test_places_that_only_look_like_a_start(tmp_path):
     data = warc.packed(warc.record(1, "u", b"one", None, "d"))
     false = warc.MAGIC + b"\x00" * 20
