@@ -161,7 +161,8 @@ def _first_by_hash(rows: DataFrame, take: DataFrame, strata: int) -> DataFrame:
 
 
 def preview(sample: DataFrame, n: int = 5) -> DataFrame:
-    return sample.limit(n)
+    """The first rows of a sample, by stratum and comment."""
+    return sample.orderBy("strata", "comment_id", "likes").limit(n)
 
 
 def annotation_sheet(sample: DataFrame) -> DataFrame:

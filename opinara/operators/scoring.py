@@ -36,6 +36,8 @@ class Model:
 
     ``window`` is the input limit of a Python model in blank-separated tokens: a longer text is
     weighed in consecutive windows of that size, and their sum gives its label. No text is cut short.
+
+    ``version`` tells kept scores of other weights apart.
     """
 
     name: str
@@ -44,6 +46,7 @@ class Model:
     factory: Callable[[], Scorer] | None = None
     window: int | None = None
     batch_size: int = 8
+    version: str = "1"
 
 
 THREE_CLASS = Model("three-class", feature=lexicon.balance, label=lexicon.three_class)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opinara.functions import clean
-from opinara.operators import keyed
+from opinara.operators import keyed, selection
 
 # Days a video is followed in full, and days until it is given up.
 FULL_DAYS = 3
@@ -96,12 +96,13 @@ def free_slots(active_videos: DataFrame, limit: int) -> int:
     return max(0, limit - counted)
 
 
-def newest_found(found: DataFrame, slots: int) -> DataFrame:
-    """The newest discovered videos, as many as there are slots; each takes one, however often found."""
+def newest_found(found: DataFrame, slots: int, one_task: int = selection.ONE_TASK) -> DataFrame:
+    """The newest discovered videos, as many as there are slots; each takes one, however often found. With more
+    slots than ``one_task`` they are selected by ranges."""
     rest = [c for c in found.columns if c not in ("video_id", "published_at")]
     newest = F.max(F.struct("published_at", *rest)).alias("row")
     once = found.groupBy("video_id").agg(newest).select("video_id", "row.*").select(*found.columns)
-    return once.orderBy(F.desc_nulls_last("published_at"), F.asc("video_id")).limit(slots)
+    return selection.first_rows(once, [F.desc_nulls_last("published_at"), F.asc("video_id")], slots, one_task)
 
 
 def register(video_info: DataFrame, found: DataFrame, as_of: datetime) -> DataFrame:

@@ -526,6 +526,11 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         f"""select video_id, md5(title) as title, channel_id, channel_name,
           {shown("published_at")} as published_at from added""",
     ),
+    "free_slots_by_ranges": (
+        "",
+        f"""select video_id, md5(title) as title, channel_id, channel_name,
+          {shown("published_at")} as published_at from added""",
+    ),
     "register_videos": (
         """joined as (
             select coalesce(v.video_id, f.video_id) as video_id, coalesce(f.channel_id, v.channel_id) as channel_id,
@@ -656,6 +661,13 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         """select comment_id, case model_id when 1 then 'py-three-class' else 'py-five-star' end as model_name,
           sentiment_label, false as score_failed from wave_labels""",
     ),
+    "score_store": (
+        """asked as (select text, bool_or(event_id % 2 = 0) as early from comments_raw group by text),
+          times as (select count(*) filter (where early) as scored_first,
+                           count(*) filter (where not early) as scored_second from asked)""",
+        """select comment_id, case model_id when 1 then 'py-three-class' else 'py-five-star' end as model_name,
+          sentiment_label, false as score_failed, scored_first, scored_second from wave_labels, times""",
+    ),
     "label_pivot": (
         "",
         """select comment_id, md5(comment_text) as comment_text, likes, video_id, sentiment_model_1,
@@ -676,6 +688,11 @@ STATEMENTS: dict[str, tuple[str, str]] = {
         f"""select {FRAME}, '' as human_sentiment, false as is_sarcasm
           from placed join quotas using (strata) where place <= quota""",
     ),
+    "sample_preview": (
+        FIRST_SAMPLE,
+        f"""select {FRAME}, '' as human_sentiment, false as is_sarcasm
+          from placed join quotas using (strata) where place <= quota order by strata, comment_id, likes limit 5""",
+    ),
     "annotation_sheet_job": (
         FIRST_SAMPLE,
         f"""select {FRAME}, cast(null as varchar) as human_sentiment, false as is_sarcasm

@@ -24,6 +24,7 @@ from opinara.plans import fixtures as fx
 from opinara.plans import jobs, landed
 from opinara.runtime import scratch_dir
 from opinara.sources import export, gold as gold_file, landing
+from opinara.sources.scores import ScoreStore
 from opinara.sources.state import StateTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,7 +259,7 @@ def stamp_videos(spark, sf_dir):
     return _video_core(videos.stamp_checked(fx.videos_raw(spark, sf_dir), listed, fx.AS_OF))
 
 
-def _slots(spark, sf_dir):
+def _slots(spark, sf_dir, **how):
     info = fx.videos_raw(spark, sf_dir)
     limit = fx.events(spark, sf_dir).select("user_id").distinct().count()
     found = landing.flatten_search(landed.search_pages(spark, sf_dir))
@@ -266,7 +267,7 @@ def _slots(spark, sf_dir):
     older = F.col("published_at") - F.expr("interval 9 hours")
     found = found.union(found.withColumn("published_at", older).withColumn("title", F.lit("old")))
     slots = videos.free_slots(videos.active(info), limit)
-    return info, videos.newest_found(found, slots)
+    return info, videos.newest_found(found, slots, **how)
 
 
 @query
@@ -274,6 +275,12 @@ def free_slots(spark, sf_dir):
     return _slots(spark, sf_dir)[1].withColumn("title", F.md5("title"))
 
 
+@query
+def free_slots_by_ranges(spark, sf_dir):
+    """The same where more slots are free than one task should fill."""
+    return _slots(spark, sf_dir, one_task=0)[1].withColumn("title", F.md5("title"))
+
+
 @query
 def register_videos(spark, sf_dir):
     info, added = _slots(spark, sf_dir)
@@ -485,6 +492,21 @@ def score_copies_once(spark, sf_dir):
     return scoring.by_model(scored.drop("text"))
 
 
+@query
+def score_store(spark, sf_dir):
+    """Every other comment is scored first; then all of them, of whose texts the store knows many by then. With
+    ``scored`` how many texts each batch has scored by each model."""
+    rows = fx.comments_raw(spark, sf_dir).select("comment_id", "event_id", "text")
+    store = ScoreStore(spark, scratch_dir(spark, "scores"))
+    models = python_models()
+    store.score(rows.where(F.col("event_id") % 2 == 0), models, 1, "comment_id", "text")
+    scored = scoring.by_model(store.score(rows, models, 2, "comment_id", "text").drop("text", "event_id"))
+    runs = store.run_sizes()
+    sizes = F.create_map(*[F.lit(x) for pair in sorted(runs.items()) for x in pair])
+    first, second = (F.element_at(sizes, F.concat_ws("/", F.lit(n), "model_name")) for n in ("1", "2"))
+    return scored.withColumns({"scored_first": first, "scored_second": second})
+
+
 # --- annotation sample ---------------------------------------------------------------------------
 
 
@@ -523,6 +545,12 @@ def stratified_sample(spark, sf_dir):
     return _hashed_text(sampling.annotation_sheet(sample))
 
 
+@query
+def sample_preview(spark, sf_dir):
+    sample = sampling.annotation_sheet(sampling.stratified_sample(_frame(spark, sf_dir)))
+    return _hashed_text(sampling.preview(sample))
+
+
 @query
 def annotation_sheet_job(spark, sf_dir):
     """The annotation job over stored versions; every fourth comment comes again under another video."""

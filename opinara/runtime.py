@@ -92,11 +92,15 @@ def replace_small(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"{path} could not be put in place")
 
 
+def is_complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder was written to the end."""
+    done, system = _on_storage(spark, f"{folder}/_SUCCESS")
+    return system.exists(done)
+
+
 def write_once(df: DataFrame, folder: str) -> None:
     """Write JSON rows to a folder unless that has been done to the end before."""
-    spark = df.sparkSession
-    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+    if not is_complete(df.sparkSession, folder):
         df.write.mode("overwrite").json(folder)
 
 

@@ -123,6 +123,7 @@ def take_in(
     max_active: int,
     give_back: Callable[[DataFrame], None] | None = None,
     keep_late: bool = False,
+    scores: str | None = None,
 ) -> datetime:
     """One monitoring cycle over landed rows, from a stream or from a plain read.
 
@@ -130,7 +131,7 @@ def take_in(
     """
     staged = stage(rows, store.work(batch_id, "landed"))
     as_of = store.batch_time(batch_id, as_of)
-    run_cycle(store, batch_id, split(staged), models, as_of, max_active, give_back, keep_late)
+    run_cycle(store, batch_id, split(staged), models, as_of, max_active, give_back, keep_late, scores)
     return as_of
 
 
@@ -147,6 +148,7 @@ def run_stream(
     options: dict | None = None,
     keyed: bool = False,
     keep_late: bool = False,
+    scores: str | None = None,
 ) -> StreamingQuery:
     """Start the intake. By default it takes what has landed and ends, as a scheduled run would.
 
@@ -160,20 +162,21 @@ def run_stream(
 
     With ``keep_late`` pages may land in any time order: late comments are taken in, and counters are corrected where
     a comment comes again changed. The first such batch over an older store reads its stored comments once.
+    ``scores`` names a folder that keeps scores of Python models: a text that comes again is not scored again.
     """
 
     def one_cycle(batch: DataFrame, epoch: int) -> None:
         batch_id = epoch + first_batch
         state = StateTables(batch.sparkSession, store.root)
         if not keyed:
-            take_in(state, batch_id, batch, models, as_of(batch_id), max_active, keep_late=keep_late)
+            take_in(state, batch_id, batch, models, as_of(batch_id), max_active, None, keep_late, scores)
             return
         said = f"batch-{batch_id:09}"
 
         def give_back(unread: DataFrame) -> None:
             write_once(marks.as_waiting(unread), f"{folder}/_cycle/returned/{said}")
 
-        time = take_in(state, batch_id, batch, models, as_of(batch_id), max_active, give_back, keep_late)
+        time = take_in(state, batch_id, batch, models, as_of(batch_id), max_active, give_back, keep_late, scores)
         write_once(marks.word(state, batch_id, time), f"{folder}/_cycle/watch/{said}")
 
     def through_state(flat: DataFrame) -> DataFrame:
