@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from opinara.llm import bloom
 from opinara.llm.common import as_list_array, byte_chunks, row_key, text_bytes
 from opinara.llm.tokens import Words, mix, powers, segment_hash, words
-from opinara.runtime import cut_lineage
+from opinara.runtime import clear, cut_lineage, scratch_dir
 
 MIN_WORDS = 30
 SECOND = np.uint64(0xA0761D6478BD642F)
@@ -121,9 +122,19 @@ def window_digests(allowed, min_words: int) -> object:
 
 def repeating(spark, counted: DataFrame) -> object:
     """Broadcast filter of the half digests (h1) that occur twice or more."""
-    twice = cut_lineage(counted.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"))
+    folder = scratch_dir(spark, "twice")
+    twice = counted.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1")
+    twice = cut_lineage(twice, folder)
+    filled = filter_of(twice, "h1")
+    clear(spark, folder)
+    return filled
+
+
+def filter_of(table: DataFrame, column: str) -> object:
+    """Broadcast Bloom filter of a written table's hashes, sized by their number within bounds."""
     low, high = FILTER_BITS
-    return spark.sparkContext.broadcast(bloom.build(twice, "h1", min(high, max(low, (16 * twice.count()).bit_length()))))
+    filled = bloom.build(table, column, min(high, max(low, (16 * table.count()).bit_length())))
+    return table.sparkSession.sparkContext.broadcast(filled)
 
 
 def shared_units(docs: DataFrame, allowed, wide, min_words: int) -> DataFrame:
@@ -246,12 +257,22 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     names=["row", "kept", "starts", "ends"],
                 )
 
-    lists = later_units(docs, min_words)
+    lists = cut_lineage(later_units(docs, min_words))
+    # texts that are surely not listed stay as they are and are not shuffled
+    allowed = filter_of(lists, "key")
+
+    @F.pandas_udf("boolean")
+    def listed(keys: pd.Series) -> pd.Series:
+        out = np.zeros(len(keys), bool)
+        out[bloom.possible(allowed.value, keys.to_numpy(np.int64).view(np.uint64))] = True
+        return pd.Series(out)
+
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in ("text_kept", "removed")])
+    keyed = docs.select(row_key().alias("key"), row.alias("row")).withColumn("listed", listed("key"))
     joined = (
-        docs.select(row_key().alias("key"), row.alias("row"), text_bytes().alias("t"))
-        .join(lists, "key", "left")
-        .select("row", "later", "t")
+        keyed.where("listed")
+        .join(lists.hint("merge"), "key", "left")
+        .select("row", "later", F.coalesce("row.text", F.lit("")).cast("binary").alias("t"))
     )
     kind = joined.schema["row"].dataType.simpleString()
     out = joined.mapInArrow(
@@ -260,11 +281,17 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     removed = F.transform(
         F.arrays_zip("starts", "ends"), lambda x: F.struct(x["starts"].alias("start"), x["ends"].alias("end"))
     )
-    return out.select(
+    stripped = out.select(
         "row.*",
         F.when(F.col("row.text").isNotNull(), F.col("kept")).alias("text_kept"),
         removed.alias("removed"),
     )
+    whole = keyed.where(~F.col("listed")).select(
+        "row.*",
+        F.col("row.text").alias("text_kept"),
+        F.array().cast("array<struct<start: bigint, end: bigint>>").alias("removed"),
+    )
+    return stripped.unionByName(whole)
 
 
 def substring_stage(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
