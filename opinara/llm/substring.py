@@ -35,6 +35,7 @@ MIN_WORDS = 30
 SECOND = np.uint64(0xA0761D6478BD642F)
 WINDOW, RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x8EBC6AF09C88C6E3)
 FILTER_BITS = (25, 26)
+PART = 1 << 19  # bytes of texts read at once; arrays of eight bytes to each stand beside them
 ENDINGS = np.zeros(256, bool)
 ENDINGS[[ord(c) for c in ".!?"]] = True
 
@@ -94,7 +95,7 @@ def digests(min_words: int) -> object:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, texts in byte_chunks(batch.column(0)):
+            for _, texts in byte_chunks(batch.column(0), PART):
                 run = words(texts)
                 found = [segment_hash(run.hashes, unit_sizes(run)[0]), window_minima(run, min_words)[2]]
                 found, times = np.unique(np.concatenate(found), return_counts=True)
@@ -109,7 +110,7 @@ def window_digests(allowed, min_words: int) -> object:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, texts in byte_chunks(batch.column(0)):
+            for _, texts in byte_chunks(batch.column(0), PART):
                 run = words(texts)
                 begin, least, _ = window_minima(run, min_words)
                 begin = begin[bloom.possible(allowed.value, least)]
@@ -144,7 +145,7 @@ def shared_units(docs: DataFrame, allowed, wide, min_words: int) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, ids = batch.column(0).to_numpy(False), batch.column(1)
-            for first, texts in byte_chunks(batch.column(2)):
+            for first, texts in byte_chunks(batch.column(2), PART):
                 run = words(texts)
                 sizes, units = unit_sizes(run)
                 h1, h2 = segment_hash(run.hashes, sizes), segment_hash(run.hashes, sizes, SECOND)
@@ -240,7 +241,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             later = batch.column(1)
-            for first, texts in byte_chunks(batch.column(2)):
+            for first, texts in byte_chunks(batch.column(2), PART):
                 mine = [
                     np.array(later[first + i].as_py() or [], np.int64) for i in range(len(texts))
                 ]
