@@ -137,3 +137,42 @@ def test_pivot_splits_a_comment_whose_rows_differ(spark):
         ("b", 1, "positive", None),
         ("b", 2, None, "negative"),
     }
+
+
+def _versions(spark):
+    rows = [(1, f"c{i}", m, "v", f"t{i}", i, START, "positive") for i in range(40) for m in (1, 2)]
+    rows += [(2, f"c{i}", 1, "w", f"later {i}", i, None, "negative") for i in range(3)]
+    rows += [(n, "c0", None, "v", "legacy", 1, START, "positive") for n in (1, 2)]
+    rows += [(n, None, 1, "v", f"no id {n}", 1, START, "positive") for n in (1, 2)]
+    return spark.createDataFrame(rows, VERSION)
+
+
+def test_merge_deals_rows_out_before_it_sorts_texts_and_carries_each_once(spark, plan):
+    text = plan(comments.merge(_versions(spark)))
+    assert text.count("Exchange") == 1 and "REPARTITION_BY_COL" in text
+    assert "max_by(struct(comment_text" not in text
+    pivot = plan(comments.label_pivot(_versions(spark)))
+    assert pivot.count("Exchange") == 1 and "REPARTITION_BY_COL" in pivot
+
+
+def test_stored_versions_of_one_key_alone_are_shuffled(spark, plan, monkeypatch):
+    versions = _versions(spark)
+    expected = sorted(map(repr, comments.merge(versions).collect()))
+    stored = comments.merge_stored(versions)
+    text = plan(stored)
+    assert sorted(map(repr, stored.collect())) == expected
+    assert "LeftAnti" in text and text.count("Exchange hashpartitioning") == 1
+    monkeypatch.setattr(keyed, "BROADCAST_ROWS", 2)
+    assert sorted(map(repr, comments.merge_stored(versions).collect())) == expected
+
+
+def test_comments_that_come_once_are_not_shuffled(spark, plan, monkeypatch):
+    rows = [(f"c{i}", f"t{i}", 1, 0) for i in range(30)] + [("c3", "again", 2, 5), ("c3", "early", 0, 9)]
+    df = spark.createDataFrame(rows, "comment_id string, text string, page int, position int")
+    order = ["page", "position"]
+    expected = sorted(map(tuple, comments.drop_redelivered(df, order).collect()))
+    once = comments.each_once(df, order)
+    assert "LeftAnti" in plan(once) and plan(once).count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, once.collect())) == expected and once.columns == df.columns
+    monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, comments.each_once(df, order).collect())) == expected
