@@ -98,11 +98,22 @@ def free_slots(active_videos: DataFrame, limit: int) -> int:
 
 def newest_found(found: DataFrame, slots: int, one_task: int = selection.ONE_TASK) -> DataFrame:
     """The newest discovered videos, as many as there are slots; each takes one, however often found. With more
-    slots than ``one_task`` they are selected by ranges."""
+    slots than ``one_task`` they are selected by ranges.
+
+    They are selected by id and time; only rows that are among them go on with their titles. Up to ``one_task`` they
+    come in order.
+    """
+    order = [F.desc_nulls_last("published_at"), F.asc("video_id")]
+    latest = found.groupBy("video_id").agg(F.max("published_at").alias("published_at"))
+    chosen = selection.first_rows(latest, order, slots, one_task).toDF("_video", "_at")
+    if slots <= keyed.BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    same = [F.col("video_id").eqNullSafe(F.col("_video")), F.col("published_at").eqNullSafe(F.col("_at"))]
     rest = [c for c in found.columns if c not in ("video_id", "published_at")]
     newest = F.max(F.struct("published_at", *rest)).alias("row")
-    once = found.groupBy("video_id").agg(newest).select("video_id", "row.*").select(*found.columns)
-    return selection.first_rows(once, [F.desc_nulls_last("published_at"), F.asc("video_id")], slots, one_task)
+    once = found.join(chosen, same, "left_semi").groupBy("video_id").agg(newest)
+    once = once.select("video_id", "row.*").select(*found.columns)
+    return once.orderBy(*order) if slots <= one_task else once
 
 
 def register(video_info: DataFrame, found: DataFrame, as_of: datetime) -> DataFrame:
@@ -129,12 +140,12 @@ def merge(versions: DataFrame, order: str = "batch_id") -> DataFrame:
     return (
         versions.groupBy("video_id")
         .agg(
-            F.max_by(F.struct(*replaced), F.struct(order, "date_publication", *replaced)).alias("row"),
+            F.max(F.struct(order, F.col("date_publication").alias("_published"), *replaced)).alias("row"),
             keyed.last_filled("date_publication", order),
             keyed.last_filled("last_checked_at", order),
             keyed.last_filled("video_title_sentiment", order),
         )
-        .select("*", "row.*")
+        .select("*", *[f"row.{c}" for c in replaced])
         .select(*columns)
     )
 

@@ -79,3 +79,15 @@ def test_channels_keep_the_last_name(spark):
     df = spark.createDataFrame(rows, "channel_id string, channel_name string, batch_id int")
     out = {r.channel_id: r.channel_name for r in videos.merge_channels(df).collect()}
     assert out == {"c": "new", "d": "d"}
+
+
+def test_videos_are_selected_without_their_titles(spark, plan):
+    rows = [(f"v{i}", f"title {k}", AS_OF - timedelta(days=i % 9, hours=k)) for i in range(50) for k in range(2)]
+    found = spark.createDataFrame([*rows, ("undated", "x", None)], "video_id string, title string, published_at timestamp")
+    out = videos.newest_found(found, 20)
+    chosen = next(line for line in plan(out).splitlines() if "TakeOrderedAndProject" in line)
+    assert "title" not in chosen
+    once = {r.video_id: r for r in sorted(found.collect(), key=lambda r: (r.published_at or AS_OF.min, r.title))}
+    first = sorted(once.values(), key=lambda r: (r.published_at is None, r.published_at and AS_OF - r.published_at, r.video_id))
+    assert list(map(tuple, out.collect())) == list(map(tuple, first[:20]))
+    assert set(map(tuple, videos.newest_found(found, 60, one_task=0).collect())) == set(map(tuple, first))
