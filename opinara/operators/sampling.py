@@ -67,8 +67,9 @@ def annotation_frame_of_versions(
     A merged comment belongs to the video of its first version, so its id is among those; whether it is
     that video is asked again after the merge.
     """
-    held = stats.comments_of_top(versions, video_stats, top).select("comment_id").distinct()
-    merged = comments.merge(versions.join(held, "comment_id", "left_semi"))
+    held = cut_lineage(stats.comments_of_top(versions, video_stats, top).select("comment_id").distinct())
+    versions = keyed.lookup(versions, held, "comment_id", "comment_id", "left_semi", held.count())
+    merged = comments.merge(versions)
     return annotation_frame(merged, video_stats, top)
 
 

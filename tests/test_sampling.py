@@ -122,3 +122,20 @@ def test_sheet_has_blank_columns(spark):
     _, df = frame(spark, 5)
     r = sampling.annotation_sheet(df).first()
     assert (r.human_sentiment, r.is_sarcasm) == ("", False)
+
+
+def test_versions_of_top_videos_are_picked_by_a_broadcast(spark, plan, monkeypatch):
+    from opinara.operators import comments as ops
+    from opinara.plans import fixtures as fx
+
+    sf, seen = "/root/testdata/sf0.001", []
+    merge = ops.merge
+    monkeypatch.setattr(ops, "merge", lambda df: (seen.append(plan(df)), merge(df))[1])
+    versions = fx.raw_comments(spark, sf).withColumn("batch_id", F.lit(1))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        sampling.annotation_frame_of_versions(versions, fx.stats_now(spark, sf))
+    finally:
+        spark.conf.unset(threshold)
+    assert "BroadcastHashJoin [comment_id" in seen[0]
