@@ -136,3 +136,18 @@ def test_store_creation_leaves_tables_alone(spark, tmp_path):
     assert store.current("channel_info", 1).count() == 0
     for table, ddl in schemas.STATE.items():
         assert store.current(table).schema.simpleString() == schemas.struct(ddl).simpleString()
+
+
+def test_texts_are_packed_wherever_they_are_written(spark, tmp_path):
+    from opinara.plans import landed
+    from opinara.runtime import cut_lineage
+    from opinara.sources.state import StateTables
+
+    rows = spark.range(5).selectExpr("concat('c', id) comment_id", "'text' comment_text")
+    cut_lineage(rows, str(tmp_path / "table"))
+    StateTables(spark, str(tmp_path / "state")).create().write("raw_comments", rows, 1)
+    for folder in ("table", "state/raw_comments/batch_id=1"):
+        names = [p.name for p in (tmp_path / folder).glob("part-*")]
+        assert names and all(n.endswith(".zstd.parquet") for n in names)
+    landed.write(spark, {"comments": spark.range(3)}, str(tmp_path / "landing"))
+    assert all(p.name.endswith(".json.gz") for p in (tmp_path / "landing/comments").glob("part-*"))
