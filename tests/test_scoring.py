@@ -116,3 +116,20 @@ def test_texts_are_scored_in_one_place(spark, plan):
     text = plan(df)
     assert text.count("aggregate(split(") == 1
     assert "Python" not in text
+
+
+def test_python_models_get_small_batches_of_texts(spark):
+    """Of a batch from Arrow only the texts of one call are Python objects, and a batch holds few bytes."""
+    import pyarrow as pa
+
+    sizes = []
+
+    class Scorer:
+        def predict(self, texts):
+            sizes.append((type(texts), len(texts)))
+            return ["positive"] * len(texts)
+
+    model = scoring.Model("counting", factory=Scorer, batch_size=4)
+    assert scoring.predict_batches(model, pa.array(["x"] * 10)) == (["positive"] * 10, [False] * 10)
+    assert sizes == [(list, 4), (list, 4), (list, 2)]
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8m"
