@@ -36,6 +36,9 @@ SECOND = np.uint64(0xA0761D6478BD642F)
 WINDOW, RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x8EBC6AF09C88C6E3)
 FILTER_BITS = (25, 26)
 PART = 1 << 19  # bytes of texts read at once; arrays of eight bytes to each stand beside them
+DEALT = 1 << 19  # half digests of a task that are dealt at once
+BUCKET_BITS = 12
+DIGESTS = "bucket int, packed binary"
 ENDINGS = np.zeros(256, bool)
 ENDINGS[[ord(c) for c in ".!?"]] = True
 
@@ -90,42 +93,74 @@ def window_minima(run: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, n
     return first, least[first], runs[chosen == runs]
 
 
+def dealt(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(bucket, packed): half digests by their last bits, the bytes of one bucket in a row, at most two of each digest
+    among those dealt at once. The bits stand in front, so that a bucket is a run of sorted numbers."""
+    shift, rest = np.uint64(64 - BUCKET_BITS), np.uint64(BUCKET_BITS)
+
+    def rows(run: list[np.ndarray]) -> pa.RecordBatch:
+        values = np.concatenate(run)
+        values = np.sort(values << shift | values >> rest)
+        values = values[np.append(np.ones(min(2, len(values)), bool), values[2:] != values[:-2])]
+        bucket = (values >> shift).astype(np.int32)
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        places = (8 * np.append(first, len(values))).astype(np.int32)
+        packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(places), pa.py_buffer(values)])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[first]), packed], names=["bucket", "packed"])
+
+    run, size = [], 0
+    for part in found:
+        run.append(part)
+        size += len(part)
+        if size >= DEALT:
+            yield rows(run)
+            run, size = [], 0
+    if size:
+        yield rows(run)
+
+
+def met_again(bucket: pa.Table) -> pa.Table:
+    """For applyInArrow on a bucket: the half digests that stand in it twice or more."""
+    values = np.sort(np.frombuffer(b"".join(bucket.column("packed").to_pylist()), np.uint64))
+    values = np.unique(values[1:][values[1:] == values[:-1]])
+    values = values << np.uint64(BUCKET_BITS) | values >> np.uint64(64 - BUCKET_BITS)
+    return pa.table({"h1": values.view(np.int64)})
+
+
 def digests(min_words: int) -> object:
-    """For mapInArrow on texts: half digests of units, and of windows' smallest runs, at most two of each."""
+    """For mapInArrow on texts: half digests of units, and of windows' smallest runs."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
             for _, texts in byte_chunks(batch.column(0), PART):
                 run = words(texts)
-                found = [segment_hash(run.hashes, unit_sizes(run)[0]), window_minima(run, min_words)[2]]
-                found, times = np.unique(np.concatenate(found), return_counts=True)
-                found = np.repeat(found, np.minimum(times, 2))
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h1"])
+                yield segment_hash(run.hashes, unit_sizes(run)[0])
+                yield window_minima(run, min_words)[2]
 
-    return read
+    return lambda batches: dealt(read(batches))
 
 
 def window_digests(allowed, min_words: int) -> object:
-    """For mapInArrow on texts: half digests of the windows whose smallest runs repeat, at most two of each."""
+    """For mapInArrow on texts: half digests of the windows whose smallest runs repeat."""
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
             for _, texts in byte_chunks(batch.column(0), PART):
                 run = words(texts)
                 begin, least, _ = window_minima(run, min_words)
                 begin = begin[bloom.possible(allowed.value, least)]
-                found, times = np.unique(rolled(run.hashes, min_words, WINDOW)[begin], return_counts=True)
-                found = np.repeat(found, np.minimum(times, 2))
-                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["h1"])
+                yield rolled(run.hashes, min_words, WINDOW)[begin]
+
+    return lambda batches: dealt(read(batches))
 
-    return read
 
+def repeating(spark, found: DataFrame) -> object:
+    """Broadcast filter of the half digests that occur twice or more among dealt ones.
 
-def repeating(spark, counted: DataFrame) -> object:
-    """Broadcast filter of the half digests (h1) that occur twice or more."""
+    They are shuffled as bytes, eight for each. A bucket is one group: 4 MB of 30 GB of texts.
+    """
     folder = scratch_dir(spark, "twice")
-    twice = counted.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1")
-    twice = cut_lineage(twice, folder)
+    twice = cut_lineage(found.groupBy("bucket").applyInArrow(met_again, "h1 long"), folder)
     filled = filter_of(twice, "h1")
     clear(spark, folder)
     return filled
@@ -188,15 +223,17 @@ def later_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     the last pass shuffles little more than what repeats.
     """
     spark, texts = docs.sparkSession, docs.select(text_bytes().alias("t"))
-    allowed = repeating(spark, texts.mapInArrow(digests(min_words), "h1 long"))
-    wide = repeating(spark, texts.mapInArrow(window_digests(allowed, min_words), "h1 long"))
+    allowed = repeating(spark, texts.mapInArrow(digests(min_words), DIGESTS))
+    wide = repeating(spark, texts.mapInArrow(window_digests(allowed, min_words), DIGESTS))
     units = cut_lineage(shared_units(docs, allowed, wide, min_words))
     place = F.struct("doc_id", "key")
     # written, so that a digest of very many texts can be split when it is joined
     first = units.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.sum(F.size("places")).alias("n"))
-    first = cut_lineage(first.where("n > 1").drop("n"))
-    rest = F.when(place.eqNullSafe(F.col("first")), F.slice("places", 2, F.size("places"))).otherwise(F.col("places"))
-    later = units.join(first.hint("merge"), ["h1", "h2"]).select("key", rest.alias("places")).where(F.size("places") > 0)
+    first = cut_lineage(first.where("n > 1").select("h1", "h2", F.col("first.key").alias("first")))
+    # a key stands for its id too, which need not be shuffled again
+    rest = F.when(F.col("key") == F.col("first"), F.slice("places", 2, F.size("places"))).otherwise(F.col("places"))
+    later = units.drop("doc_id").join(first.hint("merge"), ["h1", "h2"]).select("key", rest.alias("places"))
+    later = later.where(F.size("places") > 0)
     return later.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("later"))
 
 
