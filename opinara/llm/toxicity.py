@@ -60,14 +60,19 @@ _SPELLED = re.compile(r"(?<!\S)\w(?:[ \t]\w){2,}(?!\S)")
 def words_of(text: str) -> set[str]:
     """The distinct words of a text, lower-cased, with the characters between their letters."""
     low = text.lower()
-    found = set(low.split())
-    if _SPELLED.search(low):
+    words = low.split()
+    found = set(words)
+    alone = [i for i, w in enumerate(words) if len(w) == 1]
+    # a spelled word is three letters in a row at least
+    if any(a + 2 == b for a, b in zip(alone, alone[2:], strict=False)):
         found.update("".join(m.group().split()) for m in _SPELLED.finditer(low))
     return found
 
 
 def units(word: str) -> list[str]:
     """A raw word without outer punctuation, and if others stand inside, also its letters alone."""
+    if word.isalnum():
+        return [word]
     plain = _EDGE.sub("", word)
     bare = _INNER.sub("", plain)
     return [plain] if bare == plain else [plain, bare] if plain else []
@@ -237,6 +242,12 @@ def features(scores: Iterable[float]) -> tuple[float, ...]:
     return sure[0], top[0], sum(sure) / 3, sum(top) / 3, 1.0
 
 
+def worst_word(words: list[str], scores: list[float]) -> str | None:
+    """The word of the highest score, None where no word has one; ties by the word, so that runs agree."""
+    top = max(scores, default=-1.0)
+    return max(w for w, s in zip(words, scores, strict=True) if s == top) if top > -1 else None
+
+
 def slipped(word: str, random: np.random.Generator) -> str:
     """The word with one character slipped in."""
     at = int(random.integers(1, max(2, len(word))))
@@ -385,29 +396,29 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), text_bytes().alias("t"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, known = shared.value, {}
+        machine, known, scored = shared.value, {}, {}
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
-                texts = [words_of(t.as_py().decode("utf-8", "replace")) for t in part.column(1)]
+                texts = [list(words_of(t.as_py().decode("utf-8", "replace"))) for t in part.column(1)]
                 if len(known) > CACHE:
                     known.clear()
-                new = [w for w in set().union(*texts) if w not in known]
-                parts = [units(w) for w in new]
-                flat = [u for p in parts for u in p]
-                scores = iter(np.concatenate(
-                    [machine.word_scores(flat[i : i + STEP]) for i in range(0, len(flat), STEP)] or [np.zeros(0)]
-                ).tolist())
-                for w, p in zip(new, parts, strict=True):
-                    known[w] = max((next(scores) for _ in p), default=-1.0)
-                values = np.array([features(known[w] for w in t) for t in texts]).reshape(-1, FEATURES)
-                # ties by the word, so that runs agree
-                worst = [max(((known[w], w) for w in t), default=(-1.0, None)) for t in texts]
+                    scored.clear()
+                parts = {w: units(w) for w in set().union(*texts) if w not in known}
+                new = list({u for p in parts.values() for u in p if u not in scored})
+                for i in range(0, len(new), STEP):
+                    own = new[i : i + STEP]
+                    scored.update(zip(own, machine.word_scores(own).tolist(), strict=True))
+                for w, p in parts.items():
+                    known[w] = max((scored[u] for u in p), default=-1.0)
+                scores = [list(map(known.__getitem__, t)) for t in texts]
+                values = np.array([features(sorted(s)[-3:]) for s in scores]).reshape(-1, FEATURES)
+                worst = [worst_word(t, s) for t, s in zip(texts, scores, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         pa.array(machine.probability(values), pa.float64()),
-                        pa.array([w if v > -1 else None for v, w in worst], pa.string()),
+                        pa.array(worst, pa.string()),
                     ],
                     names=["row", "score", "worst_word"],
                 )
