@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opinara.llm.common import as_list_array, byte_chunks, collect_arrays, text_bytes
+from opinara.llm.common import as_list_array, byte_chunks, collect_arrays, text_bytes, trimmed
 from opinara.llm.tokens import SPACE
 
 SAMPLE = 2000
@@ -39,7 +39,7 @@ PENALTY = 12.0
 SMOOTH = 0.05
 SCRIPT_SHARE = 0.01
 MIN_SCORE = 0.4
-CHUNK = 4 << 20  # bytes of the texts whose paths are found together
+CHUNK = 2 << 20  # bytes of the texts whose paths are found together
 PART = 1 << 19
 FAR = np.float32(-1e4)
 
@@ -162,6 +162,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE) -> Model:
     """Model from the documents that have a language."""
     langs, sample = sample_of(docs, per_language)
 
+    @trimmed
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -267,7 +268,10 @@ def scored_words(texts: list[bytes], model: Model):
         first.append(first[-1][-1] + text.first[1:])
         if len(text.starts):
             begins = np.repeat(text.begins, np.diff(text.first))
-            columns.append((*word_scores(text, model), text.starts - begins, text.ends - begins))
+            # a text holds less than 2^31 characters
+            places = (text.starts - begins, text.ends - begins)
+            scores, *numbers = word_scores(text, model)
+            columns.append((scores, *(x.astype(np.int32) for x in (*numbers, *places))))
     if not columns:
         return None
     return *(np.concatenate(x) for x in zip(*columns, strict=True)), np.concatenate(first)
@@ -311,17 +315,18 @@ def identify(docs: DataFrame, model: Model, penalty: float = PENALTY) -> DataFra
     row = F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row")
     given = docs.select(row, text_bytes().alias("t"))
 
+    @trimmed
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.langs, "und"], object)
         for batch in batches:
             # texts of like length together, as the path is found for all of a chunk step by step
             order = np.argsort(-np.array(pc.binary_length(batch.column(1)).to_numpy(False)), kind="stable")
-            batch = batch.take(pa.array(order))
-            for first, texts in byte_chunks(batch.column(1), CHUNK):
+            rows, given = batch.column(0), batch.column(1)
+            for first, texts in byte_chunks((given[i] for i in order.tolist()), CHUNK):
                 lang, score, start, end, of, bounds = label(texts, shared.value, penalty)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, len(texts)),
+                        rows.take(pa.array(order[first : first + len(texts)])),
                         pa.array(names[lang], pa.string()),
                         pa.array(score, pa.float64()),
                         as_list_array(start, bounds, pa.int64()),
