@@ -11,6 +11,10 @@ licence line stays.
 Windows are counted only where they may repeat: the smallest hash among a window's runs of half as many
 words is the same in each copy of the window, and these minima are counted first.
 
+Long copies do not cost a row per window. Windows are dealt to blocks, which begin where a hash of the words says
+so; a block that is not the first of its digest is one later stretch, and neither its windows nor the units within
+it are looked at, as the first block of the digest holds them all. The digest takes in where units end.
+
 Defined results: a missing or empty text has no units and stays as it is; a missing id ranks first;
 rows that repeat both id and text are the same document and lose the same spans; other columns pass
 through, whatever their names.
@@ -19,6 +23,7 @@ through, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,6 +39,8 @@ from opinara.runtime import clear, cut_lineage, scratch_dir
 MIN_WORDS = 30
 SECOND = np.uint64(0xA0761D6478BD642F)
 WINDOW, RUN = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x8EBC6AF09C88C6E3)
+BLOCK, END = np.uint64(0xE7037ED1A0B428DB), np.uint64(0x589965CC75374CC3)
+BLOCK_WINDOWS = np.uint64(16)  # in a block, on average
 FILTER_BITS = (25, 26)
 PART = 1 << 19  # bytes of texts read at once; arrays of eight bytes to each stand beside them
 DEALT = 1 << 19  # half digests of a task that are dealt at once
@@ -74,6 +81,57 @@ def sliding(best: np.ufunc, values: np.ndarray, n: int) -> np.ndarray:
     return best(values[: len(values) - rest], values[rest:])
 
 
+@dataclass
+class Blocks:
+    """Blocks of windows: words begin to end, of which `windows` windows begin within the block."""
+
+    begin: np.ndarray
+    end: np.ndarray
+    windows: np.ndarray
+    text: np.ndarray
+    values: np.ndarray  # of all words, changed where a unit ends
+
+    def digest(self, step: np.uint64) -> np.ndarray:
+        """Hash of each block's words and of where units end in it."""
+        sums = np.append(np.uint64(0), np.cumsum(self.values * powers(step, len(self.values))))
+        back = powers(np.uint64(pow(int(step), -1, 1 << 64)), len(sums))[self.begin]
+        return mix((sums[self.end] - sums[self.begin]) * back + (self.end - self.begin).astype(np.uint64))
+
+    def known(self, allowed: np.ndarray, firsts: np.ndarray, h1: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether each block is surely not in the first text of its digest. keys: of the texts."""
+        out = np.zeros(len(h1), bool)
+        out[bloom.possible(allowed, h1)] = True
+        out[bloom.possible(firsts, h1 ^ keys[self.text])] = False
+        return out
+
+    def of_windows(self, known: np.ndarray) -> np.ndarray:
+        """First words of the windows in blocks that are not known."""
+        size = np.where(known, 0, self.windows)
+        return np.repeat(self.begin - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+
+    def hold(self, known: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Whether each unit of the given sizes lies in a known block behind another unit's end."""
+        if not len(self.begin):
+            return np.zeros(len(sizes), bool)
+        end = np.cumsum(sizes)
+        at = np.searchsorted(self.begin, end - sizes - 1, side="right") - 1
+        return (at >= 0) & known[at] & (end <= self.end[at])
+
+
+def blocks_of(run: Words, sizes: np.ndarray, min_words: int) -> Blocks:
+    """The blocks of all texts; sizes: of their units. Each window lies in one block."""
+    text = run.text_of_word()
+    values = run.hashes.copy()
+    values[np.cumsum(sizes) - 1] ^= END
+    size = max(0, len(text) - min_words + 1)
+    first = np.flatnonzero(text[:size] == text[len(text) - size :])
+    runs = rolled(run.hashes, (min_words + 1) // 2, RUN)[first]
+    opens = (runs % BLOCK_WINDOWS == 0) | (np.diff(text[first], prepend=-1) != 0)
+    begin = first[opens]
+    windows = np.diff(np.flatnonzero(np.append(opens, True)))
+    return Blocks(begin, begin + windows + min_words - 1, windows, text[begin], values)
+
+
 def window_minima(run: Words, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First words of the windows within one text, the smallest hash among each one's runs, and the hashes
     of all runs that are the smallest of a window."""
@@ -128,27 +186,33 @@ def met_again(bucket: pa.Table) -> pa.Table:
 
 
 def digests(min_words: int) -> object:
-    """For mapInArrow on texts: half digests of units, and of windows' smallest runs."""
+    """For mapInArrow on texts: half digests of units, of blocks, and of windows' smallest runs."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
             for _, texts in byte_chunks(batch.column(0), PART):
                 run = words(texts)
-                yield segment_hash(run.hashes, unit_sizes(run)[0])
+                sizes = unit_sizes(run)[0]
+                yield segment_hash(run.hashes, sizes)
                 yield window_minima(run, min_words)[2]
+                yield blocks_of(run, sizes, min_words).digest(BLOCK)
 
     return lambda batches: dealt(read(batches))
 
 
-def window_digests(allowed, min_words: int) -> object:
-    """For mapInArrow on texts: half digests of the windows whose smallest runs repeat."""
+def window_digests(allowed, firsts, min_words: int) -> object:
+    """For mapInArrow on keys and texts: half digests of the windows whose smallest runs repeat, of known blocks none."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
-            for _, texts in byte_chunks(batch.column(0), PART):
+            keys = batch.column(0).to_numpy(False).view(np.uint64)
+            for row, texts in byte_chunks(batch.column(1), PART):
                 run = words(texts)
-                begin, least, _ = window_minima(run, min_words)
-                begin = begin[bloom.possible(allowed.value, least)]
+                block = blocks_of(run, unit_sizes(run)[0], min_words)
+                known = block.known(allowed.value, firsts.value, block.digest(BLOCK), keys[row : row + len(texts)])
+                first, least, _ = window_minima(run, min_words)
+                begin = block.of_windows(known)
+                begin = begin[bloom.possible(allowed.value, least[np.searchsorted(first, begin)])]
                 yield rolled(run.hashes, min_words, WINDOW)[begin]
 
     return lambda batches: dealt(read(batches))
@@ -173,67 +237,113 @@ def filter_of(table: DataFrame, column: str) -> object:
     return table.sparkSession.sparkContext.broadcast(filled)
 
 
-def shared_units(docs: DataFrame, allowed, wide, min_words: int) -> DataFrame:
-    """(h1, h2, key, doc_id, places): per text and digest that may occur elsewhere too, its places: twice the
-    number of a unit, or twice the number of a window's first word and one."""
+def grouped(
+    row: np.ndarray, h1: np.ndarray, h2: np.ndarray, places: np.ndarray, keys: np.ndarray, ids: pa.Array
+) -> pa.RecordBatch:
+    """One row for each text and digest, with its places in order."""
+    order = np.lexsort((h2, h1, row))
+    places, row, h1, h2 = (x[order] for x in (places, row, h1, h2))
+    new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (h1 != np.roll(h1, 1)) | (h2 != np.roll(h2, 1)))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(h1[new].view(np.int64)),
+            pa.array(h2[new].view(np.int64)),
+            pa.array(keys[row[new]].view(np.int64)),
+            ids.take(pa.array(row[new])),
+            as_list_array(places, np.append(new, len(places)), pa.int64()),
+        ],
+        names=["h1", "h2", "key", "doc_id", "places"],
+    )
+
+
+def located(docs: DataFrame, find) -> DataFrame:
+    """(h1, h2, key, doc_id, places): per text and digest its places, as ``find(words, keys)`` gives them with
+    their texts and digests."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, ids = batch.column(0).to_numpy(False), batch.column(1)
+            keys, ids = batch.column(0).to_numpy(False).astype(np.int64).view(np.uint64), batch.column(1)
             for first, texts in byte_chunks(batch.column(2), PART):
-                run = words(texts)
-                sizes, units = unit_sizes(run)
-                h1, h2 = segment_hash(run.hashes, sizes), segment_hash(run.hashes, sizes, SECOND)
-                found = bloom.possible(allowed.value, h1)
-                w1, text = rolled(run.hashes, min_words, WINDOW), run.text_of_word()
-                begin = bloom.possible(wide.value, w1)
-                begin = begin[text[begin] == text[begin + min_words - 1]]
-                row = np.repeat(np.arange(len(texts)), np.diff(units))[found]
-                at = text[begin]
-                places = np.append(2 * (found - units[row]), 2 * (begin - run.offsets[at]) + 1)
-                row = np.append(row, at)
-                h1 = np.append(h1[found], w1[begin])
-                h2 = np.append(h2[found], rolled(run.hashes, min_words, SECOND)[begin])
-                order = np.lexsort((h2, h1, row))
-                places, row, h1, h2 = (x[order] for x in (places, row, h1, h2))
-                new = np.flatnonzero(
-                    (np.diff(row, prepend=-1) != 0) | (h1 != np.roll(h1, 1)) | (h2 != np.roll(h2, 1))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(h1[new].view(np.int64)),
-                        pa.array(h2[new].view(np.int64)),
-                        pa.array(keys[first + row[new]].astype(np.int64)),
-                        ids.take(pa.array(first + row[new])),
-                        as_list_array(places, np.append(new, len(places)), pa.int32()),
-                    ],
-                    names=["h1", "h2", "key", "doc_id", "places"],
-                )
+                own = keys[first : first + len(texts)]
+                yield grouped(*find(words(texts), own), own, ids.slice(first, len(texts)))
 
     columns = [row_key().alias("key"), F.col("doc_id").cast("long"), text_bytes().alias("t")]
     return docs.select(*columns).mapInArrow(
-        read, "h1 long, h2 long, key long, doc_id long, places array<int>"
+        read, "h1 long, h2 long, key long, doc_id long, places array<bigint>"
     )
 
 
+def shared_blocks(docs: DataFrame, allowed, min_words: int) -> DataFrame:
+    """The blocks that may occur elsewhere too. A place is that of the first window, and the number of windows that
+    follow it in the upper half."""
+
+    def find(run: Words, keys: np.ndarray):
+        block = blocks_of(run, unit_sizes(run)[0], min_words)
+        h1 = block.digest(BLOCK)
+        found = bloom.possible(allowed.value, h1)
+        row = block.text[found]
+        places = 2 * (block.begin[found] - run.offsets[row]) + 1 + (block.windows[found] - 1 << 32)
+        return row, h1[found], block.digest(SECOND)[found], places
+
+    return located(docs, find)
+
+
+def shared_units(docs: DataFrame, allowed, firsts, wide, min_words: int) -> DataFrame:
+    """The units and windows outside known blocks that may occur elsewhere too. A place is twice the number of a unit,
+    or twice the number of a window's first word and one."""
+
+    def find(run: Words, keys: np.ndarray):
+        sizes, units = unit_sizes(run)
+        block = blocks_of(run, sizes, min_words)
+        known = block.known(allowed.value, firsts.value, block.digest(BLOCK), keys)
+        h1, h2 = segment_hash(run.hashes, sizes), segment_hash(run.hashes, sizes, SECOND)
+        found = bloom.possible(allowed.value, h1)
+        found = found[~block.hold(known, sizes)[found]]
+        begin = block.of_windows(known)
+        w1 = rolled(run.hashes, min_words, WINDOW)[begin]
+        likely = bloom.possible(wide.value, w1)
+        begin, w1 = begin[likely], w1[likely]
+        row = np.repeat(np.arange(len(keys)), np.diff(units))[found]
+        at = run.text_of_word()[begin]
+        places = np.append(2 * (found - units[row]), 2 * (begin - run.offsets[at]) + 1)
+        w2 = rolled(run.hashes, min_words, SECOND)[begin]
+        return np.append(row, at), np.append(h1[found], w1), np.append(h2[found], w2), places
+
+    return located(docs, find)
+
+
+def first_places(found: DataFrame) -> DataFrame:
+    """(h1, h2, first, n): of each digest its first text's key, and how often it occurs."""
+    first = found.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "key")).alias("f"), F.sum(F.size("places")).alias("n"))
+    # written, so that a digest of very many texts can be split when it is joined
+    return cut_lineage(first.select("h1", "h2", F.col("f.key").alias("first"), "n"))
+
+
+def not_first(found: DataFrame, first: DataFrame) -> DataFrame:
+    """(key, places): what is not the first of its digest."""
+    # a key stands for its id too, which need not be shuffled again
+    rest = F.when(F.col("key") == F.col("first"), F.slice("places", 2, F.size("places"))).otherwise(F.col("places"))
+    first = first.where("n > 1").drop("n")
+    later = found.drop("doc_id").join(first.hint("merge"), ["h1", "h2"]).select("key", rest.alias("places"))
+    return later.where(F.size("places") > 0)
+
+
 def later_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(key, later): the units and windows of each text that are not the first of their digest.
+    """(key, later): the blocks, units and windows of each text that are not the first of their digest.
 
     Half digests alone are counted first. What occurs twice goes into Bloom filters of bounded size, so that
-    the last pass shuffles little more than what repeats.
+    the last passes shuffle little more than what repeats; so do the blocks that are first of their digest, so that
+    of the others nothing within is shuffled. What a filter lets through wrongly is a row more, not another result.
     """
     spark, texts = docs.sparkSession, docs.select(text_bytes().alias("t"))
+    keyed = docs.select(row_key().alias("key"), text_bytes().alias("t"))
     allowed = repeating(spark, texts.mapInArrow(digests(min_words), DIGESTS))
-    wide = repeating(spark, texts.mapInArrow(window_digests(allowed, min_words), DIGESTS))
-    units = cut_lineage(shared_units(docs, allowed, wide, min_words))
-    place = F.struct("doc_id", "key")
-    # written, so that a digest of very many texts can be split when it is joined
-    first = units.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.sum(F.size("places")).alias("n"))
-    first = cut_lineage(first.where("n > 1").select("h1", "h2", F.col("first.key").alias("first")))
-    # a key stands for its id too, which need not be shuffled again
-    rest = F.when(F.col("key") == F.col("first"), F.slice("places", 2, F.size("places"))).otherwise(F.col("places"))
-    later = units.drop("doc_id").join(first.hint("merge"), ["h1", "h2"]).select("key", rest.alias("places"))
-    later = later.where(F.size("places") > 0)
+    blocks = cut_lineage(shared_blocks(docs, allowed, min_words))
+    first_blocks = first_places(blocks)
+    firsts = filter_of(first_blocks.select(F.col("h1").bitwiseXOR(F.col("first")).alias("h")), "h")
+    wide = repeating(spark, keyed.mapInArrow(window_digests(allowed, firsts, min_words), DIGESTS))
+    units = cut_lineage(shared_units(docs, allowed, firsts, wide, min_words))
+    later = not_first(units, first_places(units)).unionByName(not_first(blocks, first_blocks))
     return later.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("later"))
 
 
@@ -247,11 +357,13 @@ def cut(texts: list[bytes], later: list[np.ndarray], min_words: int):
         if here is None or not len(here):
             yield text, []
             continue
-        unit, window = here[here % 2 == 0] // 2 + units[i], here[here % 2 == 1] // 2 + run.offsets[i]
+        place, more = here & 0xFFFFFFFF, here >> 32
+        windows = place % 2 == 1
+        unit, window = place[~windows] // 2 + units[i], place[windows] // 2 + run.offsets[i]
         # words begun and ended, by stretches of units and windows
         begun = np.append(word_end[unit] - sizes[unit], window)
         order = np.argsort(begun, kind="stable")
-        begun, ended = begun[order], np.maximum.accumulate(np.append(word_end[unit], window + min_words)[order])
+        begun, ended = begun[order], np.maximum.accumulate(np.append(word_end[unit], window + more[windows] + min_words)[order])
         breaks = np.flatnonzero(begun[1:] > ended[:-1])
         runs = zip(begun[np.append(0, breaks + 1)], ended[np.append(breaks, len(ended) - 1)], strict=True)
         kept, spans, at, chars = [], [], 0, 0
