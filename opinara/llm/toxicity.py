@@ -52,6 +52,7 @@ MIN_SEEN = 4
 MIN_ODDS = 2.0
 BITS = 20
 GAPS = [(a, b, c) for c in range(3, SPAN) for b in range(2, c) for a in range(1, b)]
+_MARKS = ".,;:!?\"'()[]{}<>-_*#"  # the commonest of what _EDGE finds
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _INNER = re.compile(r"[\W_]+")
 _SPELLED = re.compile(r"(?<!\S)\w(?:[ \t]\w){2,}(?!\S)")
@@ -71,8 +72,9 @@ def words_of(text: str) -> set[str]:
 
 def units(word: str) -> list[str]:
     """A raw word without outer punctuation, and if others stand inside, also its letters alone."""
-    if word.isalnum():
-        return [word]
+    plain = word.strip(_MARKS)
+    if plain.isalnum():
+        return [plain]
     plain = _EDGE.sub("", word)
     bare = _INNER.sub("", plain)
     return [plain] if bare == plain else [plain, bare] if plain else []
@@ -87,14 +89,37 @@ class Sequences:
     word: np.ndarray
     n: int
 
+    def least_norms(self) -> np.ndarray:
+        """Root of each word's sums of squares: its norm, if no sequence occurs twice in it, else less."""
+        return np.sqrt(np.bincount(self.word, self.weight * self.weight, self.n))
+
     def norms(self) -> np.ndarray:
         """Root of each word's kernel with itself."""
-        order = np.lexsort((self.code, self.word))
+        total = self.weight * self.weight
+        again = self.repeated()
+        order = again[np.lexsort((self.code[again], self.word[again]))]
         code, word = self.code[order], self.word[order]
         new = np.append(True, (np.diff(code) != 0) | (np.diff(word) != 0)) if len(code) else np.zeros(0, bool)
         first = np.flatnonzero(new)
-        total = np.add.reduceat(self.weight[order], first) if len(first) else np.zeros(0)
-        return np.sqrt(np.bincount(word[first], total * total, self.n))
+        total[order] = 0
+        if len(first):
+            total[order[first]] = np.add.reduceat(self.weight[order], first) ** 2
+        return np.sqrt(np.bincount(self.word, total, self.n))
+
+    def repeated(self) -> np.ndarray:
+        """Places of the sequences that occur twice in their word, by a sort of numbers alone."""
+        key = self.code * np.uint64(0x9E3779B97F4A7C15) + self.word.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        key ^= key >> np.uint64(32)
+        ordered = np.sort(key)
+        twice = ordered[1:][ordered[1:] == ordered[:-1]]
+        if not len(twice):
+            return np.zeros(0, np.int64)
+        low = np.uint64(0xFFFF)
+        seen = np.zeros(1 << 16, bool)
+        seen[(twice & low).astype(np.int64)] = True
+        maybe = np.flatnonzero(seen[(key & low).astype(np.int64)])
+        at = np.minimum(np.searchsorted(twice, key[maybe]), len(twice) - 1)
+        return maybe[twice[at] == key[maybe]]
 
 
 def sequences(words: list[str]) -> Sequences:
@@ -126,19 +151,23 @@ def cell_of(code: np.ndarray) -> np.ndarray:
 
 
 class Table:
-    """Values of sequences; a small bit table tells most others apart before the search."""
+    """Places of sorted sequences by cells of a hash; only those that share a cell are searched for."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
-        self.seen = np.zeros(1 << BITS, bool)
-        self.seen[cell_of(codes)] = True
+        cells = cell_of(codes)
+        self.place = np.full(1 << BITS, -1, np.int32)
+        self.place[cells] = np.where(np.bincount(cells, minlength=1 << BITS)[cells] > 1, -2, np.arange(len(codes)))
 
     def find(self, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places in code, places in the table) of the sequences it holds."""
         if not len(self.codes):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        maybe = np.flatnonzero(self.seen[cell_of(code)])
-        at = np.minimum(np.searchsorted(self.codes, code[maybe]), len(self.codes) - 1)
+        at = self.place[cell_of(code)]
+        maybe = np.flatnonzero(at != -1)
+        at = at[maybe].astype(np.int64)
+        shared = np.flatnonzero(at == -2)
+        at[shared] = np.minimum(np.searchsorted(self.codes, code[maybe[shared]]), len(self.codes) - 1)
         hit = self.codes[at] == code[maybe]
         return maybe[hit], at[hit]
 
@@ -181,13 +210,13 @@ class Model:
         here, there = self.table().find(t.code)
         total = np.bincount(t.word[here], t.weight[here] * self.weights[there], t.n)
         # sums of squares cannot exceed the norm's square: below the line no word needs its norm
-        low = np.sqrt(np.bincount(t.word, t.weight * t.weight, t.n))
+        low = t.least_norms()
+        need = (total / np.maximum(low, 1e-9) + self.bias > -1) & (low > 0)
         out = np.full(t.n, -1.0)
-        bound = total / np.maximum(low, 1e-9) + self.bias
-        need = np.flatnonzero((bound > -1) & (low > 0))
-        if len(need):
-            norms = sequences([words[i] for i in need]).norms()
-            out[need] = np.maximum(total[need] / norms + self.bias, -1.0)
+        if need.any():
+            own = need[t.word]
+            norms = Sequences(t.code[own], t.weight[own], t.word[own], t.n).norms()
+            out[need] = np.maximum(total[need] / norms[need] + self.bias, -1.0)
         return out
 
     def table(self) -> Table:
@@ -195,6 +224,11 @@ class Model:
             self._table = Table(self.codes)
         return self._table
 
+    def scorer(self) -> Scorer:
+        if not hasattr(self, "_scorer"):
+            self._scorer = Scorer(self)
+        return self._scorer
+
     def probability(self, worst: np.ndarray) -> np.ndarray:
         """From rows of `features`."""
         if not self.known:
@@ -389,6 +423,46 @@ def fit(docs: DataFrame, per_label: int = SAMPLE) -> Model:
     return train([r["text"] for r in rows], [r["toxic"] for r in rows], ratio(0) / max(ratio(1), 1e-9))
 
 
+class Recent:
+    """Values of keys seen lately: two generations of about CACHE keys."""
+
+    def __init__(self):
+        self.now: dict[str, float] = {}
+        self.before: dict[str, float] = {}
+
+    def turn(self) -> None:
+        if len(self.now) > CACHE:
+            self.before, self.now = self.now, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys without a value; all others stand in `now` after this."""
+        rest = keys - self.now.keys()
+        old = rest & self.before.keys()
+        self.now.update((k, self.before[k]) for k in old)
+        return list(rest - old)
+
+
+class Scorer:
+    """Values of words by a machine. A worker keeps it over its tasks, so that common words are scored once."""
+
+    def __init__(self, machine: Model):
+        self.machine, self.words, self.units = machine, Recent(), Recent()
+
+    def values(self, texts: list[list[str]]) -> list[list[float]]:
+        """The value of each word of each text: the largest of its units'."""
+        self.words.turn()
+        self.units.turn()
+        parts = {w: units(w) for w in self.words.missing(set().union(*texts))}
+        new = self.units.missing({u for p in parts.values() for u in p})
+        known, scored = self.words.now, self.units.now
+        for i in range(0, len(new), STEP):
+            own = new[i : i + STEP]
+            scored.update(zip(own, self.machine.word_scores(own).tolist(), strict=True))
+        for w, p in parts.items():
+            known[w] = scored[p[0]] if len(p) == 1 else max((scored[u] for u in p), default=-1.0)
+        return [list(map(known.__getitem__, t)) for t in texts]
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Adds score (0 to 1) and worst_word, the word that decides."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -396,22 +470,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     given = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), text_bytes().alias("t"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, known, scored = shared.value, {}, {}
+        machine = shared.value
         for batch in batches:
             for first in range(0, batch.num_rows, 500):
                 part = batch.slice(first, 500)
                 texts = [list(words_of(t.as_py().decode("utf-8", "replace"))) for t in part.column(1)]
-                if len(known) > CACHE:
-                    known.clear()
-                    scored.clear()
-                parts = {w: units(w) for w in set().union(*texts) if w not in known}
-                new = list({u for p in parts.values() for u in p if u not in scored})
-                for i in range(0, len(new), STEP):
-                    own = new[i : i + STEP]
-                    scored.update(zip(own, machine.word_scores(own).tolist(), strict=True))
-                for w, p in parts.items():
-                    known[w] = max((scored[u] for u in p), default=-1.0)
-                scores = [list(map(known.__getitem__, t)) for t in texts]
+                scores = machine.scorer().values(texts)
                 values = np.array([features(sorted(s)[-3:]) for s in scores]).reshape(-1, FEATURES)
                 worst = [worst_word(t, s) for t, s in zip(texts, scores, strict=True)]
                 yield pa.RecordBatch.from_arrays(
