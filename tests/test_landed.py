@@ -1,8 +1,10 @@
+import time
+
 from pyspark.sql import functions as F
 
 from opinara.plans import fixtures as fx
 from opinara.plans import landed
-from opinara.runtime import list_folder
+from opinara.runtime import let_go, list_folder
 from opinara.sources.state import StateTables
 
 SF = "/root/testdata/sf0.001"
@@ -44,3 +46,31 @@ def test_expire_keeps_what_the_newest_batches_read(spark, tmp_path):
     store.expire()
     assert [store.versions("watched_videos", b).first()["video_id"] for b in (4, 5)] == ["v3", "v4"]
     assert sorted(list_folder(spark, store.path("watched_videos"))) == ["batch_id=3", "batch_id=4"]
+
+
+def test_shuffle_files_of_ended_jobs_go(spark):
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in found.mkString("|").split("|") if "/shuffle_" in f}
+
+    let_go(spark)
+    before = files()
+    assert spark.range(1000).repartition(3).distinct().count() == 1000
+    made = files() - before
+    end = time.monotonic() + 20
+    while made & files() and time.monotonic() < end:
+        # a job after it: the scheduler may hold its last one
+        assert spark.range(100).repartition(2).count() == 100
+        let_go(spark)
+        time.sleep(0.5)
+    assert made and not made & files()
+
+
+def test_waves_let_go_of_shuffles_and_checkpoints(spark, monkeypatch):
+    """A wave found the texts that the waves before it had shuffled still on disk, and checkpoints stayed."""
+    asked, named, scratch_dir = [], [], landed.scratch_dir
+    monkeypatch.setattr(landed, "let_go", lambda session: asked.append(session))
+    monkeypatch.setattr(landed, "scratch_dir", lambda s, name: named.append(scratch_dir(s, name)) or named[-1])
+    landed.taken_in(spark, SF, landed.wave_pages(spark, SF)[:1], [fx.CUT])
+    assert len(asked) == 2
+    assert [list_folder(spark, f) for f in named if "/state-" not in f] == [[], []]
