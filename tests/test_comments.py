@@ -176,3 +176,13 @@ def test_comments_that_come_once_are_not_shuffled(spark, plan, monkeypatch):
     assert sorted(map(tuple, once.collect())) == expected and once.columns == df.columns
     monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
     assert sorted(map(tuple, comments.each_once(df, order).collect())) == expected
+
+
+def test_an_outcome_that_is_reread_is_written_where_all_texts_were_shuffled(spark, tmp_path, monkeypatch):
+    rows = [("c1", "old", 1), ("c1", "new", 2), ("c2", "one", 1)]
+    df = spark.createDataFrame(rows, "comment_id string, text string, position int")
+    few = comments.each_once(df, ["position"], str(tmp_path / "few"), reread=True)
+    monkeypatch.setattr(keyed, "BROADCAST_ROWS", 0)
+    many = comments.each_once(df, ["position"], str(tmp_path / "many"), reread=True)
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect())) == rows[1:]
+    assert (tmp_path / "many_last").exists() and not (tmp_path / "few_last").exists()
