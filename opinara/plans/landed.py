@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from opinara import schemas
 from opinara.operators import scoring
 from opinara.plans import fixtures as fx
-from opinara.runtime import clear, let_go, scratch_dir
+from opinara.runtime import clear, let_go, scratch_dir, shuffles_go
 from opinara.sources import landing
 from opinara.sources.state import StateTables
 from opinara.streaming.intake import landed_rows, run_stream, take_in
@@ -125,7 +125,8 @@ def count_pages(spark: SparkSession, sf_dir: str, counts: DataFrame | None = Non
 def write(spark: SparkSession, pages: dict[str, DataFrame], folder: str | None = None) -> str:
     folder = folder or scratch_dir(spark, "landing")
     for kind, df in pages.items():
-        df.write.mode("append").option("compression", "gzip").json(f"{folder}/{kind}")
+        with shuffles_go(spark):
+            df.write.mode("append").option("compression", "gzip").json(f"{folder}/{kind}")
     return folder
 
 

@@ -11,6 +11,10 @@ from opinara.operators import evaluation
 from opinara.runtime import clear, overlap
 from opinara.sources import gold as gold_file
 
+# Codec of the published files (`*.csv.gz`): a comment's text stands in the row of each model, and no file could be
+# read in parts without it either.
+PACKED = "gzip"
+
 log = logging.getLogger(__name__)
 
 # Published names of the tables.
@@ -25,7 +29,7 @@ def export_snapshot(
     gold: DataFrame | None = None,
     sources: Sequence[str] = (),
 ) -> list[str]:
-    """One CSV folder per table below ``target``; folders of these names are replaced or, if their
+    """One folder of packed CSV files per table below ``target``; folders of these names are replaced or, if their
     table is gone, removed, and nothing else is touched.
 
     ``tables`` maps state table names to frames, ``sources`` are the folders they are read from: a
@@ -43,7 +47,7 @@ def export_snapshot(
         if table not in tables:
             log.warning("skipped %s: no table %s", name, table)
             continue
-        gold_file.write_csv(tables[table], f"{target}/{name}")
+        gold_file.write_csv(tables[table], f"{target}/{name}", PACKED)
         written.append(name)
     if gold is not None:
         gold_file.write_csv(gold, f"{target}/manual_annotation")

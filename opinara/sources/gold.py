@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opinara import schemas
+from opinara.runtime import shuffles_go
 
 # Comments hold line breaks, quotes and blanks at either end; all of them must survive.
 CSV = {
@@ -31,9 +32,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.options(**CSV).schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """Multi-line cells make a file unsplittable; each task writes a part of its own."""
-    df.write.mode("overwrite").options(**CSV).csv(path)
+    with shuffles_go(df.sparkSession):
+        df.write.mode("overwrite").options(**CSV, compression=compression).csv(path)
 
 
 def read_gold(spark: SparkSession, path: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from opinara import schemas
 from opinara.operators import comments, corrections, stats, videos
-from opinara.runtime import clear, list_folder, packed, read_small, replace_small
+from opinara.runtime import clear, list_folder, packed, read_small, replace_small, shuffles_go
 
 # Tables in buckets, by the column that decides. The number of buckets is fixed when a store is made.
 BUCKETED = {"video_info": "video_id", "video_stats": "video_id", "counted_comments": "video_id"}
@@ -197,7 +197,8 @@ class StateTables:
         if table in BUCKETED:
             self._write_buckets(table, rows, batch_id, f"{batch_id:012}", record["buckets"])
         else:
-            packed(rows).parquet(f"{self.path(table)}/batch_id={batch_id}")
+            with shuffles_go(self.spark):
+                packed(rows).parquet(f"{self.path(table)}/batch_id={batch_id}")
         if commit:
             if table in BUCKETED:
                 self._add_run(record, table, batch_id)
@@ -208,7 +209,8 @@ class StateTables:
         placed = placed.withColumn("bucket", _bucket(BUCKETED[table], n))
         # a row per comment: one video may hold most of a bucket, which adaptive execution then splits
         placed = placed.hint("rebalance", "bucket") if table == "counted_comments" else placed.repartition("bucket")
-        packed(placed).partitionBy("bucket").parquet(f"{self.path(table)}/{run}")
+        with shuffles_go(self.spark):
+            packed(placed).partitionBy("bucket").parquet(f"{self.path(table)}/{run}")
 
     def pending(self, batch_id: int) -> DataFrame:
         """Comments that the batch before this one left for later; each batch hands on what is still
