@@ -22,6 +22,8 @@ CUT = datetime(2024, 1, 15, tzinfo=timezone.utc)
 
 # Bytes of all texts up to which they are broadcast to comments that are dealt by page; beyond, both are shuffled.
 BROADCAST_BYTES = 64 << 20
+# Bytes of comments' texts that are shuffled for pages at a time.
+LANDED_BYTES = 8 << 30
 # Bytes of comments' texts in one part of them.
 PART_BYTES = 32 << 20
 
@@ -130,6 +132,14 @@ def comments_dealt(spark: SparkSession, sf_dir: str, when: Column, by: dict[str,
     return turn.join(F.broadcast(documents(spark, sf_dir)[0]), "doc_id").drop("doc_id")
 
 
+def dealt_parts(spark: SparkSession, sf_dir: str) -> int:
+    """In how many parts all comments are dealt so that the shuffles of one, if texts are shuffled, are bounded."""
+    number, size = documents(spark, sf_dir)[1], text_bytes(spark, sf_dir)
+    if size <= BROADCAST_BYTES:
+        return 1
+    return events(spark, sf_dir).count() * size // max(number, 1) // LANDED_BYTES + 1
+
+
 def videos_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Videos; one in four has its title label already."""
     texts, number = documents(spark, sf_dir)

@@ -29,14 +29,18 @@ def comment_pages(
     when: Column | None = None,
     flaws: bool = True,
     edit: Callable[[DataFrame], DataFrame] | None = None,
+    part: tuple[int, int] = (0, 1),
 ) -> DataFrame:
     """Comment pages, newest comment first; videos whose last event is an error have theirs
     switched off. With ``flaws``, texts, likes and times are missing or unreadable here and there.
-    ``edit`` changes the comments ahead of that.
+    ``edit`` changes the comments ahead of that. ``part`` (number, of how many) gives some of the pages, whole ones.
     """
-    e = F.col("event_id")
+    e, (number, parts) = F.col("event_id"), part
     page_of = {"video_id": F.col("video_id"), "page": F.floor(e / PAGE_RANGE)}
-    rows = fx.comments_dealt(spark, sf_dir, F.lit(True) if when is None else when, page_of)
+    when = F.lit(True) if when is None else when
+    if parts > 1:
+        when = when & (F.pmod(F.xxhash64(*page_of.values()), F.lit(parts)) == number)
+    rows = fx.comments_dealt(spark, sf_dir, when, page_of)
     if edit is not None:
         rows = edit(rows)
     written = F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
@@ -77,7 +81,14 @@ def comment_pages(
         .where(F.col("last_type") == "error")
         .select(fx.text_id("v", "user_id").alias("video_id"), F.lit(True).alias("comments_disabled"))
     )
-    return filled.unionByName(blocked, allowMissingColumns=True)
+    return filled if number else filled.unionByName(blocked, allowMissingColumns=True)
+
+
+def page_parts(spark: SparkSession, sf_dir: str, *how, filled: bool = False, **more) -> list[DataFrame]:
+    """Comment pages in as many frames as bound what is shuffled for one; only ``filled`` ones if asked."""
+    n = fx.dealt_parts(spark, sf_dir)
+    pages = [comment_pages(spark, sf_dir, *how, **more, part=(i, n)) for i in range(n)]
+    return [p.where(~F.col("comments_disabled")) for p in pages] if filled else pages
 
 
 def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,11 +133,13 @@ def count_pages(spark: SparkSession, sf_dir: str, counts: DataFrame | None = Non
     ).select("items")
 
 
-def write(spark: SparkSession, pages: dict[str, DataFrame], folder: str | None = None) -> str:
+def write(spark: SparkSession, pages: dict[str, DataFrame | list[DataFrame]], folder: str | None = None) -> str:
+    """Land pages by kind; of several frames of a kind one at a time, each without the shuffle files of those before."""
     folder = folder or scratch_dir(spark, "landing")
-    for kind, df in pages.items():
-        with shuffles_go(spark):
-            df.write.mode("append").option("compression", "gzip").json(f"{folder}/{kind}")
+    for kind, frames in pages.items():
+        for df in frames if isinstance(frames, list) else [frames]:
+            with shuffles_go(spark):
+                df.write.mode("append").option("compression", "gzip").json(f"{folder}/{kind}")
     return folder
 
 
@@ -140,7 +153,7 @@ def users(spark: SparkSession, sf_dir: str) -> int:
     return fx.events(spark, sf_dir).select("user_id").distinct().count()
 
 
-def wave_pages(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+def wave_pages(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame | list[DataFrame]]]:
     """Pages of the comments before the cut, and of the rest with new counts and found videos."""
     early = F.col("published_at") < fx.cut()
     listed = (
@@ -149,14 +162,13 @@ def wave_pages(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
         .groupBy(fx.text_id("v", "user_id").alias("video_id"))
         .agg(F.count(F.lit(1)).alias("yt_count"))
     )
-    first = comment_pages(spark, sf_dir, early, flaws=False)
     return [
         {
-            "comments": first.where(~F.col("comments_disabled")),
+            "comments": page_parts(spark, sf_dir, early, flaws=False, filled=True),
             "statistics": count_pages(spark, sf_dir, listed),
         },
         {
-            "comments": comment_pages(spark, sf_dir, ~early, flaws=False),
+            "comments": page_parts(spark, sf_dir, ~early, flaws=False),
             "statistics": count_pages(spark, sf_dir, fx.platform_counts(spark, sf_dir)),
             "search": search_pages(spark, sf_dir),
         },
@@ -166,7 +178,7 @@ def wave_pages(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
 def taken_in(
     spark: SparkSession,
     sf_dir: str,
-    waves: list[dict[str, DataFrame]],
+    waves: list[dict[str, DataFrame | list[DataFrame]]],
     times: list[datetime],
     keyed: bool = False,
     keep_late: bool = False,
@@ -237,13 +249,13 @@ def found_again(spark: SparkSession, sf_dir: str, keyed: bool = False) -> StateT
     second = fx.CUT + timedelta(days=7)
     bounds = [None, fx.CUT, second, None]
 
-    def landed_between(low: datetime | None, high: datetime | None) -> DataFrame:
+    def landed_between(low: datetime | None, high: datetime | None) -> list[DataFrame]:
         time, when = F.col("published_at"), F.lit(True)
         if low is not None:
             when = when & (time >= F.lit(low).cast("timestamp"))
         if high is not None:
             when = when & (time < F.lit(high).cast("timestamp"))
-        return comment_pages(spark, sf_dir, when, flaws=False).where(~F.col("comments_disabled"))
+        return page_parts(spark, sf_dir, when, flaws=False, filled=True)
 
     waves = [{"comments": landed_between(a, b)} for a, b in pairwise(bounds)]
     waves[0]["statistics"] = waves[2]["statistics"] = count_pages(spark, sf_dir, fx.platform_counts(spark, sf_dir))
@@ -288,9 +300,9 @@ def late_waves(spark: SparkSession, sf_dir: str) -> StateTables:
             "likes", F.when(changed, likes + GAINED).otherwise(F.col("likes"))
         )
 
-    first = comment_pages(spark, sf_dir, later, flaws=False)
-    second = comment_pages(spark, sf_dir, ~later | (fifth <= 1), flaws=False, edit=edit)
-    waves = [{"comments": pages.where(~F.col("comments_disabled"))} for pages in (first, second)]
+    first = page_parts(spark, sf_dir, later, flaws=False, filled=True)
+    second = page_parts(spark, sf_dir, ~later | (fifth <= 1), flaws=False, edit=edit, filled=True)
+    waves = [{"comments": pages} for pages in (first, second)]
     waves[0]["statistics"] = count_pages(spark, sf_dir, fx.platform_counts(spark, sf_dir))
     waves[0]["search"] = search_again(spark, sf_dir)
     return taken_in(spark, sf_dir, waves, [fx.CUT, fx.CUT + timedelta(days=1)], keep_late=True)

@@ -664,7 +664,7 @@ def disagreement_report(spark, sf_dir):
 
 @query
 def read_comment_pages(spark, sf_dir):
-    folder = landed.write(spark, {"comments": landed.comment_pages(spark, sf_dir)})
+    folder = landed.write(spark, {"comments": landed.page_parts(spark, sf_dir)})
     flat = landing.flatten_comments(landing.read_pages(spark, folder, "comments"))
     ready = comments.prepare(flat).drop("sentiment_label")
     return _hashed_text(ready)
